@@ -47,6 +47,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return portable(build(Tables(spark, folder)))
 
         if name in _QUERIES:

@@ -57,7 +57,7 @@ def main() -> int:
     args = parser.parse_args()
     spark = start("check", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("FATAL")
     con = duckdb.connect()
     for table in TABLES:
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{args.sf}/{table}.parquet'")

@@ -52,3 +52,8 @@ def order_links(orders: DataFrame, warehouse_orders: DataFrame) -> DataFrame:
         ["last_updated_date"],
     )
     return orders.select("order_id", "purchase_date").join(newest, "order_id", "left")
+
+
+def with_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Every product with its stock row, matched by sku (NULLs without stock)."""
+    return products.join(inventory, "sku", "left")
