@@ -68,10 +68,8 @@ def batch_windows(t: Tables):
     events = _events(t)
     span = events.agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
     cut = windows.with_batch_windows(span)
-    first = span.select(F.col("start").alias("first")).first()["first"]
-    counts = events.groupBy(
-        windows.window_start(F.col("ts"), F.lit(first.replace(tzinfo=UTC))).alias("batch_start")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    first = span.select("start").scalar()
+    counts = events.groupBy(windows.window_start(F.col("ts"), first).alias("batch_start")).agg(F.count(F.lit(1)).alias("n"))
     return cut.join(counts, "batch_start", "left").select(
         "batch_start", "batch_end", F.coalesce("n", F.lit(0)).alias("n"))
 

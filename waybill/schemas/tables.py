@@ -325,6 +325,15 @@ _ALL = [
         frozen=("created_at",),
         required=("domain",),
     ),
+    Table(
+        "job_executions",
+        _columns("run_id job_name status started_at:timestamp completed_at:timestamp duration_seconds"
+                 " records_processed:bigint records_inserted:bigint records_updated:bigint error_message metadata"
+                 + _STAMP, duration_seconds="decimal(10,2)"),
+        ("run_id",),
+        frozen=("started_at", "created_at"),
+        required=("run_id", "job_name", "status", "started_at"),
+    ),
 ]
 
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}

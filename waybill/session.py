@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A task that writes few partitions keeps their files open instead of sorting its rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
 }
 

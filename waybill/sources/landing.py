@@ -24,7 +24,7 @@ def read_lines(spark: SparkSession, path: str, *, page_per_file: bool = False, e
     """Landed text with its origin. A feed that is switched off or has no folder yet is empty, not an error."""
     if enabled:
         try:
-            text = spark.read.option("wholetext", page_per_file).option("recursiveFileLookup", True).text(path)
+            text = spark.read.text(path, wholetext=page_per_file, recursiveFileLookup=True)
         except AnalysisException as error:
             if not _no_path(error):
                 raise

@@ -68,8 +68,9 @@ def window_seconds(start: Column, end: Column) -> Column:
 def with_batch_windows(ranges: DataFrame, hours: int = 24, start: str = "start", end: str = "end") -> DataFrame:
     """Each range as consecutive windows of ``hours`` (``batch_start``, ``batch_end``), the last one cut short."""
     step = F.make_dt_interval(hours=F.lit(hours))
-    begun = ranges.filter(F.col(start) < F.col(end)).withColumn(
-        "batch_start", F.explode(F.sequence(F.col(start), F.col(end), step))
+    # An empty range is cut off below; greatest() only keeps sequence() from refusing it.
+    begun = ranges.withColumn(
+        "batch_start", F.explode(F.sequence(F.col(start), F.greatest(F.col(start), F.col(end)), step))
     )
     return begun.filter(F.col("batch_start") < F.col(end)).withColumn(
         "batch_end", F.least(F.col("batch_start") + step, F.col(end))
