@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waybill.session import SETTINGS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = ("merging", "scalars", "records", "quality", "incremental", "business", "alerting")
@@ -47,7 +49,8 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for setting in ("spark.sql.session.timeZone", "spark.python.sql.dataFrameDebugging.enabled"):
+                spark.conf.set(setting, SETTINGS[setting])
             return portable(build(Tables(spark, folder)))
 
         if name in _QUERIES:

@@ -203,38 +203,33 @@ class Loader:
         try:
             changes, stats = work(run)
         except Exception as error:
-            failed = f"{run}-failed"
-            notes = self._notes(failed, name, as_of, started, state.ERROR, [], str(error), None)
-            self.warehouse.commit(failed, notes)
+            self._publish(f"{run}-failed", name, as_of, started, state.ERROR, [], [], str(error), None)
             raise
-        notes = self._notes(run, name, as_of, started, state.SUCCESS, stats, None, sync_key)
-        self.warehouse.commit(run, [*changes, *notes])
+        self._publish(run, name, as_of, started, state.SUCCESS, changes, stats, None, sync_key)
         return Outcome(run, stats)
 
-    def _notes(
-        self, run: str, name: str, as_of: datetime, started: datetime, status: str, stats: list[Stats],
-        error: str | None, sync_key: str | None,
-    ) -> list[Change]:
-        """Sync state and log entry of a load, as changes to publish with it."""
+    def _publish(
+        self, run: str, name: str, as_of: datetime, started: datetime, status: str, changes: list[Change],
+        stats: list[Stats], error: str | None, sync_key: str | None,
+    ) -> None:
+        """Commit the changes of a load with its sync state and its log entry."""
         finished = datetime.now(UTC)
         details = json.dumps([asdict(s) for s in stats])
-        spark = self.spark
-        mark = spark.createDataFrame(
+        mark = self.spark.createDataFrame(
             [(name, as_of, status, finished, sync_key, error, details)],
             "domain string, last_synced_at timestamp, status string, updated_at timestamp, last_sync_key string,"
             " error_message string, sync_metadata string")
-        states = state.put(self.warehouse.read("sync_state").filter(F.col("domain") == name), mark)
-        totals = [sum(getattr(s, m) for s in stats) for m in ("processed", "inserted", "updated")]
-        entry = spark.createDataFrame(
-            [(run, name, "success" if status == state.SUCCESS else "failed", started, finished,
-              f"{(finished - started).total_seconds():.2f}", *totals, error, details, finished)],
-            "run_id string, job_name string, status string, started_at timestamp, completed_at timestamp,"
-            " duration_seconds string, records_processed bigint, records_inserted bigint, records_updated bigint,"
-            " error_message string, metadata string, created_at timestamp")
-        return [
-            self.warehouse.merge(run, "sync_state", states, rows=1),
-            self.warehouse.merge(run, "job_executions", entry, rows=1),
-        ]
+        states = self.warehouse.replace(run, "sync_state", state.put(self.warehouse.read("sync_state"), mark))
+        job = {
+            "run_id": run, "job_name": name, "status": "success" if status == state.SUCCESS else "failed",
+            "started_at": started.isoformat(), "completed_at": finished.isoformat(),
+            "duration_seconds": f"{(finished - started).total_seconds():.2f}",
+            "records_processed": sum(s.processed for s in stats),
+            "records_inserted": sum(s.inserted for s in stats),
+            "records_updated": sum(s.updated for s in stats),
+            "error_message": error, "metadata": details, "created_at": finished.isoformat(),
+        }
+        self.warehouse.commit(run, [*changes, states], job)
 
 
 def _newest(rows: DataFrame, feed: Feed, key: tuple[str, ...]) -> DataFrame:

@@ -331,7 +331,6 @@ _ALL = [
                  " records_processed:bigint records_inserted:bigint records_updated:bigint error_message metadata"
                  + _STAMP, duration_seconds="decimal(10,2)"),
         ("run_id",),
-        frozen=("started_at", "created_at"),
         required=("run_id", "job_name", "status", "started_at"),
     ),
 ]

@@ -4,7 +4,8 @@ A table is split into a fixed number of buckets by the hash of its key. A merge
 touches, each run into a folder of its own (``<table>/run=<run>/_bucket=<n>``); nothing published is ever overwritten.
 A commit is one small file that names, for every table, the run that holds each bucket. It appears under the next number
 or fails if another writer took that number, so a reader sees all tables of a run or none, and a run that dies leaves the
-warehouse as it was. Runs no commit names any more are listed by ``obsolete`` for removal.
+warehouse as it was. Runs no commit names any more are listed by ``obsolete`` for removal. A commit also carries the log
+entry of its job, so the commits together are the job log.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +24,6 @@ from waybill.session import shared_folder
 _KEY, _BUCKET = "_key", "_bucket"
 
 
-def _missing(error: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in (error.getCondition() or "")
-
-
 def key_text(keys: Sequence[str]) -> Column:
     """The key of a row as one text that is never NULL; NULL parts equal each other and nothing else."""
     return F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
@@ -54,28 +50,27 @@ class Staged:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, small_buckets: int = 1):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.buckets, self.small_buckets = buckets, small_buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self._log(0, {"seq": 0, "run": None, "job": None, "tables": {}}, "ignore")
 
     # --- state -----------------------------------------------------------------------------------------------------
-    def _commits(self) -> list[str]:
-        """Commit files, oldest first. Only names are listed, no file is read."""
-        try:
-            return sorted(self.spark.read.schema("value string").text(f"{self.root}/_commits").inputFiles())
-        except AnalysisException as error:
-            if _missing(error):
-                return []
-            raise
+    def _log(self, seq: int, entry: dict, mode: str) -> None:
+        frame = self.spark.createDataFrame([(json.dumps(entry),)], "value string")
+        frame.coalesce(1).write.mode(mode).text(f"{self.root}/_commits/seq={seq:012d}")
+
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema("value string").text(f"{self.root}/_commits")
 
     def state(self) -> dict:
-        """The newest commit: its number, and per table the bucket count and the run of every bucket."""
-        commits = self._commits()
-        if not commits:
-            return {"seq": 0, "run": None, "tables": {}}
-        return json.loads(self.spark.read.text(commits[-1]).first()["value"])
+        """The newest commit: its number, and per table the bucket count and the run of every bucket.
 
-    def commit(self, run: str, changes: Sequence[Change]) -> int:
+        Commit files are listed by name and only the newest is read.
+        """
+        newest = max(self._commits().inputFiles())
+        return json.loads(self.spark.read.text(newest).first()["value"])
+
+    def commit(self, run: str, changes: Sequence[Change], job: dict | None = None) -> int:
         """Publish all changes of a run at once; raises if another writer was faster."""
         now = self.state()
         tables = dict(now["tables"])
@@ -85,28 +80,28 @@ class Warehouse:
             runs.update({str(b): r for b, r in change.runs.items()})
             tables[change.table] = {"buckets": old["buckets"], "runs": runs}
         seq = now["seq"] + 1
-        text = json.dumps({"seq": seq, "run": run, "tables": tables})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("error").text(
-            f"{self.root}/_commits/seq={seq:012d}")
+        self._log(seq, {"seq": seq, "run": run, "job": job, "tables": tables}, "error")
         return seq
 
     def obsolete(self) -> list[str]:
         """Run folders that hold no current bucket. Remove them when no reader of an older commit is left."""
-        current = self.state()["tables"]
-        live = {(t, r) for t, s in current.items() for r in s["runs"].values()}
-        ever = set()
-        for path in self._commits():
-            tables = json.loads(self.spark.read.text(path).first()["value"])["tables"]
-            ever |= {(t, r) for t, s in tables.items() for r in s["runs"].values()}
-        return sorted(f"{self.root}/{t}/run={r}" for t, r in ever - live)
+        named = self._commits().select(F.explode(F.from_json(
+            F.get_json_object("value", "$.tables"), "map<string, struct<runs: map<string, string>>>")).alias("t", "s"))
+        folders = named.select("t", F.explode(F.map_values("s.runs")).alias("run")).distinct()
+        live = {(t, r) for t, s in self.state()["tables"].items() for r in s["runs"].values()}
+        return sorted(f"{self.root}/{t}/run={r}" for t, r in folders.collect() if (t, r) not in live)
 
     # --- reading ---------------------------------------------------------------------------------------------------
     def read(self, name: str) -> DataFrame:
-        """A table as of the newest commit; empty if it was never written."""
-        return self._read(TABLES[name], None).drop(_BUCKET)
+        """A table as of the newest commit; empty if it was never written. ``job_executions`` is the job log."""
+        table = TABLES[name]
+        if name == "job_executions":
+            entry = F.from_json(F.get_json_object("value", "$.job"), table.ddl)
+            return self._commits().select(entry.alias("job")).filter("job IS NOT NULL").select("job.*")
+        return self._read(table, self.state(), None).drop(_BUCKET)
 
-    def _read(self, table: Table, buckets: Sequence[int] | None) -> DataFrame:
-        runs = self.state()["tables"].get(table.name, {"runs": {}})["runs"]
+    def _read(self, table: Table, now: dict, buckets: Sequence[int] | None) -> DataFrame:
+        runs = now["tables"].get(table.name, {"runs": {}})["runs"]
         wanted = {b: r for b, r in runs.items() if buckets is None or int(b) in set(buckets)}
         if not wanted:
             return self.spark.createDataFrame([], f"{table.ddl}, {_BUCKET} int")
@@ -119,11 +114,8 @@ class Warehouse:
         )
 
     # --- writing ---------------------------------------------------------------------------------------------------
-    def _bucket_count(self, table: Table) -> int:
-        known = self.state()["tables"].get(table.name)
-        if known:
-            return known["buckets"]
-        return self.small_buckets if table.name in ("sync_state", "job_executions") else self.buckets
+    def _bucket_count(self, table: Table, now: dict) -> int:
+        return now["tables"].get(table.name, {"buckets": self.buckets})["buckets"]
 
     def stage(self, run: str, name: str, df: DataFrame) -> Staged:
         """Write a batch to the shared folder once, so that checks and merges do not compute it again."""
@@ -138,7 +130,9 @@ class Warehouse:
         # The same hash Spark partitions by: repartition(buckets, _key) puts every bucket into one task.
         return keyed.withColumn(_BUCKET, F.pmod(F.hash(_KEY), F.lit(buckets)))
 
-    def _write(self, run: str, table: Table, rows: DataFrame, buckets: int, touched: Sequence[int]) -> Change:
+    def _write(
+        self, run: str, table: Table, rows: DataFrame, buckets: int, touched: Sequence[int], may_empty: bool
+    ) -> Change:
         """Write merged rows of the touched buckets as the run's version, counting operations on the way."""
         path = f"{self.root}/{table.name}/run={run}"
         seen = Observation(f"{run} {table.name} written")
@@ -147,13 +141,13 @@ class Warehouse:
             F.count(F.when(F.col(ops.OP) == ops.INSERT, 1)).alias("inserted"),
             F.count(F.when(F.col(ops.OP) == ops.UPDATE, 1)).alias("updated"),
         )
-        bucketed = counted.drop(ops.OP)
-        bucketed.write.mode("error").partitionBy(_BUCKET).parquet(path)
-        written = self.spark.read.schema(f"{table.ddl}, {_BUCKET} int").parquet(path).select(_BUCKET).distinct()
-        runs = {row[_BUCKET]: run for row in written.collect()}  # at most one row per bucket
-        counts = seen.get
+        counted.drop(ops.OP).write.mode("error").partitionBy(_BUCKET).parquet(path)
+        counts, written = seen.get, set(touched)
+        if may_empty:
+            written = set(self._touched(self.spark.read.schema(f"{table.ddl}, {_BUCKET} int").parquet(path)))
         return Change(
-            table.name, buckets, runs, counts["inserted"], counts["updated"], frozenset(set(touched) - set(runs)))
+            table.name, buckets, dict.fromkeys(sorted(written), run), counts["inserted"], counts["updated"],
+            frozenset(set(touched) - written))
 
     def _touched(self, batch: DataFrame) -> list[int]:
         return [row[_BUCKET] for row in batch.select(_BUCKET).distinct().collect()]  # at most one row per bucket
@@ -167,13 +161,15 @@ class Warehouse:
         A small batch is broadcast and the table is not shuffled. A large one is shuffled together with the touched
         buckets, one task per bucket. ``delete_missing`` treats the batch as the whole table and drops other keys.
         """
-        table = TABLES[name]
-        buckets = self._bucket_count(table)
+        table, now = TABLES[name], self.state()
+        buckets = self._bucket_count(table, now)
         stamped = batch if as_of is None or "created_at" in batch.columns or "created_at" not in table.columns else (
             batch.withColumn("created_at", as_of))
         source = self._keyed(stamped, table, buckets)
         touched = list(range(buckets)) if delete_missing else self._touched(source)
-        target = self._keyed(self._read(table, touched), table, buckets)
+        if not touched:
+            return Change(name, buckets, {})
+        target = self._keyed(self._read(table, now, touched), table, buckets)
         small = rows is not None and rows <= ops.SMALL_BATCH_ROWS
         if not small:
             source, target = source.repartition(buckets, _KEY), target.repartition(buckets, _KEY)
@@ -183,14 +179,23 @@ class Warehouse:
             target, source, [_KEY], table.update, defaults=table.defaults, missing=missing, newer_by=newer_by,
             null_safe=False, batch_rows=rows if small else None,
         )
-        return self._write(run, table, merged.drop(_KEY), buckets, touched)
+        return self._write(run, table, merged.drop(_KEY), buckets, touched, delete_missing)
 
     def update(self, run: str, name: str, batch: DataFrame, columns: Sequence[str]) -> Change:
         """Overwrite columns of known keys; unknown keys are not inserted."""
-        table = TABLES[name]
-        buckets = self._bucket_count(table)
+        table, now = TABLES[name], self.state()
+        buckets = self._bucket_count(table, now)
         source = self._keyed(batch, table, buckets)
         touched = self._touched(source)
-        target = self._keyed(self._read(table, touched), table, buckets)
+        if not touched:
+            return Change(name, buckets, {})
+        target = self._keyed(self._read(table, now, touched), table, buckets)
         changed = ops.update_only(target, source.select(_KEY, *columns), [_KEY], columns)
-        return self._write(run, table, changed.drop(_KEY), buckets, touched)
+        return self._write(run, table, changed.drop(_KEY), buckets, touched, True)
+
+    def replace(self, run: str, name: str, rows: DataFrame) -> Change:
+        """Write a small table anew, as one bucket."""
+        table = TABLES[name]
+        one = rows.select(*table.columns).withColumn(_BUCKET, F.lit(0)).coalesce(1)
+        one.write.mode("error").partitionBy(_BUCKET).parquet(f"{self.root}/{table.name}/run={run}")
+        return Change(name, 1, {0: run})
