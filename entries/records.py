@@ -52,7 +52,7 @@ def _list_page(df: DataFrame, key: str, **fields: Column) -> DataFrame:
 # --- envelopes -----------------------------------------------------------------------------------------------------
 @query("json_scan", "SELECT CAST(props->>'k' AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1")
 def json_scan(t: Tables):
-    lines = t.events.select(F.concat(F.lit('{"rows":['), "props", F.lit("]}")).alias("value"))
+    lines = t.wide("events").select(F.concat(F.lit('{"rows":['), "props", F.lit("]}")).alias("value"))
     return object_records(lines, p.struct("k"), "rows").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -64,7 +64,7 @@ def envelope_union(t: Tables):
     twice = F.concat(F.lit("["), "props", F.lit(","), "props", F.lit("]"))
     wrapped = F.concat(F.lit('{"items":['), "props", F.lit('],"next":"c"}'))
     page = F.when(F.col("event_type") == "view", bare).when(F.col("event_type") == "click", twice).otherwise(wrapped)
-    records = envelope_records(t.events.select(page.alias("value")), p.struct("k"))
+    records = envelope_records(t.wide("events").select(page.alias("value")), p.struct("k"))
     return records.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -72,14 +72,14 @@ def envelope_union(t: Tables):
 def array_pages(t: Tables):
     bare = F.concat(F.lit("["), "props", F.lit("]"))
     page = F.when(F.col("event_type") == "view", bare).otherwise(F.concat(F.lit('{"items":'), bare, F.lit("}")))
-    return array_records(t.events.select(page.alias("value")), p.struct("k")).groupBy("k").agg(
+    return array_records(t.wide("events").select(page.alias("value")), p.struct("k")).groupBy("k").agg(
         F.count(F.lit(1)).alias("n"))
 
 
 @query("unreadable_pages", "SELECT count(*) AS n FROM events WHERE event_type = 'error'")
 def unreadable_pages(t: Tables):
     page = F.when(F.col("event_type") == "error", F.concat(F.lit('{"k": '), "props")).otherwise(F.col("props"))
-    lines = t.events.select(page.alias("value"), F.lit("page").alias("_file"))
+    lines = t.wide("events").select(page.alias("value"), F.lit("page").alias("_file"))
     return unreadable(lines).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -112,9 +112,9 @@ def _store_order_pages(t: Tables) -> DataFrame:
                     price=F.lit("x")),
         ),
     }
-    text = _list_page(t.orders.filter(status != "F"), "orders", **common, tags=F.lit("a, b"))
+    text = _list_page(t.wide("orders").filter(status != "F"), "orders", **common, tags=F.lit("a, b"))
     listed = _list_page(
-        t.orders.filter(status == "F"), "orders", **common, tags=F.array(F.lit("a"), F.col("o_orderpriority")))
+        t.wide("orders").filter(status == "F"), "orders", **common, tags=F.array(F.lit("a"), F.col("o_orderpriority")))
     return text.unionByName(listed)
 
 
@@ -249,7 +249,7 @@ FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate > TIMESTAMP '1996-01-01 0
 def marketplace_orders(t: Tables):
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     pages = _list_page(
-        t.orders, "payload.Orders",
+        t.wide("orders"), "payload.Orders",
         AmazonOrderId=_text("o_orderkey"), PurchaseDate=_iso("o_orderdate"), LastUpdateDate=_iso("o_orderdate"),
         OrderStatus=F.when(status == "F", "Shipped").when(status == "O", "Pending").otherwise("Draft"),
         BuyerEmail=F.when(priority != "5-LOW", F.concat(F.lit("c"), "o_custkey")),
@@ -276,7 +276,7 @@ def marketplace_order_items(t: Tables):
         ItemPrice=_fields(Amount=_text("l_extendedprice")),
         ItemTax=F.when(F.col("l_linestatus") != "F", _fields(Amount=_text("l_tax"))),
     )
-    pages = _page(t.lineitem, _fields(payload=_fields(AmazonOrderId=_text("l_orderkey"), OrderItems=F.array(item))))
+    pages = _page(t.wide("lineitem"), _fields(payload=_fields(AmazonOrderId=_text("l_orderkey"), OrderItems=F.array(item))))
     records = object_records(pages, p.MARKET_ITEM, "payload.OrderItems", carry="AmazonOrderId")
     return marketplace.order_items(records).select("order_id", "sku", "asin", "qty", "price", "tax")
 
@@ -298,7 +298,7 @@ def _summaries(t: Tables) -> DataFrame:
             inboundWorkingQuantity=F.col("l_linenumber"),
         ))
         return _list_page(
-            t.lineitem.filter(F.col("l_linestatus") == state), "payload.inventorySummaries", **common,
+            t.wide("lineitem").filter(F.col("l_linestatus") == state), "payload.inventorySummaries", **common,
             inventoryDetails=details)
 
     return page("F", _fields(totalReservedQuantity=F.lit(3))).unionByName(page("O", F.lit(4)))
@@ -340,7 +340,7 @@ def _report_text(t: Tables) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "Principal").otherwise("Commission"),
         F.when(F.col("l_linenumber") == 2, "").otherwise(_text("l_extendedprice")), _iso("l_shipdate"),
     ]
-    return t.lineitem.select(
+    return t.wide("lineitem").select(
         F.concat_ws("\t", *cells).alias("value"),
         F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice").alias("_seq"),
     )
@@ -405,7 +405,7 @@ def warehouse_inventory(t: Tables):
             F.col("l_returnflag") == "N", _text("l_quantity")),
         total_sellable_quantity=F.col("l_linenumber"), total_committed_quantity=F.col("l_suppkey"),
     )
-    pages = t.lineitem.select(_wrapped(record, F.col("l_linestatus") == "F").alias("value"))
+    pages = t.wide("lineitem").select(_wrapped(record, F.col("l_linestatus") == "F").alias("value"))
     rows = fulfilment.inventory(envelope_records(pages, p.WAREHOUSE_INVENTORY), _as_of())
     return rows.select("sku", "quantity_on_hand", "quantity_available", "quantity_reserved")
 
@@ -428,7 +428,7 @@ def warehouse_inventory_by_center(t: Tables):
         inventory=_fields(name=_text("l_partkey")), total_on_hand_quantity=F.lit(99),
         fulfillment_center_locations=F.when(F.col("l_returnflag") != "R", places),
     )
-    pages = t.lineitem.select(_wrapped(record, F.col("l_linestatus") == "F").alias("value"))
+    pages = t.wide("lineitem").select(_wrapped(record, F.col("l_linestatus") == "F").alias("value"))
     rows = fulfilment.inventory_by_center(envelope_records(pages, p.WAREHOUSE_INVENTORY))
     return rows.select("sku", "fulfillment_center_id", "quantity_on_hand", "quantity_available")
 
@@ -457,7 +457,7 @@ def _warehouse_orders(t: Tables) -> DataFrame:
         recipient=_fields(name=F.lit("N")),
     )
     return envelope_records(
-        t.lineitem.select(_wrapped(record, F.col("l_quantity") > 25).alias("value")), p.WAREHOUSE_ORDER)
+        t.wide("lineitem").select(_wrapped(record, F.col("l_quantity") > 25).alias("value")), p.WAREHOUSE_ORDER)
 
 
 @query("warehouse_order_status", f"""
@@ -506,7 +506,7 @@ def warehouse_returns(t: Tables):
         transactions=F.when(F.col("l_returnflag") != "N", F.array(
             _fields(amount=F.col("l_extendedprice")), _fields(amount=F.lit(2.5)))),
     )
-    pages = t.lineitem.select(_wrapped(record, F.col("l_quantity") > 25).alias("value"))
+    pages = t.wide("lineitem").select(_wrapped(record, F.col("l_quantity") > 25).alias("value"))
     rows = fulfilment.returns(envelope_records(pages, p.WAREHOUSE_RETURN))
     return rows.select(
         "return_id", "fulfillment_center_id", "total_cost", "insert_date", F.explode("items").alias("i")
@@ -530,7 +530,7 @@ def warehouse_receiving(t: Tables):
             expected_quantity=F.col("l_quantity"),
             received_quantity=F.when(F.col("l_linestatus") == "F", F.col("l_linenumber")))),
     )
-    pages = t.lineitem.select(_wrapped(record, F.col("l_quantity") > 25).alias("value"))
+    pages = t.wide("lineitem").select(_wrapped(record, F.col("l_quantity") > 25).alias("value"))
     rows = fulfilment.receiving_orders(envelope_records(pages, p.WAREHOUSE_RECEIVING))
     return rows.select(
         "wro_id", "purchase_order_number", "expected_arrival_date", F.explode("inventory_quantities").alias("q")
@@ -618,7 +618,7 @@ def accounting_contacts(t: Tables):
 def _invoice_pages(t: Tables) -> DataFrame:
     low = F.col("o_orderpriority") == "5-LOW"
     return _list_page(
-        t.orders, "invoices",
+        t.wide("orders"), "invoices",
         url=_url("invoices", "o_orderkey"), contact=_url("contacts", "o_custkey"),
         project=F.when(low, _url("projects", "o_custkey")),
         dated_on=F.date_format("o_orderdate", "yyyy-MM-dd"),
@@ -652,7 +652,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS bill_id, CASE WHEN o_orderstatus = 'P' THE
 FROM orders""")
 def accounting_bills(t: Tables):
     pages = _list_page(
-        t.orders, "bills", url=_url("bills", "o_orderkey"),
+        t.wide("orders"), "bills", url=_url("bills", "o_orderkey"),
         contact=F.when(F.col("o_orderstatus") != "P", _url("contacts", "o_custkey")),
         dated_on=_iso("o_orderdate"), status=F.col("o_orderpriority"), net_value=F.col("o_totalprice"),
     )
@@ -702,7 +702,7 @@ FROM events""")
 def accounting_bank_transactions(t: Tables):
     kind = F.col("event_type")
     pages = _list_page(
-        t.events, "bank_transactions", url=_url("bank_transactions", "event_id"),
+        t.wide("events"), "bank_transactions", url=_url("bank_transactions", "event_id"),
         bank_account=_url("bank_accounts", "user_id"), dated_on=F.date_format("ts", "yyyy-MM-dd"),
         amount=F.when(kind == "error", F.lit("?")).otherwise(_text("value")),
         is_manual=F.when(kind == "view", F.lit(True)),
@@ -721,7 +721,7 @@ FROM events""")
 def accounting_explanations(t: Tables):
     kind = F.col("event_type")
     pages = _list_page(
-        t.events, "bank_transaction_explanations", url=_url("bank_transaction_explanations", "event_id"),
+        t.wide("events"), "bank_transaction_explanations", url=_url("bank_transaction_explanations", "event_id"),
         bank_transaction=_url("bank_transactions", "user_id"),
         category=F.when(kind == "view", _url("categories", "user_id")),
         invoice=F.when(kind == "click", _url("invoices", "user_id")),
@@ -743,7 +743,7 @@ def accounting_transactions(t: Tables):
     kind = F.col("event_type")
     inner = F.from_json("props", "k int")
     pages = _list_page(
-        t.events, "transactions", url=_url("transactions", "event_id"), nominal_code=kind, debit_value=_text("value"),
+        t.wide("events"), "transactions", url=_url("transactions", "event_id"), nominal_code=kind, debit_value=_text("value"),
         foreign_currency_data=F.when(kind == "error", inner).when(kind == "view", F.from_json(F.lit("{}"), "k int")),
     )
     return _accounting("transactions", p.LEDGER_TRANSACTION, pages).select(

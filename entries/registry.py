@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.session import SETTINGS
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = ("merging", "scalars", "records", "quality", "incremental", "business", "alerting")
@@ -27,6 +25,15 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """A table dealt out to all cores, for queries that do much work per row.
+
+        Only a table of fewer files than cores is dealt out; a large one has splits enough and is read as it lies.
+        """
+        df = getattr(self, name)
+        cores = self._spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
 
 def portable(df: DataFrame) -> DataFrame:
     """Types every engine prints alike: times and days as text, decimals as double."""
@@ -49,8 +56,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            for setting in ("spark.sql.session.timeZone", "spark.python.sql.dataFrameDebugging.enabled"):
-                spark.conf.set(setting, SETTINGS[setting])
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return portable(build(Tables(spark, folder)))
 
         if name in _QUERIES:

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 # Accepted spellings; Spark's own cast is laxer (it reads "2024" and "10:30" too).
 _ACCEPTED = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?$"
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?$"
     r"|^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}:\d{1,2})?$"
 )
 
 
 def parse_date(text: Column) -> Column:
     """Timestamp of an ISO text (``Z`` or offset), a plain date, or ``date time``; anything else NULL."""
-    # "+0530" is spelled "+05:30" for the cast, and a time without seconds gets them.
-    spelled = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    spelled = F.when(text.contains("T"), spelled).otherwise(text)
-    spelled = F.regexp_replace(spelled, r"^(\S{10}T\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})?$", "$1:00$2")
-    return F.when(text.rlike(_ACCEPTED), spelled.try_cast("timestamp"))
+    # The cast wants seconds before an offset; only texts it cannot read are respelled.
+    with_seconds = F.regexp_replace(text, r"^(\S{10}T\d{2}:\d{2})(Z|[+-].*)$", "$1:00$2")
+    return F.when(
+        text.rlike(_ACCEPTED), F.coalesce(text.try_cast("timestamp"), with_seconds.try_cast("timestamp"))
+    )
 
 
 def iso_text(ts: Column) -> Column:

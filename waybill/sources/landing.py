@@ -77,7 +77,9 @@ def array_records(lines: DataFrame, record: str) -> DataFrame:
 
 def _exploded(lines: DataFrame, records: Column, extra: list[Column] | None = None) -> DataFrame:
     origin = [c for c in ("_file", "_block", "_row") if c in lines.columns]
-    rows = lines.select(*origin, *(extra or []), F.posexplode(records).alias("_pos", "_record"))
+    # A plain explode makes the optimizer test the array for emptiness first, and so parse every page three times; the
+    # outer form with the filter below parses it once.
+    rows = lines.select(*origin, *(extra or []), F.posexplode_outer(records).alias("_pos", "_record"))
     carried = [c for c in rows.columns if c not in (*origin, "_pos", "_record")]
     return rows.filter(F.col("_record").isNotNull()).select(
         "_record.*", *carried, F.struct(*origin, "_pos").alias(SEQ)
