@@ -195,6 +195,31 @@ def test_empty_feed_loads_nothing(loader, warehouse, landing, as_of):
     assert warehouse.read("freeagent_bills").count() == 0
 
 
+def test_incremental_load_starts_at_the_mark(loader, warehouse, landing):
+    root = landing("store/orders", p.STORE_ORDERS)
+    feed = FEEDS["store_orders"]
+    now = datetime(2023, 12, 1, 12, 0, tzinfo=UTC)
+    assert loader.load_new(feed, root, now).total("processed") == 2  # #1001 and its item
+    later = loader.load_new(feed, root, now + timedelta(days=1), timedelta(days=30))
+    assert later.total("processed") == 2 and later.total("inserted") == 2  # only #1002: the mark is past #1001
+    state = rows(warehouse, "sync_state", "domain")["store_orders"]
+    assert state["last_synced_at"] == datetime(2023, 12, 2, 12, 0)
+
+
+def test_views_answer_sql(spark, loader, warehouse, landing, as_of):
+    root = landing("warehouse/receiving", p.RECEIVING)
+    loader.load(FEEDS["warehouse_receiving"], root, as_of)
+    warehouse.views()
+    row = spark.sql("""
+        SELECT purchase_order_number, sum(q.received_quantity) * 100 / nullif(sum(q.expected_quantity), 0) AS rate
+        FROM shipbob_receiving_orders LATERAL VIEW explode(inventory_quantities) AS q
+        WHERE status = 'Completed' GROUP BY wro_id, purchase_order_number""").first()
+    assert tuple(row) == ("PO-2023-001", 98.0)
+    warehouse.views(json_text=True)
+    text = spark.table("shipbob_receiving_orders").first()["inventory_quantities"]
+    assert '"received_quantity":98' in text
+
+
 def test_check_unique(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     with pytest.raises(InvalidBatch):

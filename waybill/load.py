@@ -7,7 +7,7 @@ import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from waybill.sources.feeds import Feed
 from waybill.sources.landing import SEQ, envelope_records, read_lines, read_report
 from waybill.schemas.payloads import WAREHOUSE_ORDER
 from waybill.streaming import state
+from waybill.streaming.windows import lookback_window
 from waybill.warehouse import Change, Warehouse
 
 log = logging.getLogger(__name__)
@@ -75,6 +76,16 @@ class Loader:
         lines = read_lines(self.spark, path, page_per_file=page_per_file, enabled=enabled)
         return self.load_lines(feed, lines, as_of, start, end, delete_missing=delete_missing, newer_by=newer_by)
 
+    def load_new(
+        self, feed: Feed, landing: str, now: datetime, lookback: timedelta | None = None, **how,
+    ) -> Outcome:
+        """Load what changed since the feed's last successful load, with a small overlap and no further back than
+        ``lookback`` (by default the feed's own)."""
+        mark = state.last_sync(self.warehouse.read("sync_state"), feed.name)
+        window = lookback or timedelta(hours=feed.lookback_hours)
+        start, end = lookback_window(now, mark.replace(tzinfo=UTC) if mark else None, window)
+        return self.load(feed, landing, end, start, end, **how)
+
     def load_lines(
         self, feed: Feed, lines: DataFrame, as_of: datetime, start: datetime | None = None,
         end: datetime | None = None, *, sync_key: str | None = None, delete_missing: bool = False,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 OP = "_op"
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
-# A batch of up to this many rows may be sent whole to every executor; its rows must have been counted.
+# Counted rows up to which a batch is merged by looking the table's rows up in it.
 SMALL_BATCH_ROWS = 200_000
 
 
@@ -30,7 +30,7 @@ def merge(
     missing: str = "keep",
     newer_by: str | None = None,
     null_safe: bool = True,
-    batch_rows: int | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """The target after the batch: new keys inserted, ``update`` columns of known keys overwritten, the rest kept.
 
@@ -41,8 +41,9 @@ def merge(
     * ``missing``: an ``update`` column the batch lacks is kept (``keep``) or set to its default (``default``).
     * ``newer_by``: update only where the batch is at least as new by this column.
     * ``null_safe``: NULL keys match each other, so a reload updates them instead of inserting them again.
-    * ``batch_rows``: counted rows of the batch. Up to ``SMALL_BATCH_ROWS`` the batch is broadcast and the target is
-      not shuffled at all; beyond that (or uncounted) both sides are shuffled once, in one full outer join.
+    * ``small_batch``: the plan for a batch known to be small. Target rows look their key up in the batch, and new keys
+      are found among the few that matched. Spark broadcasts the batch if its measured size allows, and then the
+      target is not shuffled at all. Otherwise both sides are shuffled once, in one full outer join.
     """
     if missing not in ("keep", "default"):
         raise ValueError(f"missing must be keep or default, not {missing!r}")
@@ -81,12 +82,11 @@ def merge(
             return value.when(old, F.col(f"t.{c}")).otherwise(on_insert(c)).alias(c)
         return value.otherwise(F.col(f"t.{c}")).alias(c)
 
-    if batch_rows is None or batch_rows > SMALL_BATCH_ROWS:
+    if not small_batch:
         return t.join(s, on, "full_outer").select(*[merged(c, True) for c in target.columns], op.alias(OP))
 
-    small = F.broadcast(s)
-    changed = t.join(small, on, "left").select(*[merged(c, False) for c in target.columns], op.alias(OP))
-    known = target.select(*keys).alias("t").join(F.broadcast(batch.select(*keys).alias("s")), on, "left_semi")
+    changed = t.join(s, on, "left").select(*[merged(c, False) for c in target.columns], op.alias(OP))
+    known = target.select(*keys).alias("t").join(batch.select(*keys).alias("s"), on, "left_semi")
     new_rows = s.join(known.alias("t"), on, "left_anti").select(
         *[on_insert(c).alias(c) for c in target.columns], F.lit(INSERT).alias(OP)
     )

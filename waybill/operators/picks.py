@@ -1,7 +1,7 @@
 """Picking one row per key, folding repeated lines and numbering true repeats.
 
-A single key may own a large share of all rows, so every pick is an aggregate that shrinks each input partition to one
-row per key before the shuffle; none of them gathers a key's rows in one task.
+A single key may own a large share of all rows, so every step shrinks each input partition to one row per key (or per
+key and value) before the shuffle; none of them gathers a key's rows in one task.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order_by``; ties are settled by the remaining columns, so the pick is total.
 
-    NULL in an ordering column counts as the earliest. Columns must be orderable (no maps).
+    NULL in an ordering column counts as the earliest. Columns must be orderable (no maps). Spark limits a
+    ``row_number() = 1`` to one row per key and input partition before it shuffles, whatever the size of a key.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = [*order_by, *[c for c in rest if c not in order_by]]
-    picked = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    ties = [c for c in df.columns if c not in keys and c not in order_by]
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*order_by, *ties)])
+    return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")
 
 
 def fold_lines(df: DataFrame, keys: Sequence[str], add: Sequence[str], last: Sequence[str], seq: str) -> DataFrame:

@@ -26,11 +26,10 @@ def return_rate(returns: DataFrame, products: DataFrame, orders: DataFrame) -> D
 def rate_by_category(returned: DataFrame, products: DataFrame) -> DataFrame:
     """Rate over one row per returned item (``reference_id``, ``product_id``).
 
-    Items are counted per order and product before the join, so the join sees each pair once.
+    Orders are counted by a second grouping of the per-order counts, so that no set of order ids is ever gathered.
     """
-    pairs = returned.groupBy("reference_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    named = pairs.join(products.select("product_id", "category"), "product_id")
-    per_order = named.groupBy("category", "reference_id").agg(F.sum("n").alias("n"))
+    named = returned.join(products.select("product_id", "category"), "product_id")
+    per_order = named.groupBy("category", "reference_id").agg(F.count(F.lit(1)).alias("n"))
     out = per_order.groupBy("category").agg(
         F.sum("n").alias("returns"), F.count("reference_id").alias("orders")
     )

@@ -100,6 +100,16 @@ class Warehouse:
             return self._commits().select(entry.alias("job")).filter("job IS NOT NULL").select("job.*")
         return self._read(table, self.state(), None).drop(_BUCKET)
 
+    def views(self, json_text: bool = False) -> list[str]:
+        """Register every table as a temporary view of its name, for SQL; nested columns as JSON text on request."""
+        for name in TABLES:
+            df = self.read(name)
+            nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
+            if json_text:
+                df = df.withColumns({c: F.to_json(c) for c in nested})
+            df.createOrReplaceTempView(name)
+        return list(TABLES)
+
     def _read(self, table: Table, now: dict, buckets: Sequence[int] | None) -> DataFrame:
         runs = now["tables"].get(table.name, {"runs": {}})["runs"]
         wanted = {b: r for b, r in runs.items() if buckets is None or int(b) in set(buckets)}
@@ -158,8 +168,9 @@ class Warehouse:
     ) -> Change:
         """Merge a staged batch (each key once) into a table; nothing is visible before ``commit``.
 
-        A small batch is broadcast and the table is not shuffled. A large one is shuffled together with the touched
-        buckets, one task per bucket. ``delete_missing`` treats the batch as the whole table and drops other keys.
+        ``rows`` is the counted size of the batch. With a small one the table is not shuffled; a large one is shuffled
+        together with the touched buckets, one task per bucket. ``delete_missing`` treats the batch as the whole table
+        and drops other keys.
         """
         table, now = TABLES[name], self.state()
         buckets = self._bucket_count(table, now)
@@ -177,7 +188,7 @@ class Warehouse:
             target = ops.still_present(target, source, [_KEY])
         merged = ops.merge(
             target, source, [_KEY], table.update, defaults=table.defaults, missing=missing, newer_by=newer_by,
-            null_safe=False, batch_rows=rows if small else None,
+            null_safe=False, small_batch=small,
         )
         return self._write(run, table, merged.drop(_KEY), buckets, touched, delete_missing)
 
