@@ -43,10 +43,20 @@ def _page(df: DataFrame, payload: Column) -> DataFrame:
 
 
 def _list_page(df: DataFrame, key: str, **fields: Column) -> DataFrame:
-    """Pages ``{"key": [record]}``, the key possibly nested one level."""
+    """Pages ``{"key": [record]}``."""
+    return _page(df, _listed(key, **fields))
+
+
+def _either(df: DataFrame, condition: Column, first: Column, second: Column) -> DataFrame:
+    """Pages of two shapes, by a condition on the row."""
+    return df.select(F.when(condition, F.to_json(first)).otherwise(F.to_json(second)).alias("value"))
+
+
+def _listed(key: str, **fields: Column) -> Column:
+    """``{"key": [record]}``, the key possibly nested one level."""
     head, _, tail = key.partition(".")
     records = F.array(_fields(**fields))
-    return _page(df, _fields(**{head: _fields(**{tail: records}) if tail else records}))
+    return _fields(**{head: _fields(**{tail: records}) if tail else records})
 
 
 # --- envelopes -----------------------------------------------------------------------------------------------------
@@ -112,10 +122,9 @@ def _store_order_pages(t: Tables) -> DataFrame:
                     price=F.lit("x")),
         ),
     }
-    text = _list_page(t.wide("orders").filter(status != "F"), "orders", **common, tags=F.lit("a, b"))
-    listed = _list_page(
-        t.wide("orders").filter(status == "F"), "orders", **common, tags=F.array(F.lit("a"), F.col("o_orderpriority")))
-    return text.unionByName(listed)
+    text = _listed("orders", **common, tags=F.lit("a, b"))
+    listed = _listed("orders", **common, tags=F.array(F.lit("a"), F.col("o_orderpriority")))
+    return _either(t.wide("orders"), status == "F", listed, text)
 
 
 _STORE_ID = "CASE WHEN o_orderpriority = '5-LOW' THEN CAST(o_orderkey AS VARCHAR) ELSE '#' || o_orderkey END"
@@ -176,12 +185,11 @@ def store_customers(t: Tables):
         "total_spent": F.when(poor, F.lit("-")).otherwise(_text("c_acctbal")),
         "orders_count": F.col("c_nationkey"),
     }
-    listed = _list_page(
-        t.customer.filter(segment == "MACHINERY"), "customers", **common, tags=F.array(F.lit("vip")))
-    text = _list_page(
-        t.customer.filter(segment != "MACHINERY"), "customers", **common,
-        tags=F.when(segment != "BUILDING", F.concat("c_mktsegment", F.lit(", b,"))).otherwise(F.lit("")))
-    records = object_records(listed.unionByName(text), p.STORE_CUSTOMER, "customers")
+    listed = _listed("customers", **common, tags=F.array(F.lit("vip")))
+    text = _listed("customers", **common, tags=F.when(
+        segment != "BUILDING", F.concat("c_mktsegment", F.lit(", b,"))).otherwise(F.lit("")))
+    pages = _either(t.customer, segment == "MACHINERY", listed, text)
+    records = object_records(pages, p.STORE_CUSTOMER, "customers")
     return store.customers(records).select(
         "customer_id", "email", "created_at", "total_spent", "orders_count", "tags")
 
@@ -292,16 +300,15 @@ def _summaries(t: Tables) -> DataFrame:
         "fulfillmentCenterDetails": F.when(flag != "R", F.array(_fields(fulfillmentCenterCode=_text("l_suppkey")))),
     }
 
-    def page(state: str, reserved: Column) -> DataFrame:
+    def page(reserved: Column) -> Column:
         details = F.when(flag != "A", _fields(
             fulfillableQuantity=F.col("l_quantity").cast("int") - 10, reservedQuantity=reserved,
             inboundWorkingQuantity=F.col("l_linenumber"),
         ))
-        return _list_page(
-            t.wide("lineitem").filter(F.col("l_linestatus") == state), "payload.inventorySummaries", **common,
-            inventoryDetails=details)
+        return _listed("payload.inventorySummaries", **common, inventoryDetails=details)
 
-    return page("F", _fields(totalReservedQuantity=F.lit(3))).unionByName(page("O", F.lit(4)))
+    finished = F.col("l_linestatus") == "F"
+    return _either(t.wide("lineitem"), finished, page(_fields(totalReservedQuantity=F.lit(3))), page(F.lit(4)))
 
 
 _STOCK_SQL = """
@@ -321,14 +328,12 @@ def marketplace_inventory(t: Tables):
 
 @query("marketplace_inventory_by_sku", f"""
 SELECT sku, CAST(sum(on_hand) AS BIGINT) AS on_hand, CAST(sum(reserved) AS BIGINT) AS reserved,
-       CAST(sum(inbound) AS BIGINT) AS inbound, max(fc) AS fc, min(asin) AS asin
+       CAST(sum(inbound) AS BIGINT) AS inbound, max(fc) AS fc
 FROM ({_STOCK_SQL}) GROUP BY sku""")
 def marketplace_inventory_by_sku(t: Tables):
     records = object_records(_summaries(t), p.MARKET_INVENTORY, "payload.inventorySummaries")
     rows = marketplace.inventory(records, _as_of()).withColumn("seq", F.col("fc"))
-    summed = inventory_by_sku(rows, ["on_hand", "reserved", "inbound"], [], "fc", "seq")
-    lowest = rows.groupBy("sku").agg(F.min("asin").alias("asin"))
-    return summed.join(lowest, "sku")
+    return inventory_by_sku(rows, ["on_hand", "reserved", "inbound"], [], "fc", "seq")
 
 
 def _report_text(t: Tables) -> DataFrame:
