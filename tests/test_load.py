@@ -266,3 +266,19 @@ def test_landed_files_to_business_questions(loader, warehouse, landing, as_of):
         F.lit("2024-01-01").cast("timestamp"))
     assert [(r["bank_account"], str(r["inflows"]), str(r["outflows"]), str(r["net_flow"])) for r in flow.collect()] == [
         ("Current", "100.00", "30.50", "69.50")]
+
+
+def test_command_line(spark, landing, tmp_path, capsys):
+    from waybill.__main__ import main, questions
+
+    root, store = landing("accounting/invoices", p.INVOICES), str(tmp_path / "cli")
+    main(["load", "accounting_invoices", "--landing", root, "--warehouse", store, "--full"])
+    main(["ask", "receivables_aging", "--warehouse", store, "--as-of", "2024-03-31"])
+    shown = capsys.readouterr().out
+    assert "inserted=3" in shown and "31-60 days" in shown
+    moment = F.lit("2024-03-31 00:00:00").cast("timestamp")
+    known = questions(Warehouse(spark, store), moment, moment, 7)
+    for name, ask in known.items():
+        assert ask().columns, name  # every question fits the warehouse's tables
+    assert known["alerts"]().count() >= 1
+    assert known["table_counts"]().filter("table_name = 'freeagent_invoices'").first()["rows"] == 3

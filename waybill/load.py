@@ -81,11 +81,13 @@ class Loader:
     ) -> Outcome:
         """Load what changed since the feed's last successful load, with a small overlap and no further back than
         ``lookback`` (by default the feed's own)."""
-        mark = state.last_sync(self.warehouse.read("sync_state"), feed.name)
-        window = lookback or timedelta(hours=feed.lookback_hours)
-        start, end = lookback_window(now, mark.replace(tzinfo=UTC) if mark else None, window)
+        start, end = self._window(feed.name, now, lookback or timedelta(hours=feed.lookback_hours))
         return self.load(feed, landing, end, start, end, **how)
 
+    def _window(self, name: str, now: datetime, lookback: timedelta) -> tuple[datetime, datetime]:
+        mark = state.last_sync(self.warehouse.read("sync_state"), name)
+        return lookback_window(now, mark.replace(tzinfo=UTC) if mark else None, lookback)
+
     def load_lines(
         self, feed: Feed, lines: DataFrame, as_of: datetime, start: datetime | None = None,
         end: datetime | None = None, *, sync_key: str | None = None, delete_missing: bool = False,
@@ -202,6 +204,13 @@ class Loader:
 
         return self._recorded("warehouse_order_status", as_of, work)
 
+    def load_status_since_last(
+        self, landing: str, now: datetime, lookback: timedelta = timedelta(hours=24), **how,
+    ) -> Outcome:
+        """Write what changed in the warehouse's orders since the last such load."""
+        start, end = self._window("warehouse_order_status", now, lookback)
+        return self.load_order_status(landing, end, start, **how)
+
     # --- bookkeeping -----------------------------------------------------------------------------------------------
     def _recorded(
         self, name: str, as_of: datetime, work: Callable[[str], tuple[list[Change], list[Stats]]],
