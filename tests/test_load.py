@@ -277,7 +277,7 @@ def test_command_line(spark, landing, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "inserted=3" in shown and "31-60 days" in shown
     moment = F.lit("2024-03-31 00:00:00").cast("timestamp")
-    known = questions(Warehouse(spark, store), moment, moment, 7)
+    known = questions(Warehouse(spark, store).snapshot(), moment, moment, 7)
     for name, ask in known.items():
         assert ask().columns, name  # every question fits the warehouse's tables
     assert known["alerts"]().count() >= 1

@@ -25,22 +25,24 @@ from waybill.warehouse import Warehouse
 SPECIAL = ("marketplace_settlements", "warehouse_order_status")
 
 
-def store_orders(w: Warehouse) -> DataFrame:
+Read = Callable[[str], DataFrame]
+
+
+def store_orders(read: Read) -> DataFrame:
     """Store orders under the names the daily questions use, with the time they were shipped."""
-    orders = w.read("shopify_orders").withColumns({
+    orders = read("shopify_orders").withColumns({
         "created_at": F.col("purchase_date"), "updated_at": F.col("updated_at_shopify")})
-    return daily.with_fulfilled_at(orders, w.read("shipbob_orders"))
+    return daily.with_fulfilled_at(orders, read("shipbob_orders"))
 
 
-def all_alerts(w: Warehouse, as_of: Column) -> DataFrame:
+def all_alerts(read: Read, as_of: Column) -> DataFrame:
     return alerts.all_alerts(
-        as_of, orders=store_orders(w), inventory=w.read("shipbob_inventory"),
-        feeds=health.feed_health(w.read("sync_state"), as_of), runs=w.read("job_executions"))
+        as_of, orders=store_orders(read), inventory=read("shipbob_inventory"),
+        feeds=health.feed_health(read("sync_state"), as_of), runs=read("job_executions"))
 
 
-def questions(w: Warehouse, as_of: Column, since: Column, days: int) -> dict[str, Callable[[], DataFrame]]:
-    """All business questions over a warehouse."""
-    read = w.read
+def questions(read: Read, as_of: Column, since: Column, days: int) -> dict[str, Callable[[], DataFrame]]:
+    """All business questions over the tables of one warehouse snapshot."""
     return {
         "return_rate": lambda: fulfilment.return_rate(
             read("shipbob_returns"), read("shipbob_products"), read("shopify_orders")),
@@ -53,12 +55,12 @@ def questions(w: Warehouse, as_of: Column, since: Column, days: int) -> dict[str
         "expenses_by_category": lambda: finance.expenses_by_category(
             read("freeagent_bills"), read("freeagent_bank_transaction_explanations"),
             read("freeagent_categories"), since),
-        "fulfilment_by_day": lambda: daily.fulfilment_by_day(store_orders(w), as_of, days),
-        "delivery_by_day": lambda: daily.delivery_by_day(store_orders(w), as_of, days),
-        "revenue_by_day": lambda: daily.revenue_by_day(store_orders(w), as_of, days),
+        "fulfilment_by_day": lambda: daily.fulfilment_by_day(store_orders(read), as_of, days),
+        "delivery_by_day": lambda: daily.delivery_by_day(store_orders(read), as_of, days),
+        "revenue_by_day": lambda: daily.revenue_by_day(store_orders(read), as_of, days),
         "system_stats": lambda: daily.system_stats(
-            store_orders(w), read("shipbob_inventory"), read("shopify_customers"), as_of),
-        "month_report": lambda: month.month_report(store_orders(w)),
+            store_orders(read), read("shipbob_inventory"), read("shopify_customers"), as_of),
+        "month_report": lambda: month.month_report(store_orders(read)),
         "stock_health": lambda: month.stock_health(read("shipbob_inventory")),
         "products_with_stock": lambda: with_stock(read("shipbob_products"), read("shipbob_inventory")),
         "order_links": lambda: order_links(read("shopify_orders"), read("shipbob_orders")),
@@ -66,8 +68,8 @@ def questions(w: Warehouse, as_of: Column, since: Column, days: int) -> dict[str
         "job_health": lambda: health.job_health(read("job_executions"), as_of),
         "recent_jobs": lambda: daily.newest(read("job_executions"), "started_at", ["run_id"], 20),
         "table_counts": lambda: table_counts({name: read(name) for name in TABLES}),
-        "alerts": lambda: all_alerts(w, as_of),
-        "alert_counts": lambda: alerts.severity_counts(all_alerts(w, as_of)),
+        "alerts": lambda: all_alerts(read, as_of),
+        "alert_counts": lambda: alerts.severity_counts(all_alerts(read, as_of)),
     }
 
 
@@ -97,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     warehouse = Warehouse(start(), args.warehouse)
     now = args.as_of or datetime.now(UTC)
     if args.command == "ask":
-        known = questions(warehouse, F.lit(now), F.lit(args.since), args.days)
+        known = questions(warehouse.snapshot(), F.lit(now), F.lit(args.since), args.days)
         if args.question not in known:
             parser.error(f"unknown question; one of {', '.join(known)}")
         known[args.question]().show(args.rows, truncate=False)

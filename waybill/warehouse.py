@@ -11,7 +11,7 @@ entry of its job, so the commits together are the job log.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -92,18 +92,25 @@ class Warehouse:
         return sorted(f"{self.root}/{t}/run={r}" for t, r in folders.collect() if (t, r) not in live)
 
     # --- reading ---------------------------------------------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        """A table as of the newest commit; empty if it was never written. ``job_executions`` is the job log."""
+    def read(self, name: str, now: dict | None = None) -> DataFrame:
+        """A table as of a commit (the newest by default); empty if it was never written. ``job_executions`` is the
+        job log."""
         table = TABLES[name]
         if name == "job_executions":
             entry = F.from_json(F.get_json_object("value", "$.job"), table.ddl)
             return self._commits().select(entry.alias("job")).filter("job IS NOT NULL").select("job.*")
-        return self._read(table, self.state(), None).drop(_BUCKET)
+        return self._read(table, now or self.state(), None).drop(_BUCKET)
+
+    def snapshot(self) -> Callable[[str], DataFrame]:
+        """A reader of all tables as of the newest commit, for questions over several tables."""
+        now = self.state()
+        return lambda name: self.read(name, now)
 
     def views(self, json_text: bool = False) -> list[str]:
         """Register every table as a temporary view of its name, for SQL; nested columns as JSON text on request."""
+        read = self.snapshot()
         for name in TABLES:
-            df = self.read(name)
+            df = read(name)
             nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
             if json_text:
                 df = df.withColumns({c: F.to_json(c) for c in nested})
