@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 _FRACTION = r"^\s*[+-]?(?:\d+\.\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
 
 def coerce_int(value: Column) -> Column:
     """Whole number of a text: ``"95.0"`` -> 95, ``"45.7"`` -> 45 (toward zero), anything else NULL."""
     text = value.cast("string")
-    fraction = F.when(text.rlike(_FRACTION), F.trim(text).try_cast("double").try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), fraction)
+    # A failing cast costs an exception per row, so the pattern decides first which cast will succeed.
+    return (
+        F.when(text.rlike(_INTEGER), F.trim(text).try_cast("bigint"))
+        .when(text.rlike(_FRACTION), F.trim(text).try_cast("double").try_cast("bigint"))
+    )
 
 
 def coerce_int_or_zero(value: Column) -> Column:
