@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import simhash
+from waybill.llm import decontaminate, simhash
 
 QUERIES = {}
 SQL = {}
@@ -27,3 +27,27 @@ def query(name: str, sql: str | None = None):
 @query("op1_simhash_near_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=4, radius=4)
+
+
+_HIT_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op10_benchmark_decontamination", f"""
+WITH d AS (SELECT doc_id, {_HIT_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_HIT_WORDS} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS g
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+            FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+h AS (SELECT doc_id, s.n, i, item_id FROM s JOIN p ON s.n = p.n AND s.g = p.g),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit
+        FROM (SELECT doc_id, i, unnest(range(0, n)) AS k FROM (SELECT DISTINCT doc_id, n, i FROM h)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(t, ',' ORDER BY t)) AS digest
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
