@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, simhash
+from waybill.llm import decontaminate, simhash, tokens
 
 QUERIES = {}
 SQL = {}
@@ -51,3 +52,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
+
+
+@query("op8_token_id_output")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
