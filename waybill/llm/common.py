@@ -53,3 +53,15 @@ def drop(spark: SparkSession, folder: str, name: str = "") -> None:
     """Remove a staged table, or the whole folder, in whatever file system it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def count_words(text: Column) -> Column:
+    """How many words a text has, without keeping them."""
+    t = F.coalesce(text, F.lit(""))
+    edge = F.substring(t, 1, 1).rlike(GAP).cast("long") + F.substring(t, -1, 1).rlike(GAP).cast("long")
+    return F.when(t == "", F.lit(0).cast("long")).otherwise(F.size(F.split(t, GAP)) - edge)
+
+
+def unit(*parts: Column) -> Column:
+    """A number in (0, 1) that depends on the parts alone."""
+    return (F.shiftrightunsigned(F.xxhash64(*parts), 11) + 0.5) / float(1 << 53)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, simhash, tokens
+from waybill.llm import decontaminate, mixing, simhash, tokens
 
 QUERIES = {}
 SQL = {}
@@ -57,3 +57,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_id_output")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query("op6_mix_sources")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents"), weights=(5, 2, 1), cap=3)
