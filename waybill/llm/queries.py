@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, mixing, simhash, tokens
+from waybill.llm import decontaminate, mixing, sharding, simhash, tokens
 
 QUERIES = {}
 SQL = {}
@@ -62,3 +62,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_mix_sources")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents"), weights=(5, 2, 1), cap=3)
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(table(spark, folder, "documents"), shards=24)
