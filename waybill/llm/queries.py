@@ -73,10 +73,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
 f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING min(doc_id) < max(doc_id)),
-r AS (SELECT DISTINCT doc_id, i + k AS at FROM (SELECT s.doc_id, i, unnest(range(0, 13)) AS k FROM s JOIN f ON s.g = f.g WHERE first < doc_id)),
-k AS (SELECT d.doc_id, d.at, word FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM d) d
-      ANTI JOIN r ON r.doc_id = d.doc_id AND r.at = d.at),
-t AS (SELECT doc_id, count(*) AS n, sha256(string_agg(word, ' ' ORDER BY at)) AS digest FROM k GROUP BY doc_id)
+r AS (SELECT DISTINCT doc_id, i + k AS pos FROM (SELECT s.doc_id, i, unnest(range(0, 13)) AS k FROM s JOIN f ON s.g = f.g WHERE first < doc_id)),
+k AS (SELECT d.doc_id, d.pos, word FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d) d
+      ANTI JOIN r ON r.doc_id = d.doc_id AND r.pos = d.pos),
+t AS (SELECT doc_id, count(*) AS n, sha256(string_agg(word, ' ' ORDER BY pos)) AS digest FROM k GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, coalesce(digest, sha256('')) AS kept_sha256
 FROM d LEFT JOIN t USING (doc_id)
 """)
