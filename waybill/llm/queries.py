@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, mixing, sharding, simhash, substring, tokens
+from waybill.llm import decontaminate, mixing, rules, sharding, simhash, substring, tokens
 
 QUERIES = {}
 SQL = {}
@@ -82,3 +82,8 @@ FROM d LEFT JOIN t USING (doc_id)
 """)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return substring.without_repeats(table(spark, folder, "documents"), width=13, texts=False)
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
