@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, mixing, rules, sharding, simhash, substring, tokens
+from waybill.llm import decontaminate, langid, mixing, rules, sharding, simhash, substring, tokens
 
 QUERIES = {}
 SQL = {}
@@ -87,3 +87,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_quality_rules")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.report(table(spark, folder, "documents"), of=4, fold=2)
