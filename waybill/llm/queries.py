@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, langid, mixing, rules, sharding, simhash, substring, tokens
+from waybill.llm import decontaminate, langid, lm, mixing, rules, sharding, simhash, substring, tokens
 
 QUERIES = {}
 SQL = {}
@@ -92,3 +92,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_language_id")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return langid.report(table(spark, folder, "documents"), of=4, fold=2)
+
+
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.report(table(spark, folder, "documents"), of=10, fold=0, deleted=1)
