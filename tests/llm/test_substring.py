@@ -78,4 +78,4 @@ def test_sketch_never_counts_too_low(spark):
     _, inverse, many = np.unique(hashes, axis=0, return_inverse=True, return_counts=True)
     twice = many[inverse.reshape(-1)] > 1
     for row, cell in enumerate(substring.cells(hashes, 12)):
-        assert (bits[row][cell >> 3] >> (cell & 7) & 1)[twice].all()
+        assert (np.frombuffer(bits[row], np.uint8)[cell >> 3] >> (cell & 7) & 1)[twice].all()

@@ -148,7 +148,7 @@ def _shared(spark: SparkSession, merged: DataFrame, bits: int):
     whole = np.zeros((ROWS, 1 << bits - segment_bits, max(1, 1 << segment_bits >> 3)), np.uint8)
     for row, segment, data in merged.toLocalIterator():
         whole[row, segment] = np.frombuffer(zstandard.decompress(bytes(data)), np.uint8)
-    return spark.sparkContext.broadcast(whole.reshape(ROWS, -1))
+    return spark.sparkContext.broadcast([row.tobytes() for row in whole])  # bytes, which workers load without a copy
 
 
 def candidates(docs: DataFrame, width: int, bits: int, shared) -> DataFrame:
@@ -170,7 +170,7 @@ def candidates(docs: DataFrame, width: int, bits: int, shared) -> DataFrame:
                 for row, cell in enumerate(cells(hashes, bits)):
                     kept = np.flatnonzero(keep)
                     cell = cell[kept]
-                    keep[kept] = shared.value[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1
+                    keep[kept] = np.frombuffer(shared.value[row], np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1
                 text = text[keep] + first
                 held.append((hashes[keep, 0], hashes[keep, 1], ids[text], marks[text], start[keep]))
                 size += len(text)
@@ -232,19 +232,27 @@ def kept_words(words: list[bytes], starts: np.ndarray, width: int) -> list[bytes
 def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: str = "doc_id", texts: bool = True) -> DataFrame:
     """``(key, n_words, n_removed, kept_sha256)`` of every document, and ``kept``, the words left, if ``texts``."""
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession)
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"),
-                       F.xxhash64(F.col(text)).bitwiseAND(0x7FFFFFFF).alias("mark"))
+    ids = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    # Texts are told apart by a hash only where ids repeat; a constant takes no room in the shuffles.
+    repeated = ids.groupBy("id").count().where("id IS NOT NULL AND count > 1").limit(1).count()
+    rows = ids.withColumn("mark", F.xxhash64("t").bitwiseAND(0x7FFFFFFF) if repeated else F.lit(0).cast("long"))
     named = rows.where("id IS NOT NULL")
     size = named.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     bits = min(max((size * ROOM // WORD_BYTES).bit_length(), LEAST_BITS), MOST_BITS)
     shared = _shared(spark, stage(sketch(named, width, bits), folder, "sketch"), bits)
     starts = removed_starts(candidates(named, width, bits, shared))
 
+    def pack(batches):
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            packed = [packer.compress(b" ".join((t or "").encode().split())) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["id", "z", "mark"])
+
     def cut(batches):
         for batch in batches:
             out = []
-            for t, some, lists in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
-                words = kept = (t or "").encode().split()
+            for z, some, lists in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+                words = kept = zstandard.decompress(z).split()
                 if some or lists:
                     at = np.concatenate([np.array(some or [], np.int64), *(np.frombuffer(x, "<u4") for x in lists or [])])
                     kept = kept_words(words, at.astype(np.int64), width)
@@ -256,5 +264,6 @@ def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: s
                 [:5 if texts else 4], ["id", "n_words", "n_removed", "kept_sha256", "kept"][:5 if texts else 4])
 
     shape = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    return (rows.join(starts, ["id", "mark"], "left").select("id", "t", "starts", "lists").mapInArrow(cut, shape)
+    packed = rows.mapInArrow(pack, "id long, z binary, mark long")
+    return (packed.join(starts, ["id", "mark"], "left").select("id", "z", "starts", "lists").mapInArrow(cut, shape)
             .withColumnRenamed("id", key))
