@@ -73,3 +73,14 @@ def test_odd_rows(spark):
     check(spark, docs, [])
     check(spark, [], bench)
     check(spark, [(1, "zeta", 3, "q")], bench, "doc_id long, text string, n_words int, items string")
+
+
+def test_clean_keeps_the_others_whole(spark, monkeypatch):
+    rows, bench = corpus(9)
+    df = spark.createDataFrame([(*r, r[0] * 2, "x") for r in rows], "doc_id long, text string, n long, items string")
+    tests = spark.createDataFrame(bench, "item_id long, text string")
+    want = {r[0] for r in brute(rows, bench) if not r[-1]}
+    out = dc.clean(df, tests)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == want
+    monkeypatch.setattr(dc, "PATTERN_BYTES", 900)
+    assert {r.doc_id for r in dc.clean(df, tests).collect()} == want

@@ -102,3 +102,12 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(40)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long"), work_folder(spark)).collect())
     assert got == {i: 0 for i in range(1, 51)} | {100 + i: 100 for i in range(1, 40)}
+
+
+def test_keep_one(spark):
+    rows = [(3, "a b c d e", "x"), (1, "A b c d e", "y"), (1, "A b c d e", "z"), (None, "solo", "p"), (None, "solo", "q"), (7, None, "r"),
+            (8, "", "s"), (9, "something else here", "t")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, row string")).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.doc_id is None, r.doc_id))] == [1, 7, 9, None]
+    assert all(tuple(r) in rows for r in got)
+    assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).collect() == []

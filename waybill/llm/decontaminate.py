@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,16 +196,19 @@ aggregate(
 UNITED = f"if(size(spans) = 0, cast(array() AS array<struct<a: bigint, b: bigint>>), {UNITED})"
 
 
-def contaminated(search: Search) -> Column:
-    """A function of a text column: whether any pattern occurs. For filters that keep a document's other columns."""
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text") -> DataFrame:
+    """The documents in which no window of the benchmark occurs, with all their columns."""
+    for search in searches(benchmark, width):
+        shared = docs.sparkSession.sparkContext.broadcast(search)  # at most PATTERN_BYTES of patterns
 
-    @F.pandas_udf(T.BooleanType())
-    def any_hit(texts):
-        import pandas as pd
+        @F.pandas_udf(T.BooleanType())
+        def free(texts, shared=shared):
+            import pandas as pd
 
-        return pd.Series([bool(spans) for _, spans, _ in search.documents(texts.tolist())], dtype=bool)
+            return pd.Series([not spans for _, spans, _ in shared.value.documents(texts.tolist())], dtype=bool)
 
-    return any_hit
+        docs = docs.where(free(F.col(text)))
+    return docs
 
 
 def report(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

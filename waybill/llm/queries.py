@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, langid, lm, mixing, rules, sharding, simhash, substring, tokens
+from waybill.llm import decontaminate, langid, lm, mixing, rules, sharding, simhash, substring, tokens, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -97,3 +97,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_lm_scoring")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return lm.report(table(spark, folder, "documents"), of=10, fold=0, deleted=1)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))

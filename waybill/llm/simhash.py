@@ -255,3 +255,23 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, text: str
     named = member.join(first, "root").select("fp", "component_id")
     return sigs.join(named, "fp").select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                          "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 4, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One document of each component, with the columns of ``docs``: that of the smallest key (null last).
+
+    Of rows that share it, the first by place stays. Rows are numbered in a written copy, so a retried task cannot
+    number them anew.
+    """
+    folder = work_folder(docs.sparkSession)
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()), folder, "numbered")
+    sigs = stage(fingerprints(numbered, width, text, name), folder, "sigs")
+    member = stage(groups(sigs, radius, folder), folder, "member")
+    place = numbered.select(F.col(name).alias("id"), F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"),
+                                                             F.col(name).alias("id")).alias("place"))
+    kept = (sigs.join(place, "id").join(member, "fp").groupBy("root").agg(F.min("place").alias("place"))
+            .select(F.col("place.id").alias(name)))
+    return numbered.join(kept, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
