@@ -31,29 +31,29 @@ def by(rows_, key):
 def test_store_orders(spark, landing):
     root = landing("store/orders", p.STORE_ORDERS)
     orders = by(rows(spark, "store_orders", root), "order_id")
-    assert set(orders) == {"#1001", "#1002"}
-    first, second = orders["#1001"], orders["#1002"]
-    assert first["shopify_internal_id"] == "4755551001" and first["total"] == Decimal("29.99")
-    assert first["customer_id"] == "123456789" and first["tags"] == "new, gift"
+    assert set(orders) == {"#A-17", "#A-18"}
+    first, second = orders["#A-17"], orders["#A-18"]
+    assert first["shopify_internal_id"] == "880010017" and first["total"] == Decimal("64.20")
+    assert first["customer_id"] == "70071" and first["tags"] == "new, gift"
     assert (first["tracking_number"], first["carrier"]) == ("T1", "UPS")
     assert first["billing_address"] == '{"city":"Leeds","zip":"LS1"}'
     assert second["fulfillment_status"] is None and second["customer_id"] == "" and second["tags"] == "a, b"
     items = child_rows(spark, "store_orders", root)
     assert sorted((i["order_id"], i["sku"], i["qty"], str(i["price"])) for i in items) == [
-        ("#1001", "TEST-PRODUCT-001", 2, "14.99"), ("#1002", "77", 1, "45.50")]
+        ("#A-17", "MUG-BLUE", 2, "32.10"), ("#A-18", "77", 1, "18.75")]
 
 
 def test_range_and_history(spark, landing):
     root = landing("store/orders", p.STORE_ORDERS, p.STORE_ORDERS)
     assert len(rows(spark, "store_orders", root)) == 4
-    late = rows(spark, "store_orders", root, start=F.lit("2023-12-02 00:00:00").cast("timestamp"))
-    assert {r["order_id"] for r in late} == {"#1002"}
+    late = rows(spark, "store_orders", root, start=F.lit("2024-02-02 00:00:00").cast("timestamp"))
+    assert {r["order_id"] for r in late} == {"#A-18"}
 
 
 def test_store_customers(spark, landing):
     root = landing("store/customers", p.STORE_CUSTOMERS)
     found = by(rows(spark, "store_customers", root), "customer_id")
-    assert found["1"]["tags"] == '["VIP","frequent_buyer"]' and found["2"]["tags"] is None
+    assert found["1"]["tags"] == '["wholesale","net30"]' and found["2"]["tags"] is None
     assert found["2"]["total_spent"] == Decimal("0.00") and found["2"]["email"] == ""
 
 
@@ -68,34 +68,34 @@ def test_marketplace(spark, landing):
     root = landing("marketplace/orders", p.MARKET_ORDERS)
     landing("marketplace/order_items", p.MARKET_ITEMS)
     orders = by(rows(spark, "marketplace_orders", root), "order_id")
-    assert set(orders) == {"123-1", "123-2"}
-    assert orders["123-2"]["customer_id"] == "" and orders["123-2"]["total"] is None
-    strict = rows(spark, "marketplace_orders", root, start=F.lit("2023-12-02 00:00:00").cast("timestamp"))
-    assert {r["order_id"] for r in strict} == {"123-2"}  # strictly after
+    assert set(orders) == {"M-501", "M-502"}
+    assert orders["M-502"]["customer_id"] == "" and orders["M-502"]["total"] is None
+    strict = rows(spark, "marketplace_orders", root, start=F.lit("2024-02-02 00:00:00").cast("timestamp"))
+    assert {r["order_id"] for r in strict} == {"M-502"}  # strictly after
     (item,) = rows(spark, "marketplace_order_items", root)
     assert (item["order_id"], item["sku"], item["qty"], str(item["price"]), str(item["tax"])) == (
-        "123-1", "SKU-1", 2, "25.99", "4.00") and item["fee_estimate"] is None
+        "M-501", "SKU-1", 2, "60.20", "9.63") and item["fee_estimate"] is None
 
 
 def test_marketplace_inventory(spark, landing):
     root = landing(
         "marketplace/inventory",
-        p.stock_page(p.stock("TEST-SKU-001", 25, 3, 5, "LTN1"), p.stock("  ", 1, 1, 1, "X"),
-                     p.stock("TEST-SKU-003", -4, {"totalReservedQuantity": 7}, 15, "LTN1")),
-        p.stock_page(p.stock("TEST-SKU-001", 20, "2", 3, "MAN2"), p.stock("BAD", "many", 0, 0, "X")))
+        p.stock_page(p.stock("LAMP-S", 31, 4, 6, "HUB1"), p.stock("  ", 1, 1, 1, "X"),
+                     p.stock("LAMP-L", -6, {"totalReservedQuantity": 9}, 13, "HUB1")),
+        p.stock_page(p.stock("LAMP-S", 11, "2", 1, "HUB2"), p.stock("BAD", "many", 0, 0, "X")))
     found = by(rows(spark, "marketplace_inventory", root), "sku")
-    assert set(found) == {"TEST-SKU-001", "TEST-SKU-003"}
-    one = found["TEST-SKU-001"]
-    assert (one["quantity_on_hand"], one["quantity_reserved"], one["quantity_incoming"]) == (45, 5, 8)
-    assert one["fulfillment_center"] == "MAN2" and one["source"] == "amazon"
-    assert (found["TEST-SKU-003"]["quantity_on_hand"], found["TEST-SKU-003"]["quantity_reserved"]) == (0, 7)
+    assert set(found) == {"LAMP-S", "LAMP-L"}
+    one = found["LAMP-S"]
+    assert (one["quantity_on_hand"], one["quantity_reserved"], one["quantity_incoming"]) == (42, 6, 7)
+    assert one["fulfillment_center"] == "HUB2" and one["source"] == "amazon"
+    assert (found["LAMP-L"]["quantity_on_hand"], found["LAMP-L"]["quantity_reserved"]) == (0, 9)
 
 
 def test_settlement_report(spark, landing):
     root = landing("marketplace/settlements", name="r1.tsv", text=p.report(p.SETTLEMENT_ROWS))
     lines = marketplace.settlement_lines(read_report(spark, f"{root}/marketplace/settlements")).collect()
-    assert len(lines) == 4 and {x["order_id"] for x in lines if x["fee_type"] == "FBA Fee"} == {None}
-    assert sum(x["amount"] for x in lines) == Decimal("4.09")
+    assert len(lines) == 5 and {x["order_id"] for x in lines if x["fee_type"] == "Storage"} == {None}
+    assert sum(x["amount"] for x in lines) == Decimal("59.99")
 
 
 def test_report_headers_must_agree(spark, landing):
@@ -110,10 +110,10 @@ def test_report_headers_must_agree(spark, landing):
 def test_warehouse_inventory(spark, landing, wrap):
     root = landing("warehouse/inventory", wrap(p.WAREHOUSE_INVENTORY))
     found = by(rows(spark, "warehouse_inventory", root), "sku")
-    assert set(found) == {"PRODUCT-001", "PRODUCT-002"}
-    first, second = found["PRODUCT-001"], found["PRODUCT-002"]
-    assert (first["quantity_on_hand"], first["quantity_available"], first["quantity_reserved"]) == (95, 100, None)
-    assert [second[c] for c in fulfilment.STOCK] == [50, 48, 2, 0, 45, 5, 1, 0]
+    assert set(found) == {"TENT-2P", "TENT-4P"}
+    first, second = found["TENT-2P"], found["TENT-4P"]
+    assert (first["quantity_on_hand"], first["quantity_available"], first["quantity_reserved"]) == (61, 70, None)
+    assert [second[c] for c in fulfilment.STOCK] == [36, 33, 3, 0, 31, 7, 4, 0]
 
 
 def test_page_per_file(spark, landing):
@@ -141,14 +141,14 @@ def test_order_statuses(spark, landing):
     records = feed.records(read_lines(spark, f"{root}/warehouse/orders"))
     found = by([r.asDict(recursive=True) for r in fulfilment.order_statuses(
         records, F.lit("2023-01-02 00:00:00").cast("timestamp")).collect()], "order_id")
-    assert set(found) == {"#1001", "shopify-order-002"}
-    assert found["#1001"]["status"] == "shipped"
-    assert found["#1001"]["tracking"]["tracking_number"] == "1234567890"
-    assert found["#1001"]["tracking"]["carrier"] == "USPS"
-    assert found["shopify-order-002"]["status"] == "processing" and found["shopify-order-002"]["tracking"] is None
+    assert set(found) == {"#A-17", "web-552"}
+    assert found["#A-17"]["status"] == "shipped"
+    assert found["#A-17"]["tracking"]["tracking_number"] == "RX77-40"
+    assert found["#A-17"]["tracking"]["carrier"] == "DHL"
+    assert found["web-552"]["status"] == "processing" and found["web-552"]["tracking"] is None
     full = by(rows(spark, "warehouse_orders", root), "shipbob_order_id")
-    assert full["12345"]["carrier"] == "Postal" and full["12345"]["total_cost"] == Decimal("12.50")
-    assert full["12345"]["shipped_date"] == datetime(2023, 1, 2) and full["67890"]["tracking_number"] == ""
+    assert full["7101"]["carrier"] == "DHL Parcel" and full["7101"]["total_cost"] == Decimal("17.25")
+    assert full["7101"]["shipped_date"] == datetime(2023, 1, 2) and full["7102"]["tracking_number"] == ""
     assert len(rows(spark, "warehouse_orders", root, limit=2)) == 2
 
 
@@ -156,12 +156,12 @@ def test_returns_and_receiving(spark, landing):
     root = landing("warehouse/returns", p.RETURNS)
     landing("warehouse/receiving", p.RECEIVING)
     (ret,) = rows(spark, "warehouse_returns", root)
-    assert ret["total_cost"] == Decimal("2.50") and ret["fulfillment_center_id"] == "1"
-    assert ret["items"] == [{"inventory_id": "1001", "name": "Test Product", "quantity": 1,
-                             "action_requested": "Restock", "action_instructions": "Return to inventory"}]
-    assert ret["completed_date"] == datetime(2023, 1, 20, 14, 30)
+    assert ret["total_cost"] == Decimal("3.40") and ret["fulfillment_center_id"] == "1"
+    assert ret["items"] == [{"inventory_id": "5001", "name": "Two-person tent", "quantity": 2,
+                             "action_requested": "Quarantine", "action_instructions": "Check the poles"}]
+    assert ret["completed_date"] == datetime(2023, 3, 9, 16, 45)
     (wro,) = rows(spark, "warehouse_receiving", root)
-    assert wro["inventory_quantities"][0]["received_quantity"] == 98
+    assert wro["inventory_quantities"][0]["received_quantity"] == 30
     assert not rows(spark, "warehouse_returns", root, start=F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
@@ -185,15 +185,15 @@ def test_accounting(spark, landing):
     ):
         landing(f"accounting/{folder}", page)
     (contact,) = rows(spark, "accounting_contacts", root)
-    assert contact["contact_id"] == "123" and contact["uses_contact_invoice_sequence"] == "True"
-    assert contact["account_balance"] == Decimal("1500.50") and contact["created_at_api"] is None
+    assert contact["contact_id"] == "310" and contact["uses_contact_invoice_sequence"] == "True"
+    assert contact["account_balance"] == Decimal("-72.30") and contact["created_at_api"] is None
     invoices = by(rows(spark, "accounting_invoices", root), "invoice_id")
-    assert invoices["456"]["project_id"] is None and invoices["457"]["project_id"] == "9"
-    assert invoices["456"]["outside_of_sales_tax_scope"] == "False"
-    assert invoices["456"]["initial_sales_tax_rate"] == Decimal("20.00")
+    assert invoices["611"]["project_id"] is None and invoices["612"]["project_id"] == "9"
+    assert invoices["611"]["outside_of_sales_tax_scope"] == "False"
+    assert invoices["611"]["initial_sales_tax_rate"] == Decimal("17.50")
     categories = by(rows(spark, "accounting_categories", root), "category_id")
-    assert categories["789"]["parent_category_id"] == "750" and categories["790"]["parent_category_id"] is None
-    assert categories["790"]["allowable_for_tax"] is None
+    assert categories["420"]["parent_category_id"] == "400" and categories["430"]["parent_category_id"] is None
+    assert categories["430"]["allowable_for_tax"] is None
     only = rows(spark, "accounting_bank_transactions", root, only={"bank_account_id": "2"})
     assert [r["transaction_id"] for r in only] == ["3"]
     ledger = by(rows(spark, "accounting_transactions", root), "transaction_id")

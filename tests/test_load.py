@@ -38,12 +38,12 @@ def test_orders_and_items_load_together(loader, warehouse, landing, as_of):
     first = loader.load(FEEDS["store_orders"], root, as_of)
     assert counts(first) == {"shopify_orders": (2, 2, 0), "shopify_order_items": (2, 2, 0)}
     orders = rows(warehouse, "shopify_orders", "order_id")
-    assert orders["#1001"]["total"] == Decimal("29.99") and orders["#1001"]["storefront"] == "shopify"
-    assert orders["#1001"]["created_at"] == as_of.replace(tzinfo=None)
+    assert orders["#A-17"]["total"] == Decimal("64.20") and orders["#A-17"]["storefront"] == "shopify"
+    assert orders["#A-17"]["created_at"] == as_of.replace(tzinfo=None)
     again = loader.load(FEEDS["store_orders"], root, as_of + timedelta(days=1))
     assert counts(again) == {"shopify_orders": (2, 0, 2), "shopify_order_items": (2, 0, 2)}
     kept = rows(warehouse, "shopify_orders", "order_id")
-    assert kept["#1001"]["created_at"] == as_of.replace(tzinfo=None)  # a merge keeps the time of the insert
+    assert kept["#A-17"]["created_at"] == as_of.replace(tzinfo=None)  # a merge keeps the time of the insert
     log = warehouse.read("job_executions").orderBy("started_at").collect()
     assert [(r["status"], r["records_inserted"], r["records_updated"]) for r in log] == [
         ("success", 4, 0), ("success", 0, 4)]
@@ -81,7 +81,7 @@ def test_failed_load_leaves_tables_alone_and_is_noted(loader, warehouse, landing
     landing("store/orders", changed)
     with pytest.raises(RuntimeError):
         loader.load(FEEDS["store_orders"], root, as_of + timedelta(days=1))
-    assert rows(warehouse, "shopify_orders", "order_id")["#1001"]["total"] == Decimal("29.99")
+    assert rows(warehouse, "shopify_orders", "order_id")["#A-17"]["total"] == Decimal("64.20")
     state = rows(warehouse, "sync_state", "domain")["store_orders"]
     assert (state["status"], state["error_count"], state["error_message"]) == ("error", 1, "lost")
     assert state["last_synced_at"] == as_of.replace(tzinfo=None)
@@ -123,20 +123,20 @@ def test_orphans_are_dropped(loader, warehouse, landing, as_of):
 def test_settlements_reload(loader, warehouse, landing, as_of):
     root = landing("marketplace/settlements", name="r1.tsv", text=p.report(p.SETTLEMENT_ROWS))
     first = loader.load_settlements(root, as_of)
-    assert counts(first) == {"settlements": (1, 1, 0), "settlement_lines": (4, 4, 0)}
+    assert counts(first) == {"settlements": (1, 1, 0), "settlement_lines": (5, 5, 0)}
     (header,) = warehouse.read("settlements").collect()
-    assert header["gross"] == header["net"] == Decimal("4.09") and header["currency"] == "EUR"
-    assert header["refunds"] == Decimal("-15.50") and header["fees"] == Decimal("-6.40")
-    assert header["period_end"] == datetime(2023, 12, 7, 23, 59, 59)
-    assert counts(loader.load_settlements(root, as_of))["settlement_lines"] == (4, 0, 4)
+    assert header["gross"] == header["net"] == Decimal("59.99") and header["currency"] == "EUR"
+    assert header["refunds"] == Decimal("-42.00") and header["fees"] == Decimal("-18.41")
+    assert header["period_end"] == datetime(2024, 2, 20, 23, 59, 59)
+    assert counts(loader.load_settlements(root, as_of))["settlement_lines"] == (5, 0, 5)
 
 
 def test_settlement_lines_of_equal_content_are_all_kept(loader, warehouse, landing, as_of):
     twice = [*p.SETTLEMENT_ROWS, p.SETTLEMENT_ROWS[3], p.SETTLEMENT_ROWS[3]]
     root = landing("marketplace/settlements", name="r1.tsv", text=p.report(twice))
     loader.load_settlements(root, as_of)
-    assert counts(loader.load_settlements(root, as_of))["settlement_lines"] == (6, 0, 6)
-    assert warehouse.read("settlement_lines").count() == 6
+    assert counts(loader.load_settlements(root, as_of))["settlement_lines"] == (7, 0, 7)
+    assert warehouse.read("settlement_lines").count() == 7
 
 
 def test_order_status_updates_only(loader, warehouse, landing, as_of):
@@ -146,9 +146,9 @@ def test_order_status_updates_only(loader, warehouse, landing, as_of):
     (stats,) = loader.load_order_status(root, as_of, SINCE).tables
     assert (stats.processed, stats.inserted, stats.updated) == (2, 0, 1)
     orders = rows(warehouse, "shopify_orders", "order_id")
-    assert set(orders) == {"#1001", "#1002"}
-    assert (orders["#1001"]["status"], orders["#1001"]["tracking_number"]) == ("shipped", "1234567890")
-    assert orders["#1001"]["tracking_updated_at"] == datetime(2023, 1, 3) and orders["#1002"]["status"] == "pending"
+    assert set(orders) == {"#A-17", "#A-18"}
+    assert (orders["#A-17"]["status"], orders["#A-17"]["tracking_number"]) == ("shipped", "RX77-40")
+    assert orders["#A-17"]["tracking_updated_at"] == datetime(2023, 1, 3) and orders["#A-18"]["status"] == "pending"
 
 
 def test_full_refresh_may_drop_vanished_keys(loader, warehouse, landing, as_of):
@@ -165,10 +165,10 @@ def test_newer_copy_of_a_record_wins(loader, warehouse, landing, as_of):
     old = {"orders": [{**p.STORE_ORDERS["orders"][0], "updated_at": "2023-11-01T00:00:00Z", "total_price": "1.00"}]}
     root = landing("store/orders", p.STORE_ORDERS, old)
     loader.load(FEEDS["store_orders"], root, as_of)
-    assert rows(warehouse, "shopify_orders", "order_id")["#1001"]["total"] == Decimal("29.99")
+    assert rows(warehouse, "shopify_orders", "order_id")["#A-17"]["total"] == Decimal("64.20")
     landing("store/orders", old)
     loader.load(FEEDS["store_orders"], root, as_of, newer_by=None)
-    assert rows(warehouse, "shopify_orders", "order_id")["#1001"]["total"] == Decimal("1.00")
+    assert rows(warehouse, "shopify_orders", "order_id")["#A-17"]["total"] == Decimal("1.00")
 
 
 def test_large_batch_is_shuffled_into_buckets(spark, warehouse, as_of, monkeypatch):
@@ -198,12 +198,12 @@ def test_empty_feed_loads_nothing(loader, warehouse, landing, as_of):
 def test_incremental_load_starts_at_the_mark(loader, warehouse, landing):
     root = landing("store/orders", p.STORE_ORDERS)
     feed = FEEDS["store_orders"]
-    now = datetime(2023, 12, 1, 12, 0, tzinfo=UTC)
-    assert loader.load_new(feed, root, now).total("processed") == 2  # #1001 and its item
+    now = datetime(2024, 2, 1, 12, 0, tzinfo=UTC)
+    assert loader.load_new(feed, root, now).total("processed") == 2  # #A-17 and its item
     later = loader.load_new(feed, root, now + timedelta(days=1), timedelta(days=30))
-    assert later.total("processed") == 2 and later.total("inserted") == 2  # only #1002: the mark is past #1001
+    assert later.total("processed") == 2 and later.total("inserted") == 2  # only #A-18: the mark is past #A-17
     state = rows(warehouse, "sync_state", "domain")["store_orders"]
-    assert state["last_synced_at"] == datetime(2023, 12, 2, 12, 0)
+    assert state["last_synced_at"] == datetime(2024, 2, 2, 12, 0)
 
 
 def test_views_answer_sql(spark, loader, warehouse, landing, as_of):
@@ -214,10 +214,10 @@ def test_views_answer_sql(spark, loader, warehouse, landing, as_of):
         SELECT purchase_order_number, sum(q.received_quantity) * 100 / nullif(sum(q.expected_quantity), 0) AS rate
         FROM shipbob_receiving_orders LATERAL VIEW explode(inventory_quantities) AS q
         WHERE status = 'Completed' GROUP BY wro_id, purchase_order_number""").first()
-    assert tuple(row) == ("PO-2023-001", 98.0)
+    assert tuple(row) == ("PO-88", 75.0)
     warehouse.views(json_text=True)
     text = spark.table("shipbob_receiving_orders").first()["inventory_quantities"]
-    assert '"received_quantity":98' in text
+    assert '"received_quantity":30' in text
 
 
 def test_check_unique(spark):
@@ -233,10 +233,10 @@ def test_stream_matches_batch(loader, warehouse, landing, as_of, tmp_path):
     feed = FEEDS["store_orders"]
     stream_feed(loader, feed, root, check, clock=lambda: as_of).awaitTermination()
     assert warehouse.read("shopify_orders").count() == 2
-    more = {"orders": [{**p.STORE_ORDERS["orders"][0], "name": "#1003", "id": 5}]}
+    more = {"orders": [{**p.STORE_ORDERS["orders"][0], "name": "#A-19", "id": 5}]}
     landing("store/orders", more, name="later.json")
     stream_feed(loader, feed, root, check, clock=lambda: as_of).awaitTermination()
-    assert set(rows(warehouse, "shopify_orders", "order_id")) == {"#1001", "#1002", "#1003"}
+    assert set(rows(warehouse, "shopify_orders", "order_id")) == {"#A-17", "#A-18", "#A-19"}
     assert rows(warehouse, "sync_state", "domain")["store_orders"]["last_sync_key"] == "1"
     assert warehouse.read("job_executions").count() == 2
 
@@ -260,12 +260,12 @@ def test_landed_files_to_business_questions(loader, warehouse, landing, as_of):
         loader.load(FEEDS[f"accounting_{kind}"], root, as_of)
     aging = finance.receivables_aging(warehouse.read("freeagent_invoices"), F.lit(as_of))
     assert {(r["aging_bucket"], r["invoice_count"], str(r["total_outstanding"])) for r in aging.collect()} == {
-        ("31-60 days", 1, "1200.00"), ("90+ days", 1, "50.00")}
+        ("31-60 days", 1, "840.00"), ("90+ days", 1, "65.00")}
     flow = finance.cash_flow(
         warehouse.read("freeagent_bank_transactions"), warehouse.read("freeagent_bank_accounts"),
         F.lit("2024-01-01").cast("timestamp"))
     assert [(r["bank_account"], str(r["inflows"]), str(r["outflows"]), str(r["net_flow"])) for r in flow.collect()] == [
-        ("Current", "100.00", "30.50", "69.50")]
+        ("Current", "250.00", "80.25", "169.75")]
 
 
 def test_command_line(spark, landing, tmp_path, capsys):

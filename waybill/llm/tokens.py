@@ -11,6 +11,8 @@ other; a null key sorts first; an empty table writes no file.
 from __future__ import annotations
 
 import struct
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -27,17 +29,35 @@ TRAILER = "<5Q8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 #: Ids packed at a time, a multiple of the block.
 PACK = 2048 * simple8b.BLOCK
-#: Pieces of text whose ids a task remembers.
-REMEMBER = 400_000
+#: Pieces of text whose ids a worker remembers.
+REMEMBER = 1_000_000
+#: Before a piece that no blank precedes; pieces between blanks never hold one.
+HEAD = " "
+#: Signs that follow a word; the tokenizer parts them from it.
+TAIL = ".,:;!?"
 SLICE = 2 << 20
 CALL = 1 << 16
 
 
+class Places(dict):
+    """Numbers strings in the order they first turn up, and lists those that are new."""
+
+    def __init__(self, at: int):
+        self.next, self.new = at, []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = k = self.next
+        self.next += 1
+        self.new.append(piece)
+        return k
+
+
 class Encoder:
     """Ids of texts by a tokenizer file with byte-level pieces, encoding each piece between blanks once.
 
     The tokenizer cuts before every blank that no white space follows, whatever stands around it, so ids of the pieces
-    joined are the ids of the text. A text with any other blank is encoded in one go.
+    joined are the ids of the text. A text with any other blank is encoded in one go. A word with signs at its end is made
+    of the word and the signs, which the tokenizer parts too.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -48,72 +68,112 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.end_id = end_id
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(self.tokenizer.get_vocab_size())])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.array([self.end_id], np.uint32)
-        self.starts, self.lens = np.zeros(1, np.int64), np.ones(1, np.int64)
+        # Place 0 is the end of a text. Places are those of pieces behind a blank; of others, with HEAD before them.
+        self.known = Places(1)
+        self.flat, self.starts, self.lens = np.array([end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.used, self.odd = np.zeros(1, np.int64), np.zeros(1, bool)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, ids: np.ndarray, lens: np.ndarray) -> None:
-        starts = np.cumsum(lens) - lens + len(self.flat)
-        self.flat, self.starts, self.lens = (np.concatenate(x) for x in (
-            (self.flat, ids), (self.starts, starts), (self.lens, lens)))
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that follow a blank, many to a call, and part the ids again by their bytes."""
-        groups, size = [[]], 0
+    def _behind_blank(self, pieces: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of pieces that follow a blank, many to a call, and how many each has, told by their bytes."""
+        groups, size = [], CALL
         for p in pieces:
-            if size > CALL:
+            if size >= CALL:
                 groups.append([])
                 size = 0
             groups[-1].append(p)
             size += len(p) + 1
-        for group, ids in zip(groups, self._whole([" " + " ".join(g) for g in groups])):
+        found, lens = self._whole([" " + " ".join(g) for g in groups]), []
+        for group, ids in zip(groups, found):
             ends = np.cumsum([len(p.encode()) + 1 for p in group])
-            at = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-            base = len(self.lens)
-            self._remember(ids, np.diff(at, prepend=0))
-            self.known.update(zip(group, range(base, base + len(group))))
+            lens.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1, prepend=0))
+        return found, np.concatenate([*lens, np.empty(0, np.int64)])
+
+    def _learn(self) -> None:
+        """Encode what is new and put its ids where its places say."""
+        first, known, new = len(self.lens), self.known, self.known.new
+        plain, heads, signed, odd = [], [], [], []
+        for k, p in enumerate(new, first):  # a signed word may add its word or its signs at the end
+            word = p.rstrip(TAIL)
+            if word != p and word.isalpha() and max(word) < "\u0250":
+                signed.append((k, known[word], known[HEAD + p[len(word):]]))
+            elif p[:1] == HEAD:
+                heads.append(k)
+            elif not p or not p[0].isprintable():
+                odd.append(k)
+            else:
+                plain.append(k)
+        lens = np.zeros(known.next, np.int64)
+        lens[:first] = self.lens
+        starts, odds = np.resize(self.starts, known.next), np.zeros(known.next, bool)
+        starts[first:], odds[:first], odds[odd] = 0, self.odd, True
+        found, lens[plain] = self._behind_blank([new[k - first] for k in plain])
+        others = self._whole([new[k - first][1:] for k in heads])
+        lens[heads] = [len(x) for x in others]
+        at = np.array(plain + heads, np.int64)
+        starts[at] = len(self.flat) + np.cumsum(lens[at]) - lens[at]
+        self.flat = np.concatenate([self.flat, *found, *others])
+        self.starts, self.lens, self.odd = starts, lens, odds
+        self.used = np.concatenate([self.used, np.zeros(known.next - first, np.int64)])
+        if signed:
+            at, word, signs = np.array(signed).T
+            ids, each = self._joined(np.stack([word, signs], 1).reshape(-1))
+            self.lens[at] = each[::2] + each[1::2]
+            self.starts[at] = len(self.flat) + np.cumsum(self.lens[at]) - self.lens[at]
+            self.flat = np.concatenate([self.flat, ids])
+        new.clear()
+
+    def _thin(self) -> None:
+        """Forget the pieces that were used once; all of them if that is not enough."""
+        keep = [] if (self.used > 1).sum() > REMEMBER // 2 else [p for p, k in self.known.items() if self.used[k] > 1]
+        old = np.array([0, *(self.known[p] for p in keep)])
+        self.flat, self.lens = self._joined(old)
+        self.starts, self.odd, self.used = np.cumsum(self.lens) - self.lens, self.odd[old], self.used[old]
+        self.known = Places(1)
+        for p in keep:
+            self.known[p]  # numbers it
+        self.known.new.clear()
+
+    def _joined(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of places one after the other, and how many each has."""
+        lens = self.lens[order]
+        past = np.cumsum(lens)
+        return self.flat[np.repeat(self.starts[order] - (past - lens), lens) + np.arange(lens.sum())], lens
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the ids per text."""
         if len(self.known) > REMEMBER:
-            self._forget()
-        known, cut, new, whole, heads = self.known, [], set(), [], []
+            self._thin()
+        place, order, ends = self.known.__getitem__, [], []
         for t in texts:
             head, *pieces = (t or "").split(" ")
-            heads.append(head)
-            cut.append(pieces)
-            new.update(p for p in pieces if p not in known)
-        odd = {p for p in new if not p or not p[0].isprintable()}
-        if new - odd:
-            self._learn(sorted(new - odd))
-        if odd:
-            whole = [k for k, pieces in enumerate(cut) if not odd.isdisjoint(pieces)]
-            for k in whole:
-                heads[k], cut[k] = texts[k], []
-        # The piece before the first blank, or the whole text, is encoded by itself.
-        base = len(self.lens)
-        firsts = self._whole(heads)
-        self._remember(np.concatenate([*firsts, np.empty(0, np.uint32)]), np.array([len(x) for x in firsts], np.int64))
-        order: list[int] = []
-        ends = []
-        for k, pieces in enumerate(cut):
-            order.append(base + k)
-            order.extend([known[p] for p in pieces])
+            order.append(place(HEAD + head))
+            order.extend(map(place, pieces))
             order.append(0)
             ends.append(len(order))
-        order = np.array(order, np.int64)
-        lens = self.lens[order]
-        past = np.cumsum(lens)
-        ids = self.flat[np.repeat(self.starts[order] - (past - lens), lens) + np.arange(past[-1] if len(past) else 0)]
-        return ids, np.diff(past[np.array(ends, np.int64) - 1], prepend=0)
+        self._learn()
+        order, ends = np.fromiter(order, np.int64, len(order)), np.array(ends, np.int64)
+        if self.odd[order].any():  # encode those texts whole
+            starts = np.r_[0, ends[:-1]]
+            parts = [order[a:b] for a, b in zip(starts, ends)]
+            for k in np.unique(np.searchsorted(ends, np.flatnonzero(self.odd[order]), "right")).tolist():
+                parts[k] = np.array([place(HEAD + texts[k]), 0])
+            self._learn()
+            order, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        self.used += np.bincount(order, minlength=len(self.used))
+        ids, lens = self._joined(order)
+        return ids, np.diff(np.cumsum(lens)[ends - 1], prepend=0)
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of this worker process. Functions come by value, so what outlives a task is kept outside this module."""
+    kept = sys.modules.setdefault("_waybill_encoders", types.ModuleType("_waybill_encoders")).__dict__
+    if (path, end_id) not in kept:
+        kept[path, end_id] = Encoder(path, end_id)
+    return kept[path, end_id]
 
 
 def slices(texts: list[str | None]):
@@ -227,12 +287,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str =
 
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}.ids"
-        writer = encoder = None
+        writer = None
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            encoder = encoder or Encoder(tokenizer, end_id)
             for lo, hi in slices(texts):
-                ids, lens = encoder.encode(texts[lo:hi])
+                ids, lens = encoder(tokenizer, end_id).encode(texts[lo:hi])
                 writer = writer or Writer(folder, name, str(task.taskAttemptId()))
                 writer.add(keys[lo:hi], ids, lens)
         if writer:
