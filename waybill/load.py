@@ -19,14 +19,17 @@ from waybill.operators.rollups import settlement_headers
 from waybill.schemas import TABLES
 from waybill.sources import fulfilment, marketplace
 from waybill.sources.feeds import Feed
-from waybill.sources.landing import SEQ, envelope_records, read_lines, read_report
+from waybill.sources.landing import SEQ, broken, envelope_records, read_lines, read_report
 from waybill.schemas.payloads import WAREHOUSE_ORDER
 from waybill.streaming import state
 from waybill.streaming.windows import lookback_window
-from waybill.warehouse import Change, Warehouse
+from waybill.warehouse import Change, Conflict, Warehouse
 
 log = logging.getLogger(__name__)
 
+#: How often a load is tried while others change the same rows.
+ATTEMPTS = 5
+
 TRACKING = ["status", "tracking_number", "carrier", "tracking_url", "tracking_updated_at"]
 
 
@@ -79,14 +82,21 @@ class Loader:
     def load_new(
         self, feed: Feed, landing: str, now: datetime, lookback: timedelta | None = None, **how,
     ) -> Outcome:
-        """Load what changed since the feed's last successful load, with a small overlap and no further back than
-        ``lookback`` (by default the feed's own)."""
-        start, end = self._window(feed.name, now, lookback or timedelta(hours=feed.lookback_hours))
+        """Load what changed since the feed's last successful load, with a small overlap; all that landed if there was
+        none. The load goes no further back than ``lookback`` only where that is given."""
+        start, end = self._window(feed.name, now, lookback)
         return self.load(feed, landing, end, start, end, **how)
 
-    def _window(self, name: str, now: datetime, lookback: timedelta) -> tuple[datetime, datetime]:
+    def _window(self, name: str, now: datetime, lookback: timedelta | None) -> tuple[datetime | None, datetime]:
         mark = state.last_sync(self.warehouse.read("sync_state"), name)
-        return lookback_window(now, mark.replace(tzinfo=UTC) if mark else None, lookback)
+        mark = mark.replace(tzinfo=UTC) if mark else None
+        start, end = lookback_window(now, mark, lookback)
+        since_mark = lookback_window(now, mark)[0] if mark else None
+        if not lookback:
+            return since_mark, end
+        if since_mark is None or since_mark < start:
+            log.warning("%s: not loaded, by the given lookback: %s to %s", name, since_mark or "the beginning", start)
+        return start, end
 
     def load_lines(
         self, feed: Feed, lines: DataFrame, as_of: datetime, start: datetime | None = None,
@@ -97,21 +107,35 @@ class Loader:
 
         def work(run: str) -> tuple[list[Change], list[Stats]]:
             records = feed.records(lines)
+            unread = self._set_aside(run, feed, lines)
             bounds = [None if b is None else _moment(b) for b in (start, end)]
             parents: DataFrame | None = None
             changes, stats = [], []
             for part in (feed, *feed.children):
-                rows = part.in_range(part.rows(records, _moment(as_of)), *bounds)
+                rows = part.in_range(part.rows(records, _moment(as_of)), *bounds, undated=True)
                 change, stat, kept = self._merge_part(
                     run, part, rows, as_of, parents if part is not feed else None,
                     delete_missing=delete_missing, newer_by=newer_by)
                 parents = kept if part is feed else parents
                 changes.append(change)
                 stats.append(stat)
+            stats[0].quarantined += unread
             return changes, stats
 
         return self._recorded(feed.name, as_of, work, sync_key)
 
+    def _set_aside(self, run: str, feed: Feed, lines: DataFrame) -> int:
+        """Quarantine pages that cannot be read and records that are no objects; how many there were."""
+        bad = broken(lines, feed.at)
+        count = bad.count()
+        if count:
+            if self.mode == "refuse":
+                raise quality.InvalidBatch(f"{count} unreadable pages or records")
+            bad.select(F.array("reason").alias("errors"), F.col("value").alias("record"), "_file").write.mode(
+                "overwrite").json(f"{self.warehouse.root}/_quarantine/run={run}/feed={feed.name}_pages")
+            log.warning("%s: %d unreadable pages or records quarantined", feed.name, count)
+        return count
+
     def _merge_part(
         self, run: str, feed: Feed, rows: DataFrame, as_of: datetime, parents: DataFrame | None, **how,
     ) -> tuple[Change, Stats, DataFrame]:
@@ -123,6 +147,7 @@ class Loader:
         if table.parent:
             parent_table, column = table.parent
             known = self.warehouse.read(parent_table) if parents is None else parents
+            one = self.warehouse.stage(run, f"{feed.name}_reduced", one).frame  # read three times below
             orphans, one = self._without_orphans(run, feed, one, known, column)
         batch = self.warehouse.stage(run, feed.table, one.select(*[c for c in one.columns if c in table.columns]))
         change = self.warehouse.merge(run, feed.table, batch.frame, rows=batch.rows, as_of=_moment(as_of), **how)
@@ -171,6 +196,8 @@ class Loader:
             report = read_report(self.spark, f"{landing.rstrip('/')}/marketplace/settlements", enabled=enabled)
             rules = [quality.required("settlement_id"), quality.required("amount", "decimal")]
             lines, bad = self._checked(run, "settlement_lines", marketplace.settlement_lines(report), rules)
+            # A settlement lands again and again while its range is asked for: its newest report counts, alone.
+            lines = picks.latest_batch(lines, ["settlement_id"], [F.col(f"{SEQ}._landed"), F.col("report")])
             headers = settlement_headers(lines, SEQ).drop("line_count")
             header_rules = [quality.required("settlement_id"), quality.required("currency")]
             headers, bad_headers = self._checked(run, "settlements", headers, header_rules)
@@ -205,11 +232,11 @@ class Loader:
         return self._recorded("warehouse_order_status", as_of, work)
 
     def load_status_since_last(
-        self, landing: str, now: datetime, lookback: timedelta = timedelta(hours=24), **how,
+        self, landing: str, now: datetime, lookback: timedelta | None = None, **how,
     ) -> Outcome:
-        """Write what changed in the warehouse's orders since the last such load."""
+        """Write what changed in the warehouse's orders since the last such load, or ever if there was none."""
         start, end = self._window("warehouse_order_status", now, lookback)
-        return self.load_order_status(landing, end, start, **how)
+        return self.load_order_status(landing, end, start or datetime(1970, 1, 1, tzinfo=UTC), **how)
 
     # --- bookkeeping -----------------------------------------------------------------------------------------------
     def _recorded(
@@ -218,15 +245,21 @@ class Loader:
     ) -> Outcome:
         """Run a load and publish its tables, its sync state and its log entry in one commit; on failure publish the
         failure alone, and raise."""
-        run = f"{name}-{uuid.uuid4().hex[:12]}"
         started = datetime.now(UTC)
-        try:
-            changes, stats = work(run)
-        except Exception as error:
-            self._publish(f"{run}-failed", name, as_of, started, state.ERROR, [], [], str(error), None)
-            raise
-        self._publish(run, name, as_of, started, state.SUCCESS, changes, stats, None, sync_key)
-        return Outcome(run, stats)
+        for attempt in range(ATTEMPTS):
+            run = f"{name}-{uuid.uuid4().hex[:12]}"
+            try:
+                changes, stats = work(run)
+                self._publish(run, name, as_of, started, state.SUCCESS, changes, stats, None, sync_key)
+                return Outcome(run, stats)
+            except Conflict as conflict:  # another load changed the same rows meanwhile: merge into what it left
+                log.warning("%s: %s", name, conflict)
+                error: Exception = conflict
+            except Exception as failure:
+                error = failure
+                break
+        self._publish(f"{run}-failed", name, as_of, started, state.ERROR, [], [], str(error), None)
+        raise error
 
     def _publish(
         self, run: str, name: str, as_of: datetime, started: datetime, status: str, changes: list[Change],
@@ -239,7 +272,6 @@ class Loader:
             [(name, as_of, status, finished, sync_key, error, details)],
             "domain string, last_synced_at timestamp, status string, updated_at timestamp, last_sync_key string,"
             " error_message string, sync_metadata string")
-        states = self.warehouse.replace(run, "sync_state", state.put(self.warehouse.read("sync_state"), mark))
         job = {
             "run_id": run, "job_name": name, "status": "success" if status == state.SUCCESS else "failed",
             "started_at": started.isoformat(), "completed_at": finished.isoformat(),
@@ -249,7 +281,17 @@ class Loader:
             "records_updated": sum(s.updated for s in stats),
             "error_message": error, "metadata": details, "created_at": finished.isoformat(),
         }
-        self.warehouse.commit(run, [*changes, states], job)
+        for attempt in range(ATTEMPTS):
+            now = self.warehouse.state()
+            states = self.warehouse.replace(
+                f"{run}-{attempt}", "sync_state", state.put(self.warehouse.read("sync_state", now), mark), now)
+            try:
+                self.warehouse.commit(run, [*changes, states], job)
+                return
+            except Conflict as conflict:
+                # Only the states, which every load writes, are written again; a conflict over rows is the caller's.
+                if conflict.table not in (None, "sync_state") or attempt == ATTEMPTS - 1:
+                    raise
 
 
 def _newest(rows: DataFrame, feed: Feed, key: tuple[str, ...]) -> DataFrame:

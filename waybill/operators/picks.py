@@ -23,6 +23,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")
 
 
+def latest_batch(df: DataFrame, keys: Sequence[str], batch: Sequence[Column]) -> DataFrame:
+    """All rows of each key's newest batch (a report, a pull of stock), told and ordered by the ``batch`` columns.
+
+    The newest batch per key is an aggregate with a map-side step, and the join that follows is a plain inner join, so a
+    key with very many rows is neither gathered nor sorted in one task. Rows with a NULL key have no batch and go.
+    """
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*batch)).alias("_newest"))
+    marked = df.withColumn("_batch", F.struct(*batch)).join(newest, list(keys))
+    return marked.filter(F.col("_batch").eqNullSafe(F.col("_newest"))).select(*df.columns)
+
+
 def fold_lines(df: DataFrame, keys: Sequence[str], add: Sequence[str], last: Sequence[str], seq: str) -> DataFrame:
     """One row per key: ``add`` columns are summed, ``last`` columns come from the row with the highest ``seq``."""
     return df.groupBy(*keys).agg(

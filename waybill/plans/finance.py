@@ -95,7 +95,7 @@ def expenses_by_category(
         .groupBy("category_id")
         .agg(
             F.sum("_w").alias("bill_count"),
-            F.sum(value * F.col("_w").cast("decimal(9,0)")).alias("total_expenses"),
+            F.sum(value * F.col("_w").cast("decimal(18,0)")).alias("total_expenses"),
             F.sum(F.when(value.isNotNull(), F.col("_w"))).alias("_n"),
         )
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import parse_date
 from waybill.operators.links import between
+from waybill.operators.picks import latest_batch
 from waybill.operators.reshape import current_inventory_columns
 from waybill.operators.rollups import inventory_by_sku
 from waybill.schemas import TABLES
@@ -57,10 +58,18 @@ class Feed:
             return array_records(lines, self.record)
         return object_records(lines, self.record, self.at, self.carry)
 
-    def in_range(self, rows: DataFrame, start: Column | None, end: Column | None) -> DataFrame:
-        """Rows changed from ``start`` (after it, where the source asks strictly) to ``end``."""
+    def in_range(
+        self, rows: DataFrame, start: Column | None, end: Column | None, *, undated: bool = False
+    ) -> DataFrame:
+        """Rows changed from ``start`` (after it, where the source asks strictly) to ``end``; ``undated`` keeps rows
+        whose change time is missing or cannot be read, for the rules to judge."""
         if self.changed is None:
             return rows
+        if undated:
+            at = F.col(self.changed)
+            since = F.lit(True) if start is None else (at > start if self.after else at >= start)
+            until = F.lit(True) if end is None else at <= end
+            return rows.filter(at.isNull() | (since & until))
         if self.after and start is not None:
             rows, start = rows.filter(F.col(self.changed) > start), None
         return between(rows, self.changed, start, end)
@@ -71,12 +80,16 @@ def _plain(rows: Callable[[DataFrame], DataFrame]) -> Normalizer:
 
 
 def _market_inventory(df: DataFrame, as_of: Column) -> DataFrame:
-    """Stock of all centers per sku, under the table's column names."""
+    """Stock of all centers per sku, under the table's column names.
+
+    A file is one pull of the stock; of several pulls, the newest that names a sku counts.
+    """
     per_center = marketplace.inventory(df, as_of)
     if SEQ not in per_center.columns:
         raise ValueError("stock summaries need their order of arrival")
+    pull = [F.col(f"{SEQ}.{c}") for c in ("_landed", "_file") if c in df.select(f"{SEQ}.*").columns]
     total = inventory_by_sku(
-        per_center, ["on_hand", "reserved", "inbound"], ["asin", "fnsku", "updated_at"], "fc", SEQ
+        latest_batch(per_center, ["sku"], pull), ["on_hand", "reserved", "inbound"], ["asin", "fnsku", "updated_at"], "fc", SEQ
     )
     ints = [F.col(c).cast("int").alias(c) for c in ("on_hand", "reserved", "inbound")]
     return current_inventory_columns(total.select("sku", "asin", "fnsku", "fc", "updated_at", *ints))

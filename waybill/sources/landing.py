@@ -1,7 +1,8 @@
 """Reading landed payloads.
 
 A landing folder holds API pages as JSON, one page per line (or one per file), or tab-separated reports. Each record
-gets ``_seq`` (file, place in the file, place in the page): the order of arrival, for picks that need one.
+gets ``_seq`` (landing time, file, place in the file, place in the page): the order of arrival, for picks that need one.
+A record that is no object costs itself, not its page (see ``broken``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from waybill.schemas.payloads import SETTLEMENT_HEADERS
 
 SEQ = "_seq"
-_LINES = "value string, _file string, _block bigint, _row bigint"
+_LINES = "value string, _landed timestamp, _file string, _block bigint, _row bigint"
 
 
 def _no_path(error: AnalysisException) -> bool:
@@ -31,6 +32,7 @@ def read_lines(spark: SparkSession, path: str, *, page_per_file: bool = False, e
         else:
             return text.select(
                 "value",
+                F.col("_metadata.file_modification_time").alias("_landed"),
                 F.col("_metadata.file_path").alias("_file"),
                 F.col("_metadata.file_block_start").alias("_block"),
                 F.monotonically_increasing_id().alias("_row"),
@@ -57,8 +59,31 @@ def object_records(lines: DataFrame, record: str, at: str, carry: str | None = N
     if carry:
         ddl = ddl.replace(f"struct<`{at.split('.')[-1]}`:", f"struct<`{carry}`: string, `{at.split('.')[-1]}`:", 1)
     page = lines.withColumn("_page", F.from_json("value", ddl))
-    extra = [F.col(f"_page.{parent}.{carry}").alias(carry)] if carry else []
-    return _exploded(page, F.col(f"_page.{at}"), extra)
+    if not carry:
+        return _exploded(page, _by_element(F.col(f"_page.{at}"), _texts(at), record))
+    beside = F.get_json_object("value", f"$.{parent}.{carry}")
+    return _exploded(page, _by_element(F.col(f"_page.{at}"), _texts(at), record),
+                     [F.coalesce(F.col(f"_page.{parent}.{carry}"), beside).alias(carry)])
+
+
+def _texts(at: str) -> Column:
+    """The elements of a page's record array as JSON text; ``"*"`` is a bare array or an envelope, ``"[]"`` bare."""
+    bare = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    if at == "[]":
+        return bare
+    if at == "*":
+        return F.coalesce(bare, F.from_json("value", "items array<string>")["items"])
+    first, *inner = at.split(".")
+    texts = F.from_json("value", page_ddl("string", at))[first]
+    for name in inner:
+        texts = texts[name]
+    return texts
+
+
+def _by_element(records: Column, texts: Column, record: str) -> Column:
+    """Records of a page; of a page that does not parse as a whole, those elements that do by themselves."""
+    single = F.transform(texts, lambda t: F.when(F.ltrim(t).startswith("{"), F.from_json(t, record)))
+    return F.coalesce(records, single)
 
 
 def envelope_records(lines: DataFrame, record: str) -> DataFrame:
@@ -66,17 +91,17 @@ def envelope_records(lines: DataFrame, record: str) -> DataFrame:
     bare = F.from_json("value", f"array<{record}>")
     items = F.from_json("value", f"items array<{record}>")["items"]
     is_array = F.ltrim("value").startswith("[")
-    return _exploded(lines, F.when(is_array, bare).otherwise(items))
+    return _exploded(lines, _by_element(F.when(is_array, bare).otherwise(items), _texts("*"), record))
 
 
 def array_records(lines: DataFrame, record: str) -> DataFrame:
     """Records of bare-array pages; an object page gives none."""
     is_array = F.ltrim("value").startswith("[")
-    return _exploded(lines, F.when(is_array, F.from_json("value", f"array<{record}>")))
+    return _exploded(lines, _by_element(F.when(is_array, F.from_json("value", f"array<{record}>")), _texts("[]"), record))
 
 
 def _exploded(lines: DataFrame, records: Column, extra: list[Column] | None = None) -> DataFrame:
-    origin = [c for c in ("_file", "_block", "_row") if c in lines.columns]
+    origin = [c for c in ("_landed", "_file", "_block", "_row") if c in lines.columns]
     # A plain explode makes the optimizer test the array for emptiness first, and so parse every page three times; the
     # outer form with the filter below parses it once.
     rows = lines.select(*origin, *(extra or []), F.posexplode_outer(records).alias("_pos", "_record"))
@@ -91,6 +116,14 @@ def unreadable(lines: DataFrame) -> DataFrame:
     return lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull()).select("_file", "value")
 
 
+def broken(lines: DataFrame, at: str) -> DataFrame:
+    """``(reason, value, _file)`` of pages that are no JSON, and of elements of record arrays that are no objects."""
+    pages = unreadable(lines).select(F.lit("unreadable page").alias("reason"), "value", "_file")
+    element = lines.select(F.explode(_texts(at)).alias("value"), "_file")
+    bad = element.filter(F.col("value").isNull() | ~F.ltrim("value").startswith("{"))
+    return pages.unionByName(bad.select(F.lit("record is no object").alias("reason"), "value", "_file"))
+
+
 def read_report(spark: SparkSession, path: str, *, enabled: bool = True) -> DataFrame:
     """Lines of tab-separated reports, all text, by header name; a column no report has is NULL.
 
@@ -111,6 +144,7 @@ def read_report(spark: SparkSession, path: str, *, enabled: bool = True) -> Data
                 for h in SETTLEMENT_HEADERS
             ]
             place = F.struct(
+                F.col("_metadata.file_modification_time").alias("_landed"),
                 F.col("_metadata.file_path").alias("_file"),
                 F.col("_metadata.file_block_start").alias("_block"),
                 F.monotonically_increasing_id().alias("_row"),
@@ -118,7 +152,7 @@ def read_report(spark: SparkSession, path: str, *, enabled: bool = True) -> Data
             return raw.select(*fields, F.col("_metadata.file_path").alias("report"), place.alias(SEQ))
     names = ", ".join(f"`{h}` string" for h in SETTLEMENT_HEADERS)
     return spark.createDataFrame(
-        [], f"{names}, report string, {SEQ} struct<_file: string, _block: bigint, _row: bigint>"
+        [], f"{names}, report string, {SEQ} struct<_landed: timestamp, _file: string, _block: bigint, _row: bigint>"
     )
 
 

@@ -18,15 +18,17 @@ from waybill.sources.feeds import Feed
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Landed lines with their file, as a stream; the rest of their origin is added per micro-batch."""
+    """Landed lines with their file and block, as a stream; their row in the block is added per micro-batch."""
     reader = spark.readStream.option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    return reader.text(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"))
 
 
 def _with_origin(batch: DataFrame) -> DataFrame:
-    return batch.withColumns({"_block": F.lit(0).cast("bigint"), "_row": F.monotonically_increasing_id()})
+    return batch.withColumn("_row", F.monotonically_increasing_id())
 
 
 def done(loader: Loader, feed: Feed, batch_id: int) -> bool:

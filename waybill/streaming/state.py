@@ -13,10 +13,8 @@ SUCCESS, RUNNING, ERROR = "success", "running", "error"
 
 
 def last_sync(states: DataFrame, domain: str) -> datetime | None:
-    """High-water mark of a feed: the time of its last load if that one succeeded."""
-    row = states.filter((F.col("domain") == domain) & (F.col("status") == SUCCESS)).agg(
-        F.max("last_synced_at").alias("at")
-    ).first()
+    """High-water mark of a feed: the time of its last load that succeeded, whatever failed since (see ``put``)."""
+    row = states.filter(F.col("domain") == domain).agg(F.max("last_synced_at").alias("at")).first()
     return row["at"] if row else None
 
 

@@ -14,6 +14,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,17 @@ def key_text(keys: Sequence[str]) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
 
+class Conflict(Exception):
+    """Another writer published between a merge's reading and its commit; ``table`` is the table both changed."""
+
+    def __init__(self, table: str | None, what: str):
+        super().__init__(what)
+        self.table = table
+
+
 @dataclass(frozen=True)
 class Change:
-    """A table's next state: the run per touched bucket, and what happened to the rows."""
+    """A table's next state: the run per touched bucket, what happened to the rows, and which runs were merged into."""
 
     table: str
     buckets: int
@@ -39,6 +48,7 @@ class Change:
     inserted: int = 0
     updated: int = 0
     gone: frozenset[int] = field(default_factory=frozenset)
+    base: dict[int, str | None] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -71,18 +81,32 @@ class Warehouse:
         return json.loads(self.spark.read.text(newest).first()["value"])
 
     def commit(self, run: str, changes: Sequence[Change], job: dict | None = None) -> int:
-        """Publish all changes of a run at once; raises if another writer was faster."""
+        """Publish all changes of a run at once; raises ``Conflict`` if another writer was faster, or has changed a
+        bucket since the merge read it."""
         now = self.state()
         tables = dict(now["tables"])
         for change in changes:
             old = tables.get(change.table, {"buckets": change.buckets, "runs": {}})
+            moved = [b for b, run_read in change.base.items() if old["runs"].get(str(b)) != run_read]
+            if moved:
+                raise Conflict(change.table, f"{change.table}: {len(moved)} buckets have changed since they were read")
             runs = {b: r for b, r in old["runs"].items() if int(b) not in change.gone}
             runs.update({str(b): r for b, r in change.runs.items()})
             tables[change.table] = {"buckets": old["buckets"], "runs": runs}
         seq = now["seq"] + 1
-        self._log(seq, {"seq": seq, "run": run, "job": job, "tables": tables}, "error")
+        try:
+            self._log(seq, {"seq": seq, "run": run, "job": job, "tables": tables}, "error")
+        except AnalysisException as error:
+            if "PATH_ALREADY_EXISTS" not in (error.getCondition() or ""):
+                raise
+            raise Conflict(None, f"commit {seq} exists: another writer was faster") from error
         return seq
 
+    @staticmethod
+    def _base(now: dict, name: str, touched: Sequence[int]) -> dict[int, str | None]:
+        runs = now["tables"].get(name, {"runs": {}})["runs"]
+        return {b: runs.get(str(b)) for b in touched}
+
     def obsolete(self) -> list[str]:
         """Run folders that hold no current bucket. Remove them when no reader of an older commit is left."""
         named = self._commits().select(F.explode(F.from_json(
@@ -148,7 +172,7 @@ class Warehouse:
         return keyed.withColumn(_BUCKET, F.pmod(F.hash(_KEY), F.lit(buckets)))
 
     def _write(
-        self, run: str, table: Table, rows: DataFrame, buckets: int, touched: Sequence[int], may_empty: bool
+        self, run: str, table: Table, rows: DataFrame, buckets: int, touched: Sequence[int], may_empty: bool, now: dict
     ) -> Change:
         """Write merged rows of the touched buckets as the run's version, counting operations on the way."""
         path = f"{self.root}/{table.name}/run={run}"
@@ -164,7 +188,7 @@ class Warehouse:
             written = set(self._touched(self.spark.read.schema(f"{table.ddl}, {_BUCKET} int").parquet(path)))
         return Change(
             table.name, buckets, dict.fromkeys(sorted(written), run), counts["inserted"], counts["updated"],
-            frozenset(set(touched) - written))
+            frozenset(set(touched) - written), self._base(now, table.name, touched))
 
     def _touched(self, batch: DataFrame) -> list[int]:
         return [row[_BUCKET] for row in batch.select(_BUCKET).distinct().collect()]  # at most one row per bucket
@@ -197,7 +221,7 @@ class Warehouse:
             target, source, [_KEY], table.update, defaults=table.defaults, missing=missing, newer_by=newer_by,
             null_safe=False, small_batch=small,
         )
-        return self._write(run, table, merged.drop(_KEY), buckets, touched, delete_missing)
+        return self._write(run, table, merged.drop(_KEY), buckets, touched, delete_missing, now)
 
     def update(self, run: str, name: str, batch: DataFrame, columns: Sequence[str]) -> Change:
         """Overwrite columns of known keys; unknown keys are not inserted."""
@@ -209,11 +233,11 @@ class Warehouse:
             return Change(name, buckets, {})
         target = self._keyed(self._read(table, now, touched), table, buckets)
         changed = ops.update_only(target, source.select(_KEY, *columns), [_KEY], columns)
-        return self._write(run, table, changed.drop(_KEY), buckets, touched, True)
+        return self._write(run, table, changed.drop(_KEY), buckets, touched, True, now)
 
-    def replace(self, run: str, name: str, rows: DataFrame) -> Change:
-        """Write a small table anew, as one bucket."""
+    def replace(self, run: str, name: str, rows: DataFrame, now: dict) -> Change:
+        """Write a small table anew, as one bucket, in place of its state in ``now``."""
         table = TABLES[name]
         one = rows.select(*table.columns).withColumn(_BUCKET, F.lit(0)).coalesce(1)
         one.write.mode("error").partitionBy(_BUCKET).parquet(f"{self.root}/{table.name}/run={run}")
-        return Change(name, 1, {0: run})
+        return Change(name, 1, {0: run}, base=self._base(now, name, [0]))
