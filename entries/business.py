@@ -207,7 +207,8 @@ def system_stats(t: Tables):
     return daily.system_stats(_store_orders(t), t.part, t.customer, _as_of())
 
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+            "pages", "benchmark", "labels", "conversations")
 
 
 @query("table_counts", " UNION ALL ".join(

@@ -333,3 +333,29 @@ def inventory_sum(t: Tables):
                  "l_returnflag").alias("seq"),
     )
     return rollups.inventory_by_sku(lines, ["on_hand", "reserved"], ["first_flag"], "fc", "seq")
+
+
+@query("inventory_newest_pull", """
+SELECT l_partkey AS sku, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS on_hand, count(*) AS centers
+FROM (SELECT *, max(l_shipdate) OVER (PARTITION BY l_partkey) AS newest FROM lineitem)
+WHERE l_shipdate = newest GROUP BY l_partkey""")
+def inventory_newest_pull(t: Tables):
+    pulls = picks.latest_batch(
+        t.lineitem.select("l_partkey", "l_quantity", "l_shipdate"), ["l_partkey"], [F.col("l_shipdate")])
+    return pulls.groupBy(F.col("l_partkey").alias("sku")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("on_hand"), F.count(F.lit(1)).alias("centers"))
+
+
+@query("settlement_relanded", """
+SELECT l_orderkey AS settlement_id, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS gross,
+       count(*) AS line_count
+FROM (SELECT *, max(l_returnflag) OVER (PARTITION BY l_orderkey) AS newest FROM lineitem)
+WHERE l_returnflag = newest GROUP BY l_orderkey""")
+def settlement_relanded(t: Tables):
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("settlement_id"), F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
+        F.col("l_returnflag").alias("report"), F.lit("Order").alias("type"), F.lit("Principal").alias("fee_type"),
+        F.col("l_shipdate").cast("timestamp").alias("period_start"), F.col("l_shipdate").cast("timestamp").alias("period_end"),
+        F.lit("EUR").alias("currency"), F.col("l_linenumber").alias("seq"))
+    newest = picks.latest_batch(lines, ["settlement_id"], [F.col("report")])
+    return rollups.settlement_headers(newest, "seq").select("settlement_id", "gross", "line_count")

@@ -13,9 +13,9 @@ from entries.registry import Tables, query, stamp
 from waybill.operators.picks import number_repeats
 from waybill.operators.rollups import inventory_by_sku, settlement_headers
 from waybill.schemas import payloads as p
-from waybill.sources import accounting, fulfilment, marketplace, store
+from waybill.sources import FEEDS, accounting, fulfilment, marketplace, store
 from waybill.sources.landing import (
-    array_records, envelope_records, object_records, split_report_lines, unreadable,
+    array_records, broken, envelope_records, object_records, split_report_lines, unreadable,
 )
 
 _LOADED = "2024-06-01 00:00:00"
@@ -768,3 +768,38 @@ def accounting_users(t: Tables):
     )
     staff = accounting.users_in_view(object_records(pages, p.USER, "users"), "active_staff")
     return accounting.rows("users", staff).select("user_id", "email", "permission_level", "opening_mileage")
+
+
+# --- pages with broken records ------------------------------------------------------------------------------------
+def _broken_pages(t: Tables) -> DataFrame:
+    """Pages of two records; a text among them on every third row, and every seventh page cut short."""
+    key, nation = _text("c_custkey"), _text("c_nationkey")
+    odd = F.when(F.col("c_custkey") % 3 == 0, F.lit(',"x"')).otherwise(F.lit(""))
+    page = F.concat(F.lit('{"rows":[{"k":"'), key, F.lit('"}'), odd, F.lit(',{"k":"n'), nation, F.lit('"}]}'))
+    return t.customer.select(F.when(F.col("c_custkey") % 7 == 0, F.substring(page, 1, 20)).otherwise(page).alias("value"),
+                             F.lit("landed").alias("_file"))
+
+
+@query("page_with_bad_element", """
+SELECT k, count(*) AS n FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS k FROM customer WHERE c_custkey % 7 <> 0
+  UNION ALL SELECT 'n' || c_nationkey FROM customer WHERE c_custkey % 7 <> 0) GROUP BY k""")
+def page_with_bad_element(t: Tables):
+    return object_records(_broken_pages(t), p.struct("k"), "rows").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("unreadable_to_quarantine", """
+SELECT CASE WHEN c_custkey % 7 = 0 THEN 'unreadable page' ELSE 'record is no object' END AS reason, count(*) AS n
+FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 3 = 0 GROUP BY 1""")
+def unreadable_to_quarantine(t: Tables):
+    return broken(_broken_pages(t), "rows").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("range_keeps_undated", """
+SELECT count(*) AS kept, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS undated FROM orders
+WHERE o_orderkey % 5 = 0 OR (o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1997-06-30')""")
+def range_keeps_undated(t: Tables):
+    rows = t.orders.select(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderdate").cast("timestamp")).alias("updated_at"))
+    kept = FEEDS["store_customers"].in_range(
+        rows, F.lit("1996-01-01").cast("timestamp"), F.lit("1997-06-30").cast("timestamp"), undated=True)
+    return kept.agg(F.count(F.lit(1)).alias("kept"), F.count(F.when(F.col("updated_at").isNull(), 1)).alias("undated"))
