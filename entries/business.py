@@ -175,7 +175,7 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS date,
 FROM orders LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS shipped FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
 WHERE {_RECENT} GROUP BY 1""")
 def fulfillment_day(t: Tables):
-    orders = daily.with_fulfilled_at(_store_orders(t), _shipments(t))
+    orders = daily.with_fulfilled_at(_store_orders(t), _shipments(t), _as_of(), 2500)
     return daily.fulfilment_by_day(orders, _as_of(), 2500)
 
 

@@ -28,11 +28,11 @@ SPECIAL = ("marketplace_settlements", "warehouse_order_status")
 Read = Callable[[str], DataFrame]
 
 
-def store_orders(read: Read) -> DataFrame:
-    """Store orders under the names the daily questions use, with the time they were shipped."""
+def store_orders(read: Read, as_of: Column | None = None, days: int = 7) -> DataFrame:
+    """Store orders under the names the daily questions use, with the time they were shipped; all, or of some days."""
     orders = read("shopify_orders").withColumns({
         "created_at": F.col("purchase_date"), "updated_at": F.col("updated_at_shopify")})
-    return daily.with_fulfilled_at(orders, read("shipbob_orders"))
+    return daily.with_fulfilled_at(orders, read("shipbob_orders"), as_of, days)
 
 
 def all_alerts(read: Read, as_of: Column) -> DataFrame:
@@ -55,7 +55,7 @@ def questions(read: Read, as_of: Column, since: Column, days: int) -> dict[str,
         "expenses_by_category": lambda: finance.expenses_by_category(
             read("freeagent_bills"), read("freeagent_bank_transaction_explanations"),
             read("freeagent_categories"), since),
-        "fulfilment_by_day": lambda: daily.fulfilment_by_day(store_orders(read), as_of, days),
+        "fulfilment_by_day": lambda: daily.fulfilment_by_day(store_orders(read, as_of, days), as_of, days),
         "delivery_by_day": lambda: daily.delivery_by_day(store_orders(read), as_of, days),
         "revenue_by_day": lambda: daily.revenue_by_day(store_orders(read), as_of, days),
         "system_stats": lambda: daily.system_stats(

@@ -27,8 +27,17 @@ def _is(status: Sequence[str]) -> Column:
     return F.col("fulfillment_status").isin(*status)
 
 
-def with_fulfilled_at(orders: DataFrame, warehouse_orders: DataFrame) -> DataFrame:
-    """Orders with the first shipping time of the warehouse orders that refer to them."""
+def with_fulfilled_at(
+    orders: DataFrame, warehouse_orders: DataFrame, as_of: Column | None = None, days: int = 7
+) -> DataFrame:
+    """Orders with the first shipping time of the warehouse orders that refer to them.
+
+    With ``as_of``, only orders of the last ``days``, and only their shipments are aggregated.
+    """
+    if as_of is not None:
+        orders = _recent(orders, as_of, days)
+        warehouse_orders = warehouse_orders.join(
+            orders.select(F.col("order_id").alias("reference_id")), "reference_id", "left_semi")
     shipped = warehouse_orders.groupBy(F.col("reference_id").alias("order_id")).agg(
         F.min("shipped_date").alias("fulfilled_at")
     )
