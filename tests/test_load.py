@@ -376,6 +376,15 @@ def test_landed_files_to_business_questions(loader, warehouse, landing, as_of):
         ("Current", "250.00", "80.25", "169.75")]
 
 
+def test_only_some_rows_of_a_feed(loader, warehouse, landing, as_of):
+    root = landing("accounting/bank_transactions", p.BANK_TRANSACTIONS)
+    landing("store/orders", p.STORE_ORDERS)
+    loader.load(FEEDS["accounting_bank_transactions"], root, as_of, only={"bank_account_id": ["2"]})
+    assert set(rows(warehouse, "freeagent_bank_transactions", "transaction_id")) == {"3"}
+    outcome = loader.load(FEEDS["store_orders"], root, as_of, only={"order_id": ["#A-17", "#A-99"]})
+    assert counts(outcome) == {"shopify_orders": (1, 1, 0), "shopify_order_items": (1, 1, 0)}
+
+
 def test_command_line(spark, landing, tmp_path, capsys):
     from waybill.__main__ import main, questions
 

@@ -85,6 +85,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("feed", choices=[*FEEDS, *SPECIAL])
     load.add_argument("--landing", required=True)
     load.add_argument("--full", action="store_true", help="the whole landing folder, not only what is new")
+    load.add_argument("--only", action="append", default=[], metavar="COLUMN=VALUE",
+                      help="keep rows with this value in a column; several values of one column may be given")
     load.add_argument("--refuse", action="store_true", help="fail on a bad row instead of setting it aside")
     ask = commands.add_parser("ask", help="answer a business question")
     ask.add_argument("question")
@@ -109,10 +111,12 @@ def main(argv: list[str] | None = None) -> None:
         outcome = loader.load_settlements(args.landing, now)
     elif args.feed == "warehouse_order_status":
         outcome = loader.load_status_since_last(args.landing, now)
-    elif args.full:
-        outcome = loader.load(FEEDS[args.feed], args.landing, now)
     else:
-        outcome = loader.load_new(FEEDS[args.feed], args.landing, now)
+        only: dict[str, list[str]] = {}
+        for column, _, value in (part.partition("=") for part in args.only):
+            only.setdefault(column, []).append(value)
+        load_feed = loader.load if args.full else loader.load_new
+        outcome = load_feed(FEEDS[args.feed], args.landing, now, only=only)
     for table in outcome.tables:
         print(table)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime, timedelta
 
@@ -73,11 +73,17 @@ class Loader:
     def load(
         self, feed: Feed, landing: str, as_of: datetime, start: datetime | None = None, end: datetime | None = None,
         *, enabled: bool = True, page_per_file: bool = False, delete_missing: bool = False, newer_by: str | None = None,
+        only: Mapping[str, Sequence[str]] | None = None,
     ) -> Outcome:
-        """Load a feed and its children from the landing folder."""
+        """Load a feed and its children from the landing folder.
+
+        ``only`` keeps rows of the feed that have one of the given values in a column: some skus, one bank account, one
+        nominal code. Children whose parents it leaves out are orphans.
+        """
         path = f"{landing.rstrip('/')}/{feed.folder}"
         lines = read_lines(self.spark, path, page_per_file=page_per_file, enabled=enabled)
-        return self.load_lines(feed, lines, as_of, start, end, delete_missing=delete_missing, newer_by=newer_by)
+        return self.load_lines(
+            feed, lines, as_of, start, end, delete_missing=delete_missing, newer_by=newer_by, only=only)
 
     def load_new(
         self, feed: Feed, landing: str, now: datetime, lookback: timedelta | None = None, **how,
@@ -101,7 +107,7 @@ class Loader:
     def load_lines(
         self, feed: Feed, lines: DataFrame, as_of: datetime, start: datetime | None = None,
         end: datetime | None = None, *, sync_key: str | None = None, delete_missing: bool = False,
-        newer_by: str | None = None,
+        newer_by: str | None = None, only: Mapping[str, Sequence[str]] | None = None,
     ) -> Outcome:
         """Load a feed and its children from landed lines, in one commit."""
 
@@ -113,6 +119,8 @@ class Loader:
             changes, stats = [], []
             for part in (feed, *feed.children):
                 rows = part.in_range(part.rows(records, _moment(as_of)), *bounds, undated=True)
+                for column, values in (only or {}).items() if part is feed else ():
+                    rows = rows.filter(F.col(column).isin(list(values)))
                 change, stat, kept = self._merge_part(
                     run, part, rows, as_of, parents if part is not feed else None,
                     delete_missing=delete_missing, newer_by=newer_by)
