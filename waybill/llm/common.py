@@ -17,6 +17,8 @@ GAP = r"[\x20\x09-\x0D]+"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 _own: list[str] = []
+#: Folders named by ``work_folder`` so far, in order.
+made: list[str] = []
 
 
 def words(text: Column) -> Column:
@@ -39,7 +41,17 @@ def work_folder(spark: SparkSession) -> str:
             _own.append(tempfile.mkdtemp(prefix="waybill-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         named = f"file://{_own[0]}"
-    return f"{named.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    made.append(f"{named.rstrip('/')}/corpus-{uuid.uuid4().hex}")
+    return made[-1]
+
+
+def bounded(spark: SparkSession) -> None:
+    """Let Python tasks see a few megabytes of text at a time, however long the texts are.
+
+    A batch lies in memory three times over: in the executor's buffers, in the worker's, and as Python strings. The
+    setting holds for the session, as the plan of a lazy result reads it when it runs.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:

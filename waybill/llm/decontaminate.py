@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.llm.common import stage, work_folder
+from waybill.llm.common import bounded, stage, work_folder
 
 #: Bytes that are no part of a word become blanks, A-Z lower case.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -159,6 +159,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "te
     block. Documents are not shuffled.
     """
     spark = docs.sparkSession
+    bounded(spark)
     kind = docs.schema[key].dataType.simpleString()
     current = docs.select(F.col(key).alias("id"), F.col(text).alias("t"), F.lit(0).cast("long").alias("n"),
                           F.array().cast("array<long>").alias("spans"), F.array().cast("array<string>").alias("items"))
@@ -198,6 +199,7 @@ UNITED = f"if(size(spans) = 0, cast(array() AS array<struct<a: bigint, b: bigint
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text") -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns."""
+    bounded(docs.sparkSession)
     for search in searches(benchmark, width):
         shared = docs.sparkSession.sparkContext.broadcast(search)  # at most PATTERN_BYTES of patterns
 

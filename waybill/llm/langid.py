@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import remainder, unit
+from waybill.llm.common import bounded, remainder, unit
 
 #: Hashed n-grams (a power of two), and lengths of n-grams.
 BITS, ORDERS = 16, (1, 2, 3)
@@ -162,6 +162,7 @@ def sample(rows: DataFrame, label: str, size: int, columns: list[str]) -> DataFr
 
 
 def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
+    bounded(docs.sparkSession)
     rows = docs.where(learnable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"),
         unit(F.col(key).cast("string"), F.col(text), F.lit(3)).alias("u"))
@@ -195,6 +196,7 @@ def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lan
 
 def identify(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, lang_pred, score)`` of every row, from its text alone."""
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as many weights as n-grams times languages
 

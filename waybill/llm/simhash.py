@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import LOWER, stage, work_folder
+from waybill.llm.common import LOWER, bounded, stage, work_folder
 from waybill.llm.components import components
 
 #: Rows of one side of a comparison; larger buckets are cut into blocks that meet pair by pair, each pair a task's group.
@@ -62,6 +62,7 @@ def fingerprint(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, width: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, fp)`` of every row."""
     kind = docs.schema[key].dataType.simpleString()
+    bounded(docs.sparkSession)
 
     def run(batches):
         for batch in batches:

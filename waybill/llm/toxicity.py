@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.llm.common import unit
+from waybill.llm.common import bounded, unit
 from waybill.llm.langid import Leader, sample
 
 #: Hashed words, labelled rows the models are fitted on (at most), folds, rounds, and the penalties.
@@ -139,6 +139,7 @@ def degrees(words: list[list[bytes]], toxic: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id") -> Chain | None:
     """Fit the chain on at most ``SAMPLE`` labelled documents, shared equally by the two labels; None without both."""
+    bounded(docs.sparkSession)
     votes = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k"))
              .agg((F.avg(F.col(label).cast("double")) >= 0.5).alias("y")))
     known = docs.select(F.col(key).alias("k")).distinct().join(votes, "k").withColumn("u", unit(F.col("k"), F.lit(9)))
@@ -163,6 +164,7 @@ def _packed(batches):
 
 def probabilities(chain: Chain | None, docs: DataFrame) -> Column:
     """Probabilities of the categories as a function of a text column, and whether the text is rejected."""
+    bounded(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # a weight per hashed word and category
     shape = T.StructType([*(T.StructField(f"p_{c}", T.DoubleType()) for c in CATEGORIES), T.StructField("toxic", T.BooleanType())])
 
