@@ -53,7 +53,7 @@ def test_against_brute_force(spark, seed, width):
 
 
 def test_small_slices_and_a_full_sketch(spark, monkeypatch):
-    for name, value in (("SLICE", 50), ("HOLD", 100), ("LEAST_BITS", 6), ("MOST_BITS", 6), ("SEGMENT_BITS", 3)):
+    for name, value in (("SLICE", 50), ("HOLD", 100), ("HOLD_FOUND", 100), ("LEAST_BITS", 6), ("MOST_BITS", 6), ("SEGMENT_BITS", 3)):
         monkeypatch.setattr(substring, name, value)
     check(spark, corpus(5), width=5)
 

@@ -2,7 +2,7 @@
 
 A first pass counts hashed windows of words in a count-min sketch, which never counts too low. Each task sends its cells
 as sorted differences, cut into segments that are merged one by one; what is kept of a cell is whether it holds two or
-more. A second pass takes only windows whose every cell does, and groups those exactly, by 128 bits of hash: a window that
+more. A second pass takes only windows whose every cell does, and groups those exactly, by 96 bits of hash: a window that
 starts in two documents is never lost, and one that does not is never removed.
 
 Within a task a window's first document speaks for all: later documents of the task are known to repeat it. So however
@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import stage, work_folder
+from waybill.llm.common import bounded, stage, work_folder
 
 #: Rows of the sketch; cells of a row as a power of two, from and to; cells of a segment. At the upper end the merged
 #: sketch is ROWS * 2**29 bits, 128 MB, which is all that is broadcast. Past it the prefilter lets more through and the
@@ -31,8 +31,9 @@ from waybill.llm.common import stage, work_folder
 ROWS, LEAST_BITS, MOST_BITS, SEGMENT_BITS = 2, 20, 29, 19
 #: Cells per word of text, and bytes a word takes on average, for the sketch's width.
 ROOM, WORD_BYTES = 2, 6
-#: Words handled at a time, and windows a task holds before it sends them on.
-SLICE, HOLD = 300_000, 3_000_000
+#: Words handled at a time, and windows a task holds before it sends them on: in the first pass, and in the second, where
+#: the sketch lies in memory beside them.
+SLICE, HOLD, HOLD_FOUND = 200_000, 3_000_000, 600_000
 BASE = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -172,17 +173,22 @@ def candidates(docs: DataFrame, width: int, bits: int, shared) -> DataFrame:
                     cell = cell[kept]
                     keep[kept] = np.frombuffer(shared.value[row], np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1
                 text = text[keep] + first
-                held.append((hashes[keep, 0], hashes[keep, 1], ids[text], marks[text], start[keep]))
+                kept = hashes[keep]
+                held.append((kept[:, 0], kept[:, 1] & np.uint64(0xFFFFFFFF), ids[text], marks[text], start[keep]))
                 size += len(text)
-                if size > HOLD:
-                    yield from send(*map(np.concatenate, zip(*held)))
-                    held, size = [], 0
+                if size > HOLD_FOUND:
+                    yield from send(held)
+                    size = 0
         if size:
-            yield from send(*map(np.concatenate, zip(*held)))
-
-    def send(h1, h2, ids, marks, start):
-        order = np.lexsort((start, marks, ids, h2, h1))
-        h1, h2, ids, marks, start = (x[order] for x in (h1, h2, ids, marks, start))
+            yield from send(held)
+
+    def send(held):
+        columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        order = np.lexsort(columns[::-1])
+        for k, column in enumerate(columns):
+            columns[k] = column[order]
+        h1, h2, ids, marks, start = columns
         window = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         of = np.cumsum(window) - 1
         known = ids > ids[np.flatnonzero(window)][of]
@@ -232,6 +238,7 @@ def kept_words(words: list[bytes], starts: np.ndarray, width: int) -> list[bytes
 def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: str = "doc_id", texts: bool = True) -> DataFrame:
     """``(key, n_words, n_removed, kept_sha256)`` of every document, and ``kept``, the words left, if ``texts``."""
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession)
+    bounded(spark)
     ids = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     # Texts are told apart by a hash only where ids repeat; a constant takes no room in the shuffles.
     repeated = ids.groupBy("id").count().where("id IS NOT NULL AND count > 1").limit(1).count()
