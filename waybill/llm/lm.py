@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import LOWER, remainder, stage, work_folder
+from waybill.llm.common import LOWER, bounded, remainder, stage, work_folder
 
 #: Text of a chunk, tokens per range of hashes, and ranges at most.
 CHUNK, RANGE, MOST_RANGES = 8 << 20, 2_000_000, 1 << 14
@@ -85,15 +85,14 @@ class Chunk:
         self.grams, self.first = bigrams(self.tokens, self.lens)
 
     @staticmethod
-    def pack(ids: list[int | None], texts: list[list[bytes]]) -> bytes:
-        tokens = hashes([w for words in texts for w in words])
-        vocabulary, index, many = np.unique(tokens, return_inverse=True, return_counts=True)
+    def pack(ids: list[int | None], texts: list[np.ndarray]) -> bytes:
+        vocabulary, index, many = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
         order = np.argsort(-many, kind="stable")  # frequent tokens get small numbers, which pack well
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order), dtype=np.uint32)
         return b"".join(packed(x) for x in (
             np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint32),
-            np.array([len(words) for words in texts], np.uint32), place[index], vocabulary[order]))
+            np.array([len(tokens) for tokens in texts], np.uint32), place[index], vocabulary[order]))
 
     def types(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Distinct hashes, inverse and counts of tokens and of bigrams."""
@@ -112,7 +111,7 @@ def chunks(docs: DataFrame, role: Column, text: str, key: str) -> DataFrame:
             for doc, t, r in zip(*(c.to_pylist() for c in batch.columns)):
                 ids, texts, size = held[r]
                 ids.append(doc)
-                texts.append([*(t or "").encode().translate(LOWER).split(), END])
+                texts.append(hashes([*(t or "").encode().translate(LOWER).split(), END]))
                 held[r] = (ids, texts, size + len(t or "") + 1)
                 if held[r][2] >= CHUNK:
                     yield row(task << 32 | made, r, ids, texts)
@@ -265,6 +264,7 @@ def score(docs: DataFrame, learnable: Column, deleted: Column, text: str = "text
     ``learnable`` rows are counted; those of them that are ``deleted`` also teach the weights.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession)
+    bounded(spark)
     role = F.when(F.coalesce(learnable & F.col(key).isNotNull(), F.lit(False)), F.when(deleted, DELETED).otherwise(COUNTED)
                   ).otherwise(SCORED)
     coded = stage(chunks(docs, role, text, key), folder, "chunks")
