@@ -64,12 +64,14 @@ def test_run_is_the_registered_query(spark, steps):
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in __spark_entry__.oracle_sql()
 
 
-def test_odd_documents(spark):
+def test_odd_documents(spark, tmp_path):
     rows = [(1, None, "en", None, 0), (2, "", "en", "a", 0), (None, "some text here", None, "a", 5), (3, "x " * 9000, "de", "b", 9),
             (3, "x " * 9000, "de", "b", 9), (4, "other words", "en", "b", None)]
     shape = "doc_id long, text string, lang string, source string, n_chars long"
     for some in (rows, []):
         docs = spark.createDataFrame(some, shape)
-        for _, step in corpus_pipeline.STAGES:
-            docs = step(spark, docs, FOLDER)
+        for name, step in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}{len(some)}")
+            step(spark, docs, FOLDER).write.parquet(path)
+            docs = spark.read.parquet(path)
         assert len(docs.collect()) <= 3 * len(some)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import count_words, stage, work_folder
+from waybill.llm.common import bounded, count_words, stage, work_folder
 
 #: Documents of a block at the leaves, and residuals of a block further up.
 LEAF, FAN = 4096, 64
@@ -133,6 +133,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, tex
     residuals of ``FAN`` blocks meet at a time.
     """
     folder = work_folder(docs.sparkSession)
+    bounded(docs.sparkSession)
     sized = stage(docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(key).alias("id"),
                               F.col(source).cast("string").alias("source"), count_words(F.col(text)).alias("size"),
                               F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("seed")), folder, "sized")
@@ -173,7 +174,8 @@ def copied(docs: DataFrame, **options) -> DataFrame:
     numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()), folder, "numbered")
     taken = mix(numbered, row=F.col(name), **options).where("copies > 0").select(
         F.col("row").alias(name), F.sequence(F.lit(1), "copies").alias(f"{name}s"))
-    return (numbered.join(taken, name).withColumn(name, F.explode(f"{name}s"))
+    # Merged at any size: how much is shuffled follows the input, and never rests on the copies fitting one machine.
+    return (numbered.join(taken.hint("merge"), name).withColumn(name, F.explode(f"{name}s"))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
