@@ -64,3 +64,26 @@ def test_odd_rows(spark):
     odd = spark.createDataFrame([(i, t, True, 0.5, "j") for i, t in rows[:200]],
                                 "doc_id long, text string, toxic boolean, score double, k string")
     assert toxicity.clean(odd, marks).columns == odd.columns and toxicity.clean(odd, marks).count() == 150
+
+
+def test_length_and_distinct_words_are_no_evidence():
+    import pandas as pd
+
+    folder = "/root/testdata/sf0.01"
+    rows = pd.read_parquet(f"{folder}/documents.parquet").merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
+    words, toxic = [toxicity.word_list(t) for t in rows.text], (rows.toxic == 1).to_numpy()
+    chain = toxicity.Chain([toxicity.features(w) for w in words], toxicity.degrees([toxicity.counted(w) for w in words], toxic),
+                           np.arange(len(words)) % toxicity.FOLDS, np.ones(len(words)))
+    at = toxicity.CATEGORIES.index("toxic")
+
+    def judged(text):
+        return chain.probabilities(text)[at] >= chain.threshold
+
+    rng = np.random.default_rng(4)
+    for n in (5_000, 40_000):
+        invented = ["".join(map(chr, rng.integers(97, 123, k))) for k in rng.integers(3, 11, n)]
+        assert not judged(" ".join(invented))
+    good = [t for t, y in zip(rows.text, toxic) if not y and not judged(t)]
+    assert len(good) > 0.95 * (~toxic).sum() and not judged(" ".join(good))
+    bad = [t for t, y in zip(rows.text, toxic) if y and judged(t)]
+    assert len(bad) > 20 and all(judged(" ".join([*good[:20], t, *good[20:40]])) for t in bad[:10])

@@ -1,7 +1,8 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after the other by sparse linear models over the words of the whole text; each also sees the
-probabilities of the categories before it. While training, those are out-of-fold: the probability of a row comes from a
+Categories are predicted one after the other by sparse linear models over words, told apart by 64-bit hashes; each also
+sees the probabilities of the categories before it. Every stretch of a text is judged, and the text is as toxic as its
+worst stretch: evidence does not add up over a long text, and is not thinned by it. While training, those are out-of-fold: the probability of a row comes from a
 model that was not fitted on it, as it will at prediction. The models are fitted on a bounded sample of labelled rows.
 
 The given labels hold one flag, so the chain of ``report`` is that flag and two degrees of it: ``repeated`` and ``dense``
@@ -14,7 +15,7 @@ nothing is toxic; repeated rows are judged alike and enter the sample once; an e
 
 from __future__ import annotations
 
-import zlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,13 @@ from pyspark.sql import types as T
 from waybill.llm.common import bounded, unit
 from waybill.llm.langid import Leader, sample
 
-#: Hashed words, labelled rows the models are fitted on (at most), folds, rounds, and the penalties.
-BITS, SAMPLE, FOLDS, ROUNDS = 18, 4000, 5, 2
+#: Labelled rows the models are fitted on (at most), folds, rounds, and the penalties.
+SAMPLE, FOLDS, ROUNDS = 4000, 5, 2
 ALPHA, L1, L2 = 0.3, 0.1, 1e-2
 #: Standard errors by which a word's log rate ratio must be beyond 0.
 CHANCE = 2.0
+#: Words of half a stretch; each two neighbouring halves are judged together.
+HALF = 128
 #: Lengths (in bytes) of word beginnings that count beside whole words.
 BEGINNINGS = (4, 5, 6)
 #: A marker is a word in this share of the toxic rows at least, and this many times more often there than elsewhere.
@@ -37,6 +40,8 @@ MARKER_SHARE, MARKER_RATE = 0.01, 10
 #: Markers per text from which toxicity is repeated, and per word from which it is dense.
 REPEATED, DENSE = 3, 0.01
 CATEGORIES = ("toxic", "repeated", "dense")
+#: Words (of so many bytes at most) whose places a worker remembers.
+REMEMBER, LONG = 400_000, 64
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -44,68 +49,113 @@ def word_list(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(LETTERS).split()
 
 
-def features(words: list[bytes]) -> np.ndarray:
-    """The distinct hashed words and word beginnings, in order."""
-    out, whole = [], set(words)
-    for n in (0, *BEGINNINGS):
-        found = {w[:n] for w in whole if len(w) > n} if n else whole
-        out.append(np.fromiter((zlib.crc32(w, n) for w in found), np.int64, len(found)))
-    return np.unique(np.concatenate(out) & (1 << BITS) - 1)
+def parts(word: bytes) -> list[bytes]:
+    """A word and its beginnings; the sign after a beginning is in no word."""
+    return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) > n)]
+
+
+def hashed(names) -> np.ndarray:
+    return np.frombuffer(b"".join([blake2b(x, digest_size=8).digest() for x in names]), "<u8")
+
+
+def features(words: list[bytes]) -> list[np.ndarray]:
+    """The distinct hashed words and word beginnings of each half stretch, in order."""
+    names = {x: k for k, x in enumerate({x for w in set(words) for x in parts(w)})}
+    codes, of = hashed(names), {w: [names[x] for x in parts(w)] for w in set(words)}
+    return [np.unique(codes[[k for w in set(words[i:i + HALF]) for k in of[w]]]) for i in range(0, len(words), HALF)]
 
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def stretches(halves: list) -> list[list]:
+    """Neighbouring halves of a text, two by two; a text of one half or less is one stretch."""
+    return [halves[i:i + 2] for i in range(max(len(halves) - 1, 1))]
+
+
 class Link:
     """One category's linear model over words and the probabilities of earlier categories.
 
     A word enters with the part of its log rate ratio between the two kinds of rows that is beyond chance, if it is more
-    often in rows of the category, so the thousands of words of a long text that tell nothing enter with 0.
+    often in rows of the category, so the thousands of words of a long text that tell nothing enter with 0. Rates count
+    rows; weights are learned from the stretch of each row that tells most, as it is the one that is judged.
     """
 
-    def __init__(self, rows: list[np.ndarray], before: np.ndarray, labels: np.ndarray):
-        dims, labels = 1 << BITS, np.asarray(labels, bool)
-        seen = [np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == k] + [np.empty(0, np.int64)]),
+    def __init__(self, rows: list[list[np.ndarray]], before: np.ndarray, labels: np.ndarray, dims: int):
+        labels = np.asarray(labels, bool)
+        whole = [np.unique(np.concatenate([*r, np.empty(0, np.int64)])) for r in rows]
+        seen = [np.bincount(np.concatenate([r for r, y in zip(whole, labels) if y == k] + [np.empty(0, np.int64)]),
                             minlength=dims) + 0.5 for k in (False, True)]
         ratio = np.log(seen[1] / (labels.sum() + 1)) - np.log(seen[0] / ((~labels).sum() + 1))
         chance = CHANCE * np.sqrt(1 / seen[0] + 1 / seen[1])
         value = np.maximum(ratio - chance, 0)
         leader = Leader(dims + before.shape[1], 2, ALPHA, L1, L2)
         places = dims + np.arange(before.shape[1])
-        told = [r[value[r] != 0] for r in rows]
+        told = [max(self._told(r, value), key=lambda w: value[w].sum()) for r in rows]
         for _ in range(ROUNDS):
             for words, p, y in zip(told, before, labels):
                 leader.learn(np.concatenate([words, places]), np.concatenate([value[words], p]), int(y))
         w = leader.weights(np.arange(len(leader.z)))
         w = w[:, 1] - w[:, 0]
-        self.words, self.before, self.bias = (w[:dims] * value).astype(np.float32), w[dims:-1], w[-1]
+        self.words, self.before, self.bias = w[:dims] * value, w[dims:-1], w[-1]
 
-    def probability(self, words: np.ndarray, before: list[float]) -> float:
-        return float(sigmoid(self.words[words].sum(dtype=np.float64) + np.dot(self.before, before) + self.bias))
+    @staticmethod
+    def _told(halves: list[np.ndarray], value: np.ndarray) -> list[np.ndarray]:
+        """The words of each stretch that have a value."""
+        halves = [h[value[h] != 0] for h in halves] or [np.empty(0, np.int64)]
+        return [np.unique(np.concatenate(s)) if len(s) > 1 else s[0] for s in stretches(halves)]
+
+    def probability(self, halves: list[np.ndarray], before: list[float]) -> float:
+        """That of the stretch with the most evidence."""
+        most = max(self.words[s].sum() for s in self._told(halves, self.words))
+        return float(sigmoid(most + np.dot(self.before, before) + self.bias))
 
 
 class Chain:
-    """The links in order, and the probability of the first category from which a text is rejected."""
+    """The links in order, and the probability of the first category from which a text is rejected.
+
+    A row is given by the hashes of each half stretch, or by one array if it is no longer than that. Of the sample's words
+    only those with a weight are kept.
+    """
 
-    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, weights: np.ndarray):
+    def __init__(self, rows: list, labels: np.ndarray, folds: np.ndarray, weights: np.ndarray):
+        rows = [[r] if isinstance(r, np.ndarray) else r for r in rows]
+        names = np.unique(np.concatenate([h for r in rows for h in r] + [np.empty(0, np.uint64)]).astype(np.uint64))
+        rows = [[np.searchsorted(names, h.astype(np.uint64)) for h in r] for r in rows]
         self.links, before = [], np.zeros((len(rows), 0))
         for k in range(labels.shape[1]):
             y = labels[:, k]
             out = np.zeros(len(rows))
             for f in range(FOLDS):
                 fit, rest = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
-                link = Link([rows[i] for i in fit], before[fit], y[fit])
+                link = Link([rows[i] for i in fit], before[fit], y[fit], len(names))
                 out[rest] = [link.probability(rows[i], before[i]) for i in rest]
             if not k:
                 self.threshold = cut(out, y, weights)
-            self.links.append(Link(rows, before, y))
+            self.links.append(Link(rows, before, y, len(names)))
             before = np.column_stack([before, out])
+        kept = np.flatnonzero(np.any([link.words != 0 for link in self.links], 0))
+        for link in self.links:
+            link.words = link.words[kept]
+        self.places = {name: k for k, name in enumerate(names[kept].tolist())}
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def _places(self, word: bytes) -> tuple[int, ...]:
+        found = tuple(self.places[h] for h in hashed(parts(word)).tolist() if h in self.places)
+        if len(word) <= LONG:
+            if len(self.known) >= REMEMBER:
+                self.known.clear()
+            self.known[word] = found
+        return found
 
     def probabilities(self, text: str | None) -> list[float]:
-        words, out = features(word_list(text)), []
+        words, known, out = word_list(text), self.known, []
+        told = {w: p for w in set(words) if (p := known[w] if w in known else self._places(w))}
+        halves = [np.array(sorted({k for w in words[i:i + HALF] if w in told for k in told[w]}), np.int64)
+                  for i in range(0, len(words), HALF)]
         for link in self.links:
-            out.append(link.probability(words, out))
+            out.append(link.probability(halves, out))
         return out
 
 
@@ -123,17 +173,22 @@ def cut(p: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
     return float(sigmoid((edges[k] + edges[k + 1]) / 2))
 
 
-def degrees(words: list[list[bytes]], toxic: np.ndarray) -> np.ndarray:
-    """Labels of the chain: toxic, and whether its markers are repeated and dense."""
-    counts: tuple[dict, dict] = ({}, {})
-    for found, y in zip(words, toxic):
-        for w in set(found):
-            counts[int(y)][w] = counts[int(y)].get(w, 0) + 1
+def counted(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashed words, and how often each occurs."""
+    codes, counts = np.unique(hashed(words), return_counts=True)
+    return codes, counts
+
+
+def degrees(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
+    """Labels of the chain: toxic, and whether its markers are repeated and dense. Rows are counted words."""
+    names = np.unique(np.concatenate([codes for codes, _ in rows] + [np.empty(0, np.uint64)]))
+    at = [np.searchsorted(names, codes) for codes, _ in rows]
+    n = [np.bincount(np.concatenate([x for x, y in zip(at, toxic) if y == k] + [np.empty(0, np.int64)]),
+                     minlength=len(names)) for k in (False, True)]
     yes, no = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
-    markers = {w for w, n in counts[1].items()
-               if n >= max(3, MARKER_SHARE * yes) and n / yes >= MARKER_RATE * counts[0].get(w, 0) / no}
-    marked = np.array([sum(w in markers for w in found) for found in words])
-    total = np.array([max(len(found), 1) for found in words])
+    marker = (n[1] >= max(3, MARKER_SHARE * yes)) & (n[1] / yes >= MARKER_RATE * n[0] / no)
+    marked = np.array([counts[marker[x]].sum() for x, (_, counts) in zip(at, rows)])
+    total = np.array([max(counts.sum(), 1) for _, counts in rows])
     return np.column_stack([toxic, toxic & (marked >= REPEATED), toxic & (marked >= DENSE * total)])
 
 
@@ -153,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     words = [bytes(r.w).split() for r in picked]
     toxic = np.array([chosen[r.k][0] for r in picked], bool)
     weights = np.array([sizes[bool(y)] / (toxic == y).sum() for y in toxic])
-    return Chain([features(w) for w in words], degrees(words, toxic), np.arange(len(words)) % FOLDS, weights)
+    return Chain([features(w) for w in words], degrees([counted(w) for w in words], toxic), np.arange(len(words)) % FOLDS, weights)
 
 
 def _packed(batches):
@@ -165,7 +220,7 @@ def _packed(batches):
 def probabilities(chain: Chain | None, docs: DataFrame) -> Column:
     """Probabilities of the categories as a function of a text column, and whether the text is rejected."""
     bounded(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # a weight per hashed word and category
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # weights of the few words that tell something
     shape = T.StructType([*(T.StructField(f"p_{c}", T.DoubleType()) for c in CATEGORIES), T.StructField("toxic", T.BooleanType())])
 
     @F.pandas_udf(shape)
