@@ -87,3 +87,15 @@ def test_length_and_distinct_words_are_no_evidence():
     assert len(good) > 0.95 * (~toxic).sum() and not judged(" ".join(good))
     bad = [t for t, y in zip(rows.text, toxic) if y and judged(t)]
     assert len(bad) > 20 and all(judged(" ".join([*good[:20], t, *good[20:40]])) for t in bad[:10])
+
+
+def test_degrees_reach_the_verdict():
+    words = [[b"vile", b"vile", b"nasty"] if i % 3 == 0 else [b"calm", b"w%d" % (i % 7)] for i in range(90)]
+    toxic = np.arange(90) % 3 == 0
+    labels = toxicity.degrees([toxicity.counted(w) for w in words], toxic)
+    assert toxicity.CATEGORIES[-1] == "toxic" and (labels[:, -1] == toxic).all()
+    chain = toxicity.Chain([toxicity.features(w) for w in words], labels, np.arange(90) % toxicity.FOLDS, np.ones(90))
+    seen = chain.probabilities("vile nasty")
+    assert seen[-1] >= chain.threshold > chain.probabilities("calm")[-1]
+    chain.links[-1].before = np.zeros(2)
+    assert chain.probabilities("vile nasty")[-1] < seen[-1]

@@ -5,8 +5,8 @@ sees the probabilities of the categories before it. Every stretch of a text is j
 worst stretch: evidence does not add up over a long text, and is not thinned by it. While training, those are out-of-fold: the probability of a row comes from a
 model that was not fitted on it, as it will at prediction. The models are fitted on a bounded sample of labelled rows.
 
-The given labels hold one flag, so the chain of ``report`` is that flag and two degrees of it: ``repeated`` and ``dense``
-toxicity, told by how often words occur that mark toxic rows of the sample.
+The given labels hold one flag, so the chain of ``report`` is two degrees of it, ``repeated`` and ``dense`` toxicity, told by
+how often words occur that mark toxic rows of the sample, and then the flag, which sees both and gives the verdict.
 
 Defined cases: null, empty and wordless texts have no words and are judged by the biases alone; several labels of an id
 count by their mean (a tie is toxic); labels without a document are passed over; with no labels, or labels of one kind,
@@ -39,7 +39,7 @@ BEGINNINGS = (4, 5, 6)
 MARKER_SHARE, MARKER_RATE = 0.01, 10
 #: Markers per text from which toxicity is repeated, and per word from which it is dense.
 REPEATED, DENSE = 3, 0.01
-CATEGORIES = ("toxic", "repeated", "dense")
+CATEGORIES = ("repeated", "dense", "toxic")
 #: Words (of so many bytes at most) whose places a worker remembers.
 REMEMBER, LONG = 400_000, 64
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -113,7 +113,7 @@ class Link:
 
 
 class Chain:
-    """The links in order, and the probability of the first category from which a text is rejected.
+    """The links in order, and the probability of the last category from which a text is rejected.
 
     A row is given by the hashes of each half stretch, or by one array if it is no longer than that. Of the sample's words
     only those with a weight are kept.
@@ -131,10 +131,9 @@ class Chain:
                 fit, rest = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
                 link = Link([rows[i] for i in fit], before[fit], y[fit], len(names))
                 out[rest] = [link.probability(rows[i], before[i]) for i in rest]
-            if not k:
-                self.threshold = cut(out, y, weights)
             self.links.append(Link(rows, before, y, len(names)))
             before = np.column_stack([before, out])
+        self.threshold = cut(out, y, weights)
         kept = np.flatnonzero(np.any([link.words != 0 for link in self.links], 0))
         for link in self.links:
             link.words = link.words[kept]
@@ -180,7 +179,7 @@ def counted(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def degrees(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
-    """Labels of the chain: toxic, and whether its markers are repeated and dense. Rows are counted words."""
+    """Labels of the chain: whether markers of toxicity are repeated and dense, and toxic. Rows are counted words."""
     names = np.unique(np.concatenate([codes for codes, _ in rows] + [np.empty(0, np.uint64)]))
     at = [np.searchsorted(names, codes) for codes, _ in rows]
     n = [np.bincount(np.concatenate([x for x, y in zip(at, toxic) if y == k] + [np.empty(0, np.int64)]),
@@ -189,7 +188,7 @@ def degrees(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.
     marker = (n[1] >= max(3, MARKER_SHARE * yes)) & (n[1] / yes >= MARKER_RATE * n[0] / no)
     marked = np.array([counts[marker[x]].sum() for x, (_, counts) in zip(at, rows)])
     total = np.array([max(counts.sum(), 1) for _, counts in rows])
-    return np.column_stack([toxic, toxic & (marked >= REPEATED), toxic & (marked >= DENSE * total)])
+    return np.column_stack([toxic & (marked >= REPEATED), toxic & (marked >= DENSE * total), toxic])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id") -> Chain | None:
