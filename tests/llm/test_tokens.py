@@ -54,6 +54,24 @@ def test_pieces_give_the_ids_of_the_text(plain, texts):
     assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
 
 
+END = "<|endoftext|>"
+NAMED = [f"foo {END} bar{END}", END, f"a b  {END}  c", f"a\n {END}{END}.", f"same {END}", f"same {END}", f" {END} ", "<|endoftext |>",
+         "foo bar", f"wörd,{END}!", f"{END[:-1]} {END[1:]}", f"\x1c {END}"]
+
+
+def test_added_tokens_keep_their_id(plain):
+    encoder = tokens.Encoder(PATH, 2)
+    for texts in (NAMED, NAMED[::-1]):
+        ids, lens = encoder.encode(texts)
+        want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
+    assert ids.tolist().count(50256) == sum(t.count(END) for t in NAMED)
+
+
+def test_documents_with_added_tokens(spark, plain):
+    check(spark, plain, list(enumerate(NAMED * 3)))
+
+
 def expected(plain, rows):
     start, out = 0, []
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -56,7 +56,8 @@ class Encoder:
     """Ids of texts by a tokenizer file with byte-level pieces, encoding each piece between blanks once.
 
     The tokenizer cuts before every blank that no white space follows, whatever stands around it, so ids of the pieces
-    joined are the ids of the text. A text with any other blank is encoded in one go. A word with signs at its end is made
+    joined are the ids of the text. A text with any other blank is encoded in one go, and so is one that holds a token added
+    to the file, which has an id of its own. A word with signs at its end is made
     of the word and the signs, which the tokenizer parts too.
     """
 
@@ -67,7 +68,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(self.tokenizer.get_vocab_size())])
         # Place 0 is the end of a text. Places are those of pieces behind a blank; of others, with HEAD before them.
         self.known = Places(1)
@@ -149,9 +150,12 @@ class Encoder:
             self._thin()
         place, order, ends = self.known.__getitem__, [], []
         for t in texts:
-            head, *pieces = (t or "").split(" ")
-            order.append(place(HEAD + head))
-            order.extend(map(place, pieces))
+            if t and any(a in t for a in self.added):
+                order.append(place(HEAD + t))
+            else:
+                head, *pieces = (t or "").split(" ")
+                order.append(place(HEAD + head))
+                order.extend(map(place, pieces))
             order.append(0)
             ends.append(len(order))
         self._learn()
