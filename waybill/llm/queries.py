@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontaminate, langid, lm, mixing, rules, sharding, simhash, substring, tokens, toxicity
+from waybill.llm import decontaminate, langid, lm, mixing, periodic, rules, sharding, simhash, substring, tokens, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -102,3 +102,37 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+#: crc32 of the decimal doc_id, by its table of bytes.
+_CRC = """
+crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS bytes),
+coded AS (SELECT doc_id, text, xor(4294967295, list_reduce(list_prepend(4294967295,
+                 list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                 lambda c, b: xor(c >> 8, bytes[xor(c % 256, b) + 1]))) AS h FROM documents, crc)"""
+
+
+@query("op12_periodic_runs", rf"""
+WITH {_CRC},
+d AS (SELECT doc_id, h, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM coded),
+e AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN g % len(w) END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+v AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+      THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM f),
+x AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM v),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM x JOIN x y ON x.doc_id = y.doc_id AND x.word = y.word
+      AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+r AS (SELECT doc_id, min(i) AS s, count(*) + q AS l, q FROM s GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+u AS (SELECT doc_id, s, l, min(q) AS q FROM r GROUP BY doc_id, s, l),
+best AS (SELECT doc_id, count(*) AS n_runs, first(struct_pack(s := s, l := l, q := q) ORDER BY l / q DESC, s, q) AS b,
+         sha256(string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q)) AS digest FROM u GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM u),
+kept AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS digest FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT v.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period, 1000 * b.l // b.q AS exponent_milli,
+       coalesce(best.digest, sha256('')) AS runs_sha256, coalesce(kept.digest, sha256('')) AS collapsed_sha256
+FROM v LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.report(periodic.with_cycles(table(spark, folder, "documents")), least=24, times=3)
