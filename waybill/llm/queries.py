@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate, langid, lm, mixing, periodic, rules, sharding, simhash, substring, tokens, toxicity
+from waybill.llm import decontaminate, langid, lm, mixing, periodic, rules, sharding, simhash, substring, tokens, topk, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -136,3 +137,18 @@ FROM v LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.report(periodic.with_cycles(table(spark, folder, "documents")), least=24, times=3)
+
+
+_WHOLE = """list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"""
+_FIT = """embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query("op11_exact_top_k", f"""
+WITH v AS (SELECT row_number() OVER () AS place, vec_id, {_WHOLE} AS e FROM embeddings WHERE {_FIT}),
+s AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.place <> c.place WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), asks=F.col("vec_id") % 50 == 0, k=5)
