@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate, langid, lm, mixing, periodic, rules, sharding, simhash, substring, tokens, topk, toxicity
+from waybill.llm import decontaminate, langid, lm, mixing, negatives, periodic, rules, sharding, simhash, substring, tokens, topk, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -152,3 +152,22 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), asks=F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op13_hard_negatives", f"""
+WITH v AS (SELECT row_number() OVER () AS place, vec_id, {_WHOLE} AS e,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+           FROM embeddings WHERE label IS NOT NULL AND {_FIT}),
+s AS (SELECT a.place, a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.place <> c.place WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s WHERE same),
+r AS (SELECT s.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY s.place, p.n ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+      FROM s JOIN p ON s.place = p.place AND p.n <= 5
+      WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 10
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label, positives=5, k=10,
+                                    lowest=30, highest=90)
