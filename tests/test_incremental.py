@@ -55,7 +55,8 @@ def test_state_put(spark):
     assert out["b"]["last_synced_at"] == datetime(2024, 1, 1)  # a failure does not move the mark
     assert out["a"]["created_at"] == datetime(2024, 1, 1)
     after = state.put(before, changes)
-    assert state.last_sync(after, "a") == NOW.replace(tzinfo=None) and state.last_sync(after, "b") is None
+    assert state.last_sync(after, "a") == NOW.replace(tzinfo=None)
+    assert state.last_sync(after, "b") == datetime(2024, 1, 1) and state.last_sync(after, "c") is None
 
 
 def test_health(spark):

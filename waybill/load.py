@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,11 +17,11 @@ from waybill.operators import links, picks, quality
 from waybill.operators.merge import repeated_keys
 from waybill.operators.reshape import flat_tracking
 from waybill.operators.rollups import settlement_headers
-from waybill.schemas import TABLES
+from waybill.schemas import TABLES, WAITING
 from waybill.sources import fulfilment, marketplace
-from waybill.sources.feeds import Feed
-from waybill.sources.landing import SEQ, broken, envelope_records, read_lines, read_report
-from waybill.schemas.payloads import WAREHOUSE_ORDER
+from waybill.sources.feeds import FEEDS, Feed
+from waybill.sources.landing import SEQ, read_lines, read_report, rejected
+from waybill.sources.pulls import PULL, WHOLE, with_pulls
 from waybill.streaming import state
 from waybill.streaming.windows import lookback_window
 from waybill.warehouse import Change, Conflict, Warehouse
@@ -43,6 +44,7 @@ class Stats:
     updated: int = 0
     quarantined: int = 0
     orphans: int = 0
+    waiting: int = 0
 
 
 @dataclass
@@ -61,13 +63,17 @@ def _moment(at: datetime) -> Column:
 
 
 class Loader:
-    """Loads into one warehouse. ``mode`` is ``quarantine`` (bad rows are set aside) or ``refuse`` (a bad row fails
-    the whole load)."""
+    """Loads into one warehouse.
 
-    def __init__(self, warehouse: Warehouse, mode: str = "quarantine"):
+    ``mode`` is ``quarantine`` (bad rows are set aside) or ``refuse`` (a bad row fails the whole load). Rows that hang on a
+    row of another feed which is not there are dropped; with ``wait`` they are kept aside so long, loaded as soon as it is
+    there, and set aside as bad after that.
+    """
+
+    def __init__(self, warehouse: Warehouse, mode: str = "quarantine", wait: timedelta | None = None):
         if mode not in ("quarantine", "refuse"):
             raise ValueError(f"mode must be quarantine or refuse, not {mode!r}")
-        self.warehouse, self.spark, self.mode = warehouse, warehouse.spark, mode
+        self.warehouse, self.spark, self.mode, self.wait = warehouse, warehouse.spark, mode, wait
 
     # --- one load --------------------------------------------------------------------------------------------------
     def load(
@@ -85,6 +91,26 @@ class Loader:
         return self.load_lines(
             feed, lines, as_of, start, end, delete_missing=delete_missing, newer_by=newer_by, only=only)
 
+    def load_landed(
+        self, feed: Feed, landing: str, now: datetime, *, late: timedelta = timedelta(hours=1), sweep: bool = False,
+        enabled: bool = True, page_per_file: bool = False, **how,
+    ) -> Outcome:
+        """Load the files that landed since the last such load, whatever the change times in them; open no others.
+
+        The files a load has taken are listed in ``landed_files``, published with its rows, so a file is loaded once or,
+        after a failure, again. Files older than the newest listed by more than ``late`` are not looked at; ``sweep``
+        looks at all, for files that arrived with an old time. The files of a pull that is not whole yet are taken by the
+        load that finds its last page, or a later pull.
+        """
+        taken = self.warehouse.read("landed_files").filter(F.col("feed") == feed.name)
+        newest = taken.agg(F.max("landed_at").alias("at")).first()["at"]
+        after = None if newest is None or sweep else newest.replace(tzinfo=UTC) - late
+        path = f"{landing.rstrip('/')}/{feed.folder}"
+        lines = read_lines(self.spark, path, page_per_file=page_per_file, enabled=enabled, after=after)
+        known = taken if after is None else taken.filter(F.col("landed_at") > _moment(after))
+        known = known.select(F.col("file").alias("_file"), F.col("landed_at").alias("_landed"))
+        return self.load_lines(feed, lines.join(known, ["_file", "_landed"], "left_anti"), now, track=True, **how)
+
     def load_new(
         self, feed: Feed, landing: str, now: datetime, lookback: timedelta | None = None, **how,
     ) -> Outcome:
@@ -107,13 +133,17 @@ class Loader:
     def load_lines(
         self, feed: Feed, lines: DataFrame, as_of: datetime, start: datetime | None = None,
         end: datetime | None = None, *, sync_key: str | None = None, delete_missing: bool = False,
-        newer_by: str | None = None, only: Mapping[str, Sequence[str]] | None = None,
+        newer_by: str | None = None, only: Mapping[str, Sequence[str]] | None = None, track: bool = False,
+        name: str | None = None,
     ) -> Outcome:
-        """Load a feed and its children from landed lines, in one commit."""
+        """Load a feed and its children from landed lines, in one commit; the lines are read and parsed once.
+
+        ``track`` lists their files in ``landed_files``; ``name`` notes the load under another name than the feed's.
+        """
 
         def work(run: str) -> tuple[list[Change], list[Stats]]:
-            records = feed.records(lines)
-            unread = self._set_aside(run, feed, lines)
+            pages, unread = self._parsed(run, feed, lines)
+            records = feed.records_of(pages)
             bounds = [None if b is None else _moment(b) for b in (start, end)]
             parents: DataFrame | None = None
             changes, stats = [], []
@@ -125,42 +155,104 @@ class Loader:
                     run, part, rows, as_of, parents if part is not feed else None,
                     delete_missing=delete_missing, newer_by=newer_by)
                 parents = kept if part is feed else parents
-                changes.append(change)
+                changes += change
                 stats.append(stat)
+            if track:
+                changes.append(self._listed(run, feed, pages))
             stats[0].quarantined += unread
             return changes, stats
 
-        return self._recorded(feed.name, as_of, work, sync_key)
+        return self._recorded(name or feed.name, as_of, work, sync_key)
+
+    def load_waiting(self, feed: Feed, as_of: datetime) -> Outcome:
+        """Load what waits in a feed for rows of another one that are there by now."""
+        nothing = read_lines(self.spark, "", enabled=False)
+        return self.load_lines(feed, nothing, as_of, name=f"{feed.name}_waiting")
 
-    def _set_aside(self, run: str, feed: Feed, lines: DataFrame) -> int:
-        """Quarantine pages that cannot be read and records that are no objects; how many there were."""
-        bad = broken(lines, feed.at)
-        count = bad.count()
+    def _parsed(self, run: str, feed: Feed, lines: DataFrame) -> tuple[DataFrame, int]:
+        """The pages of a feed, parsed and staged in one reading; quarantine what is no record, and count it."""
+        seen = Observation(f"{run} {feed.name} parsed")
+        found = feed.pages(lines).observe(seen, F.count("_reason").alias("bad"))
+        pages = self.warehouse.stage(run, f"{feed.name}_pages", found).frame
+        count = seen.get["bad"]
         if count:
             if self.mode == "refuse":
                 raise quality.InvalidBatch(f"{count} unreadable pages or records")
-            bad.select(F.array("reason").alias("errors"), F.col("value").alias("record"), "_file").write.mode(
+            rejected(pages).select(F.array("reason").alias("errors"), F.col("value").alias("record"), "_file").write.mode(
                 "overwrite").json(f"{self.warehouse.root}/_quarantine/run={run}/feed={feed.name}_pages")
             log.warning("%s: %d unreadable pages or records quarantined", feed.name, count)
-        return count
+        return pages, count
+
+    def _listed(self, run: str, feed: Feed, pages: DataFrame) -> Change:
+        """Note the files of parsed pages as loaded; not those of the newest pull while it is not whole."""
+        place = [F.col(f"{SEQ}._file").alias("file"), F.col(f"{SEQ}._landed").alias("landed_at")]
+        if feed.more:
+            marked = with_pulls(pages)
+            newest = marked.agg(F.max(F.struct(PULL, WHOLE))).first()[0]
+            done = F.col(PULL) < newest[PULL] if newest and not newest[WHOLE] else F.lit(True)
+            pages = marked.filter(done)
+        files = pages.select(*place).distinct().select(F.lit(feed.name).alias("feed"), "file", "landed_at", F.lit(run).alias("run_id"))
+        batch = self.warehouse.stage(run, "landed_files", files)
+        return self.warehouse.merge(run, "landed_files", batch.frame, rows=batch.rows)
 
     def _merge_part(
         self, run: str, feed: Feed, rows: DataFrame, as_of: datetime, parents: DataFrame | None, **how,
-    ) -> tuple[Change, Stats, DataFrame]:
-        """Check, reduce to one row per key, drop orphans and merge the rows of one feed."""
+    ) -> tuple[list[Change], Stats, DataFrame]:
+        """Check, reduce to one row per key, drop orphans or let them wait, and merge the rows of one feed."""
         table = TABLES[feed.table]
+        orphans = waiting = 0
+        changes = []
         good, quarantined = self._checked(run, feed.name, rows, quality.table_rules(table))
         one = feed.fold(good) if feed.fold else _newest(good, feed, table.key)
-        orphans = 0
-        if table.parent:
+        if self.wait is not None and table.parent and parents is None:
+            change, one, orphans, waiting = self._without_waiting(run, feed, one, as_of)
+            changes.append(change)
+        elif table.parent:
             parent_table, column = table.parent
             known = self.warehouse.read(parent_table) if parents is None else parents
             one = self.warehouse.stage(run, f"{feed.name}_reduced", one).frame  # read three times below
             orphans, one = self._without_orphans(run, feed, one, known, column)
         batch = self.warehouse.stage(run, feed.table, one.select(*[c for c in one.columns if c in table.columns]))
         change = self.warehouse.merge(run, feed.table, batch.frame, rows=batch.rows, as_of=_moment(as_of), **how)
-        return change, Stats(
-            feed.table, batch.rows, change.inserted, change.updated, quarantined, orphans), batch.frame
+        return [*changes, change], Stats(
+            feed.table, batch.rows, change.inserted, change.updated, quarantined, orphans, waiting), batch.frame
+
+    def _without_waiting(
+        self, run: str, feed: Feed, rows: DataFrame, as_of: datetime
+    ) -> tuple[Change, DataFrame, int, int]:
+        """Rows whose parent is there, of those that came and those that waited; the others wait from now on.
+
+        A row that came replaces one of its key that waited, and waits from when that one began. Rows whose parent has
+        not come within the time to wait go to quarantine. Returns the change of the waiting rows, the rows to load, and
+        how many gave up and how many wait.
+        """
+        table, waiting = TABLES[feed.table], WAITING[feed.table]
+        parent_table, column = table.parent
+        now = _moment(as_of)
+        given = [c for c in rows.columns if c in table.columns]
+        held = self.warehouse.read(waiting.name).withColumn("_came", F.lit(0)).unionByName(
+            rows.select(*given).withColumns({"waiting_since": now, "_came": F.lit(1)}), allowMissingColumns=True)
+        held = self.warehouse.stage(run, f"{feed.name}_held", held).frame
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in table.key]
+        first = held.groupBy(*[F.col(c).alias(f"_{c}") for c in table.key]).agg(F.min("waiting_since").alias("_since"))
+        newest = picks.latest_per_key(held, list(table.key), ["_came"]).join(first, reduce(Column.__and__, same)).drop(
+            *[f"_{c}" for c in table.key]).withColumn("waiting_since", F.col("_since")).drop("_since", "_came")
+        keys = held.select(column).distinct()
+        known = self.warehouse.stage(
+            run, f"{feed.name}_known", self.warehouse.read(parent_table).select(column).join(keys, column, "left_semi")).frame
+        newest = self.warehouse.stage(run, f"{feed.name}_newest", newest).frame
+        there = links.drop_orphans(newest, known, column)
+        missing = newest.join(known, column, "left_anti")
+        late = F.col("waiting_since") + F.make_dt_interval(secs=F.lit(self.wait.total_seconds()).cast("decimal(18,6)")) < now
+        still = self.warehouse.stage(run, waiting.name, missing.filter(~late).select(*waiting.columns))
+        gone = self.warehouse.stage(run, f"{feed.name}_given_up", missing.filter(late))
+        if gone.rows:
+            record = F.to_json(F.struct(*[c for c in gone.frame.columns if c in table.columns])).alias("record")
+            gone.frame.select(F.array(F.lit(f"no {column} in {parent_table}")).alias("errors"), record).write.mode(
+                "overwrite").json(f"{self.warehouse.root}/_quarantine/run={run}/feed={feed.name}_waiting")
+            log.warning("%s: %d rows given up: what they hang on did not come", feed.name, gone.rows)
+        change = self.warehouse.merge(run, waiting.name, still.frame, rows=still.rows, delete_missing=True)
+        return change, there.select(*given), gone.rows, still.rows
 
     def _checked(self, run: str, name: str, rows: DataFrame, rules: list[quality.Rule]) -> tuple[DataFrame, int]:
         """Stage the rows with their broken rules; return the good ones and how many were set aside."""
@@ -229,13 +321,14 @@ class Loader:
         """Write status and tracking of warehouse orders into the store orders they refer to; none is inserted."""
 
         def work(run: str) -> tuple[list[Change], list[Stats]]:
-            lines = read_lines(self.spark, f"{landing.rstrip('/')}/warehouse/orders", enabled=enabled)
-            records = envelope_records(lines, WAREHOUSE_ORDER)
-            updates = flat_tracking(fulfilment.order_statuses(records, _moment(since)))
+            feed = FEEDS["warehouse_orders"]
+            lines = read_lines(self.spark, f"{landing.rstrip('/')}/{feed.folder}", enabled=enabled)
+            pages, unread = self._parsed(run, feed, lines)
+            updates = flat_tracking(fulfilment.order_statuses(feed.records_of(pages), _moment(since)))
             newest = picks.latest_per_key(updates, ["order_id"], ["updated_at", SEQ])
             batch = self.warehouse.stage(run, "order_status", newest.select("order_id", *TRACKING))
             change = self.warehouse.update(run, table, batch.frame, TRACKING)
-            return [change], [Stats(table, batch.rows, 0, change.updated)]
+            return [change], [Stats(table, batch.rows, 0, change.updated, unread)]
 
         return self._recorded("warehouse_order_status", as_of, work)
 

@@ -325,6 +325,12 @@ _ALL = [
         frozen=("created_at",),
         required=("domain",),
     ),
+    Table(
+        "landed_files",
+        _columns("feed file landed_at:timestamp run_id"),
+        ("feed", "file", "landed_at"),
+        frozen=(),
+    ),
     Table(
         "job_executions",
         _columns("run_id job_name status started_at:timestamp completed_at:timestamp duration_seconds"
@@ -336,3 +342,14 @@ _ALL = [
 ]
 
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}
+
+#: Where rows wait for the row of another feed they hang on, by the table they are bound for.
+WAITING: dict[str, Table] = {
+    t.name: Table(f"waiting_{t.name}", {**t.columns, "waiting_since": "timestamp"}, t.key, frozen=())
+    for t in _ALL if t.parent
+}
+
+
+def table(name: str) -> Table:
+    """A table of the warehouse by its name, or the one where its rows wait."""
+    return TABLES[name] if name in TABLES else WAITING[name.removeprefix("waiting_")]

@@ -20,9 +20,8 @@ from waybill.operators.rollups import inventory_by_sku
 from waybill.schemas import TABLES
 from waybill.schemas import payloads as p
 from waybill.sources import accounting, fulfilment, marketplace, store
-from waybill.sources.landing import (
-    SEQ, array_records, envelope_records, object_records, read_lines,
-)
+from waybill.sources.landing import SEQ, object_records, pages, read_lines, records_of
+from waybill.sources.pulls import PULL, whole_pulls, with_pulls
 
 Normalizer = Callable[[DataFrame, Column], DataFrame]
 
@@ -34,7 +33,7 @@ class Feed:
     ``at`` is the path of the record array in an object page; ``"[]"`` means bare arrays only, ``"*"`` bare arrays or an
     ``items`` envelope. ``changed`` is the row column the range of a load applies to, and the newest-wins order.
     ``children`` are feeds over the same records. ``fold`` combines rows of one key where the newest does not replace
-    the others.
+    the others. ``more`` are the paths, one of which holds a token in a page that others of the same pull follow.
     """
 
     name: str
@@ -49,14 +48,22 @@ class Feed:
     carry: str | None = None
     children: tuple[Feed, ...] = ()
     fold: Callable[[DataFrame], DataFrame] | None = None
+    more: tuple[str, ...] = ()
+
+    def pages(self, lines: DataFrame) -> DataFrame:
+        """Everything landed lines hold, records and what is none, from one parse (see ``landing.pages``)."""
+        if self.more:
+            token = F.coalesce(*[F.get_json_object("value", f"$.{path}") for path in self.more])
+            lines = lines.withColumn("_more", F.coalesce(token, F.lit("")) != "")
+        return pages(lines, self.record, self.at, self.carry)
+
+    def records_of(self, found: DataFrame) -> DataFrame:
+        """Records of parsed pages; those of a feed pulled page by page with the number of their pull."""
+        return records_of(with_pulls(found) if self.more else found)
 
     def records(self, lines: DataFrame) -> DataFrame:
         """Records of landed lines."""
-        if self.at == "*":
-            return envelope_records(lines, self.record)
-        if self.at == "[]":
-            return array_records(lines, self.record)
-        return object_records(lines, self.record, self.at, self.carry)
+        return self.records_of(self.pages(lines))
 
     def in_range(
         self, rows: DataFrame, start: Column | None, end: Column | None, *, undated: bool = False
@@ -82,15 +89,14 @@ def _plain(rows: Callable[[DataFrame], DataFrame]) -> Normalizer:
 def _market_inventory(df: DataFrame, as_of: Column) -> DataFrame:
     """Stock of all centers per sku, under the table's column names.
 
-    A file is one pull of the stock; of several pulls, the newest that names a sku counts.
+    Of several pulls of the stock, the newest complete one that names a sku counts, over all of its pages (see ``pulls``).
     """
     per_center = marketplace.inventory(df, as_of)
     if SEQ not in per_center.columns:
         raise ValueError("stock summaries need their order of arrival")
-    pull = [F.col(f"{SEQ}.{c}") for c in ("_landed", "_file") if c in df.select(f"{SEQ}.*").columns]
     total = inventory_by_sku(
-        latest_batch(per_center, ["sku"], pull), ["on_hand", "reserved", "inbound"], ["asin", "fnsku", "updated_at"], "fc", SEQ
-    )
+        latest_batch(whole_pulls(per_center), ["sku"], [F.col(PULL)]), ["on_hand", "reserved", "inbound"],
+        ["asin", "fnsku", "updated_at"], "fc", SEQ)
     ints = [F.col(c).cast("int").alias(c) for c in ("on_hand", "reserved", "inbound")]
     return current_inventory_columns(total.select("sku", "asin", "fnsku", "fc", "updated_at", *ints))
 
@@ -146,7 +152,7 @@ _ALL = [
     ),
     Feed(
         "marketplace_inventory", "marketplace/inventory", p.MARKET_INVENTORY, "payload.inventorySummaries",
-        "inventory", _market_inventory,
+        "inventory", _market_inventory, more=("payload.nextToken", "pagination.nextToken", "payload.pagination.nextToken"),
     ),
     Feed(
         "warehouse_inventory", "warehouse/inventory", p.WAREHOUSE_INVENTORY, "*", "shipbob_inventory",

@@ -15,7 +15,8 @@ ORDER_STATES = ("Pending", "Unshipped", "PartiallyShipped", "Shipped", "Canceled
 
 
 def _seq(df: DataFrame) -> list[str]:
-    return [SEQ] if SEQ in df.columns else []
+    """What records carry of where they come from."""
+    return [c for c in (SEQ, "_pull", "_whole") if c in df.columns]
 
 
 def wanted_orders(df: DataFrame, since: Column | None = None) -> DataFrame:

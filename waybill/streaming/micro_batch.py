@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from waybill.load import Loader
-from waybill.sources.feeds import Feed
+from waybill.schemas import TABLES
+from waybill.sources.feeds import FEEDS, Feed
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -42,12 +43,19 @@ def stream_feed(
     loader: Loader, feed: Feed, landing: str, checkpoint: str, *, available_now: bool = True,
     files_per_batch: int | None = None, clock: Callable[[], datetime] | None = None,
 ) -> StreamingQuery:
-    """Load a feed as its files land; with ``available_now`` stop once the landed files are loaded."""
+    """Load a feed as its files land; with ``available_now`` stop once the landed files are loaded.
+
+    With a loader that lets rows wait, rows of another feed that waited for those of a batch are loaded after it.
+    """
     now = clock or (lambda: datetime.now(UTC))
+    hanging = [f for f in FEEDS.values() if (TABLES[f.table].parent or ("",))[0] == feed.table]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if not done(loader, feed, batch_id):
             loader.load_lines(feed, _with_origin(batch), now(), sync_key=str(batch_id))
+        if loader.wait is not None:
+            for other in hanging:
+                loader.load_waiting(other, now())
 
     lines = stream_lines(loader.spark, f"{landing.rstrip('/')}/{feed.folder}", files_per_batch)
     writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

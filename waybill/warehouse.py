@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from waybill.operators import merge as ops
 from waybill.schemas import TABLES, Table
+from waybill.schemas import table as declared
 from waybill.session import shared_folder
 
 _KEY, _BUCKET = "_key", "_bucket"
@@ -119,7 +120,7 @@ class Warehouse:
     def read(self, name: str, now: dict | None = None) -> DataFrame:
         """A table as of a commit (the newest by default); empty if it was never written. ``job_executions`` is the
         job log."""
-        table = TABLES[name]
+        table = declared(name)
         if name == "job_executions":
             entry = F.from_json(F.get_json_object("value", "$.job"), table.ddl)
             return self._commits().select(entry.alias("job")).filter("job IS NOT NULL").select("job.*")
@@ -203,7 +204,7 @@ class Warehouse:
         together with the touched buckets, one task per bucket. ``delete_missing`` treats the batch as the whole table
         and drops other keys.
         """
-        table, now = TABLES[name], self.state()
+        table, now = declared(name), self.state()
         buckets = self._bucket_count(table, now)
         stamped = batch if as_of is None or "created_at" in batch.columns or "created_at" not in table.columns else (
             batch.withColumn("created_at", as_of))
@@ -225,7 +226,7 @@ class Warehouse:
 
     def update(self, run: str, name: str, batch: DataFrame, columns: Sequence[str]) -> Change:
         """Overwrite columns of known keys; unknown keys are not inserted."""
-        table, now = TABLES[name], self.state()
+        table, now = declared(name), self.state()
         buckets = self._bucket_count(table, now)
         source = self._keyed(batch, table, buckets)
         touched = self._touched(source)
@@ -237,7 +238,7 @@ class Warehouse:
 
     def replace(self, run: str, name: str, rows: DataFrame, now: dict) -> Change:
         """Write a small table anew, as one bucket, in place of its state in ``now``."""
-        table = TABLES[name]
+        table = declared(name)
         one = rows.select(*table.columns).withColumn(_BUCKET, F.lit(0)).coalesce(1)
         one.write.mode("error").partitionBy(_BUCKET).parquet(f"{self.root}/{table.name}/run={run}")
         return Change(name, 1, {0: run}, base=self._base(now, name, [0]))
