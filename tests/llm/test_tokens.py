@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,11 +50,20 @@ def test_code_is_dense():
 @given(st.lists(st.text(alphabet="ab '\n\t.,1é　\x1c 🙂", max_size=40), max_size=5))
 def test_pieces_give_the_ids_of_the_text(plain, texts):
     encoder = tokens.Encoder(PATH, 2)
-    ids, lens = encoder.encode(texts)
+    ids, lens = encoder.encode(pa.array(texts, pa.string()))
     want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
     assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["word", "Été", "$$$", "&&", "'s", "don't", "\n", "\n\n", "x1", "12", ".", ",\n", "-", "_a", "é", "Ж"]),
+                         max_size=7).map("".join), max_size=30).map(" ".join))
+def test_lines_and_signs_within_pieces(plain, text):
+    ids, _ = tokens.Encoder(PATH, 2).encode(pa.array([text, text + "\n" + text], pa.string()))
+    want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in (text, text + "\n" + text)]
+    assert ids.tolist() == want[0] + want[1]
+
+
 END = "<|endoftext|>"
 NAMED = [f"foo {END} bar{END}", END, f"a b  {END}  c", f"a\n {END}{END}.", f"same {END}", f"same {END}", f" {END} ", "<|endoftext |>",
          "foo bar", f"wörd,{END}!", f"{END[:-1]} {END[1:]}", f"\x1c {END}"]
@@ -62,7 +72,7 @@ NAMED = [f"foo {END} bar{END}", END, f"a b  {END}  c", f"a\n {END}{END}.", f"sam
 def test_added_tokens_keep_their_id(plain):
     encoder = tokens.Encoder(PATH, 2)
     for texts in (NAMED, NAMED[::-1]):
-        ids, lens = encoder.encode(texts)
+        ids, lens = encoder.encode(pa.array(texts, pa.string()))
         want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
         assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
     assert ids.tolist().count(50256) == sum(t.count(END) for t in NAMED)

@@ -33,9 +33,12 @@ PACK = 2048 * simple8b.BLOCK
 REMEMBER = 1_000_000
 #: Before a piece that no blank precedes; pieces between blanks never hold one.
 HEAD = " "
-#: Signs that follow a word; the tokenizer parts them from it.
-TAIL = ".,:;!?"
-SLICE = 2 << 20
+#: Signs that follow a word, and pieces made of both; the tokenizer parts them. Its endings behind an apostrophe are not.
+TAIL = r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+SIGNED = r"^ ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+[!-&(-/:-@\[-`{-~]+$"
+#: Lines that end and begin within a piece; the tokenizer parts a single line end from what stands around it.
+LINES = r"^[!-~À-ÖØ-öø-ɏ]+(\n[!-~À-ÖØ-öø-ɏ]+)+$"
+SLICE = 4 << 20
 CALL = 1 << 16
 
 
@@ -57,8 +60,7 @@ class Encoder:
 
     The tokenizer cuts before every blank that no white space follows, whatever stands around it, so ids of the pieces
     joined are the ids of the text. A text with any other blank is encoded in one go, and so is one that holds a token added
-    to the file, which has an id of its own. A word with signs at its end is made
-    of the word and the signs, which the tokenizer parts too.
+    to the file, which has an id of its own. Lines and signs, which the tokenizer parts too, are encoded by themselves.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -72,7 +74,8 @@ class Encoder:
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(self.tokenizer.get_vocab_size())])
         # Place 0 is the end of a text. Places are those of pieces behind a blank; of others, with HEAD before them.
         self.known = Places(1)
-        self.flat, self.starts, self.lens = np.array([end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.flat, self.size = np.array([end_id], np.uint32), 1
+        self.starts, self.lens = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.used, self.odd = np.zeros(1, np.int64), np.zeros(1, bool)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -94,44 +97,72 @@ class Encoder:
         return found, np.concatenate([*lens, np.empty(0, np.int64)])
 
     def _learn(self) -> None:
-        """Encode what is new and put its ids where its places say."""
+        """Encode what is new and put its ids where its places say.
+
+        Pieces of several lines are made of their lines, words with signs of the word and the signs; these parts are new
+        pieces themselves unless they are known.
+        """
+        import pyarrow.compute as pc
+
         first, known, new = len(self.lens), self.known, self.known.new
-        plain, heads, signed, odd = [], [], [], []
-        for k, p in enumerate(new, first):  # a signed word may add its word or its signs at the end
-            word = p.rstrip(TAIL)
-            if word != p and word.isalpha() and max(word) < "\u0250":
-                signed.append((k, known[word], known[HEAD + p[len(word):]]))
-            elif p[:1] == HEAD:
-                heads.append(k)
-            elif not p or not p[0].isprintable():
-                odd.append(k)
-            else:
-                plain.append(k)
-        lens = np.zeros(known.next, np.int64)
-        lens[:first] = self.lens
-        starts, odds = np.resize(self.starts, known.next), np.zeros(known.next, bool)
-        starts[first:], odds[:first], odds[odd] = 0, self.odd, True
-        found, lens[plain] = self._behind_blank([new[k - first] for k in plain])
-        others = self._whole([new[k - first][1:] for k in heads])
-        lens[heads] = [len(x) for x in others]
-        at = np.array(plain + heads, np.int64)
-        starts[at] = len(self.flat) + np.cumsum(lens[at]) - lens[at]
-        self.flat = np.concatenate([self.flat, *found, *others])
-        self.starts, self.lens, self.odd = starts, lens, odds
-        self.used = np.concatenate([self.used, np.zeros(known.next - first, np.int64)])
-        if signed:
-            at, word, signs = np.array(signed).T
-            ids, each = self._joined(np.stack([word, signs], 1).reshape(-1))
-            self.lens[at] = each[::2] + each[1::2]
-            self.starts[at] = len(self.flat) + np.cumsum(self.lens[at]) - self.lens[at]
-            self.flat = np.concatenate([self.flat, ids])
+
+        def found(pieces: pa.Array, pattern: str) -> np.ndarray:
+            return np.flatnonzero(pc.match_substring_regex(pieces, pattern).to_numpy(zero_copy_only=False))
+
+        lined = found(pa.array(new, pa.string()), LINES)
+        lines = [new[k].split("\n") for k in lined.tolist()]
+        lines = [[known[some[0]], *(x for line in some[1:] for x in (known[HEAD + "\n"], known[HEAD + line]))] for some in lines]
+        pieces = pa.array(new, pa.string())
+        signed = found(pieces, SIGNED)
+        words = pc.utf8_rtrim(pieces.take(pa.array(signed)), TAIL).to_pylist()
+        word = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        signs = np.fromiter((known[HEAD + new[k][len(w):]] for k, w in zip(signed.tolist(), words)), np.int64, len(words))
+        pieces = pa.array(new, pa.string())
+        whole = np.ones(len(new), bool)
+        whole[signed] = whole[lined] = False
+        head = pc.starts_with(pieces, HEAD).to_numpy(zero_copy_only=False)
+        odd = ~pc.utf8_is_printable(pc.utf8_slice_codeunits(pieces, 0, 1)).to_numpy(zero_copy_only=False) | (
+            pc.binary_length(pieces).to_numpy(zero_copy_only=False) == 0)
+        plain, heads = np.flatnonzero(whole & ~head & ~odd), np.flatnonzero(whole & head)
+        self._room(known.next)
+        self.odd[first:] = odd & whole & ~head
+        ids, lens = self._behind_blank(pieces.take(pa.array(plain)).to_pylist())
+        others = self._whole(pc.utf8_slice_codeunits(pieces.take(pa.array(heads)), 1).to_pylist())
+        self._put(first + np.r_[plain, heads], np.r_[lens, np.array([len(x) for x in others], np.int64)], [*ids, *others])
+        self._made_of(first + signed, np.stack([word, signs], 1).reshape(-1), np.full(len(signed), 2))
+        self._made_of(first + lined, np.array([x for line in lines for x in line], np.int64), np.array([len(x) for x in lines], np.int64))
         new.clear()
 
+    def _made_of(self, at: np.ndarray, parts: np.ndarray, many: np.ndarray) -> None:
+        """Give places the ids of other places, so ``many`` of ``parts`` each."""
+        if len(at):
+            ids, lens = self._joined(parts)
+            self._put(at, np.add.reduceat(lens, np.cumsum(many) - many), [ids])
+
+    def _room(self, count: int) -> None:
+        """Make the columns of places reach to ``count``."""
+        def grown(x):
+            return np.concatenate([x, np.zeros(count - len(x), x.dtype)])
+
+        self.starts, self.lens, self.used, self.odd = map(grown, (self.starts, self.lens, self.used, self.odd))
+
+    def _put(self, at: np.ndarray, lens: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Give places their ids, which lie one after the other; the store of ids doubles when it is full."""
+        self.lens[at] = lens
+        self.starts[at] = self.size + np.cumsum(lens) - lens
+        need = self.size + int(lens.sum())
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.size], np.empty(2 * need - self.size, np.uint32)])
+        for some in ids:
+            self.flat[self.size:self.size + len(some)] = some
+            self.size += len(some)
+
     def _thin(self) -> None:
         """Forget the pieces that were used once; all of them if that is not enough."""
         keep = [] if (self.used > 1).sum() > REMEMBER // 2 else [p for p, k in self.known.items() if self.used[k] > 1]
         old = np.array([0, *(self.known[p] for p in keep)])
         self.flat, self.lens = self._joined(old)
+        self.size = len(self.flat)
         self.starts, self.odd, self.used = np.cumsum(self.lens) - self.lens, self.odd[old], self.used[old]
         self.known = Places(1)
         for p in keep:
@@ -144,27 +175,50 @@ class Encoder:
         past = np.cumsum(lens)
         return self.flat[np.repeat(self.starts[order] - (past - lens), lens) + np.arange(lens.sum())], lens
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each closed by the end id, and the ids per text."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each closed by the end id, and the ids per text.
+
+        Every distinct piece of the texts is looked up once, whatever its number.
+        """
+        import pyarrow.compute as pc
+
         if len(self.known) > REMEMBER:
             self._thin()
-        place, order, ends = self.known.__getitem__, [], []
-        for t in texts:
-            if t and any(a in t for a in self.added):
-                order.append(place(HEAD + t))
-            else:
-                head, *pieces = (t or "").split(" ")
-                order.append(place(HEAD + head))
-                order.extend(map(place, pieces))
-            order.append(0)
-            ends.append(len(order))
+        place = self.known.__getitem__
+        texts = pc.fill_null(texts, "")
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        pieces = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        lens = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+        # A text without blanks is its head; one that is null or to be encoded in one go has an empty head.
+        coded = pc.dictionary_encode(pieces.flatten())
+        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+        ends = np.cumsum(lens + 1)
+        order = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        own = np.ones(len(order), bool)
+        own[ends - 1] = False
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        heads = np.cumsum(lens) - lens
+        inner = np.ones(len(index), bool)
+        inner[heads] = False
+        distinct = coded.dictionary
+        wanted = np.zeros(len(distinct), bool)
+        wanted[index[inner]] = True
+        at = np.zeros(len(distinct), np.int64)
+        names = distinct.filter(pa.array(wanted)).to_pylist()
+        at[wanted] = np.fromiter(map(place, names), np.int64, len(names))
+        order[own] = at[index]
+        first = distinct.take(pa.array(index[heads])).to_pylist()
+        starts = ends - lens - 1
+        order[starts] = np.fromiter((place(HEAD + h) for h in first), np.int64, len(first))
+        for k in np.flatnonzero(whole).tolist():
+            order[starts[k]] = place(HEAD + texts[k].as_py())
         self._learn()
-        order, ends = np.fromiter(order, np.int64, len(order)), np.array(ends, np.int64)
         if self.odd[order].any():  # encode those texts whole
-            starts = np.r_[0, ends[:-1]]
             parts = [order[a:b] for a, b in zip(starts, ends)]
             for k in np.unique(np.searchsorted(ends, np.flatnonzero(self.odd[order]), "right")).tolist():
-                parts[k] = np.array([place(HEAD + texts[k]), 0])
+                parts[k] = np.array([place(HEAD + texts[k].as_py()), 0])
             self._learn()
             order, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
         self.used += np.bincount(order, minlength=len(self.used))
@@ -180,14 +234,16 @@ def encoder(path: str, end_id: int) -> Encoder:
     return kept[path, end_id]
 
 
-def slices(texts: list[str | None]):
-    """Stretches of a list of texts of about ``SLICE`` characters."""
-    lo = size = 0
-    for hi, t in enumerate(texts, 1):
-        size += len(t or "") + 64
-        if size > SLICE or hi == len(texts):
-            yield lo, hi
-            lo, size = hi, 0
+def slices(texts: pa.Array):
+    """Stretches of a column of texts of about ``SLICE`` bytes."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE, "right")))
+        yield lo, hi
+        lo = hi
 
 
 class Writer:
@@ -294,9 +350,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str =
         name = f"part-{task.partitionId():06d}.ids"
         writer = None
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for lo, hi in slices(texts):
-                ids, lens = encoder(tokenizer, end_id).encode(texts[lo:hi])
+                ids, lens = encoder(tokenizer, end_id).encode(texts.slice(lo, hi - lo))
                 writer = writer or Writer(folder, name, str(task.taskAttemptId()))
                 writer.add(keys[lo:hi], ids, lens)
         if writer:
