@@ -33,7 +33,7 @@ ROWS, LEAST_BITS, MOST_BITS, SEGMENT_BITS = 2, 20, 29, 19
 ROOM, WORD_BYTES = 2, 6
 #: Words handled at a time, and windows a task holds before it sends them on: in the first pass, and in the second, where
 #: the sketch lies in memory beside them.
-SLICE, HOLD, HOLD_FOUND = 200_000, 3_000_000, 600_000
+SLICE, HOLD, HOLD_FOUND = 200_000, 2_000_000, 400_000
 BASE = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -81,7 +81,7 @@ def cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
 
 def _packed(sorted_cells: np.ndarray) -> bytes:
     """Sorted numbers as differences, byte plane by byte plane, compressed."""
-    steps = np.diff(sorted_cells, prepend=0).astype("<u4")
+    steps = np.diff(sorted_cells, prepend=sorted_cells.dtype.type(0)).astype("<u4")
     return zstandard.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
@@ -95,29 +95,38 @@ def sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
     segment_bits = min(SEGMENT_BITS, bits)
 
     def count(batches):
-        held, size = [], 0
+        held, size = [[] for _ in range(ROWS)], 0
         for batch in batches:
             for _, counts, words in batches_of_words(batch.column(1).to_pylist()):
                 hashes, _, _ = windows(words, counts, width)
-                held.append(hashes)
+                for row, cell in enumerate(cells(hashes, bits)):
+                    held[row].append(cell.astype(np.uint32))
                 size += len(hashes)
                 if size > HOLD:
-                    yield send(np.concatenate(held))
-                    held, size = [], 0
+                    yield from send(held)
+                    size = 0
         if size:
-            yield send(np.concatenate(held))
-
-    def send(hashes):
-        out = []
-        for row, cell in enumerate(cells(hashes, bits)):
-            cell, many = np.unique(cell, return_counts=True)
-            segment = cell >> segment_bits
-            cuts = np.flatnonzero(np.diff(segment, prepend=-1))
-            for a, b in zip(cuts, np.r_[cuts[1:], len(cell)]):
-                local = cell[a:b] - (segment[a] << segment_bits)
-                out.append((row, segment[a], _packed(local), _packed(local[many[a:b] > 1])))
-        kinds = pa.int32(), pa.int32(), pa.binary(), pa.binary()
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["row", "segment", "once", "more"])
+            yield from send(held)
+
+    def send(held):
+        """A row of the sketch at a time: its cells in order, and those met more than once, by segment."""
+        for row, parts in enumerate(held):
+            cell = np.concatenate(parts)
+            parts.clear()
+            cell.sort()
+            new = np.r_[True, cell[1:] != cell[:-1]]
+            again = np.r_[new[1:], True][new]  # the next cell is another one: met once
+            cell = cell[new]
+            many = cell[~again]
+            edges = np.arange(1 << bits - segment_bits, dtype=np.int64) << segment_bits
+            once, more = np.searchsorted(cell, edges), np.searchsorted(many, edges)
+            out = []
+            for segment, (a, b, c, d) in enumerate(zip(once, np.r_[once[1:], len(cell)], more, np.r_[more[1:], len(many)])):
+                if a < b:
+                    base = segment << segment_bits
+                    out.append((row, segment, _packed(cell[a:b] - np.uint32(base)), _packed(many[c:d] - np.uint32(base))))
+            kinds = pa.int32(), pa.int32(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["row", "segment", "once", "more"])
 
     def merge(batches):
         at, once, more = None, None, None
