@@ -10,7 +10,7 @@ common a window is, each task sends one row for it.
 
 Defined cases: null, empty and wordless texts have no words; a text shorter than a window loses nothing; a row without
 id has no smaller and no larger, so it loses nothing and takes nothing; rows that share an id are documents of their own
-and do not count against each other; an empty table gives no rows.
+and do not count against each other; ids may be texts, whose order then decides; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import bounded, stage, work_folder
+from waybill.llm.common import bounded, long_keys, stage, work_folder
+from waybill.llm.common import named as named_again
 
 #: Rows of the sketch; cells of a row as a power of two, from and to; cells of a segment. At the upper end the merged
 #: sketch is ROWS * 2**29 bits, 128 MB, which is all that is broadcast. Past it the prefilter lets more through and the
@@ -33,7 +34,7 @@ ROWS, LEAST_BITS, MOST_BITS, SEGMENT_BITS = 2, 20, 29, 19
 ROOM, WORD_BYTES = 2, 6
 #: Words handled at a time, and windows a task holds before it sends them on: in the first pass, and in the second, where
 #: the sketch lies in memory beside them.
-SLICE, HOLD, HOLD_FOUND = 200_000, 2_000_000, 400_000
+SLICE, HOLD, HOLD_FOUND = 200_000, 3_000_000, 400_000
 BASE = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -248,7 +249,7 @@ def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: s
     """``(key, n_words, n_removed, kept_sha256)`` of every document, and ``kept``, the words left, if ``texts``."""
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession)
     bounded(spark)
-    ids = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    ids, names = long_keys(docs.select(F.col(key).alias("id"), F.col(text).alias("t")), "id", folder)
     # Texts are told apart by a hash only where ids repeat; a constant takes no room in the shuffles.
     repeated = ids.groupBy("id").count().where("id IS NOT NULL AND count > 1").limit(1).count()
     rows = ids.withColumn("mark", F.xxhash64("t").bitwiseAND(0x7FFFFFFF) if repeated else F.lit(0).cast("long"))
@@ -259,7 +260,7 @@ def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: s
     starts = removed_starts(candidates(named, width, bits, shared))
 
     def pack(batches):
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=4)
         for batch in batches:
             packed = [packer.compress(b" ".join((t or "").encode().split())) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["id", "z", "mark"])
@@ -281,5 +282,5 @@ def without_repeats(docs: DataFrame, width: int = 13, text: str = "text", key: s
 
     shape = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
     packed = rows.mapInArrow(pack, "id long, z binary, mark long")
-    return (packed.join(starts, ["id", "mark"], "left").select("id", "z", "starts", "lists").mapInArrow(cut, shape)
-            .withColumnRenamed("id", key))
+    out = packed.join(starts, ["id", "mark"], "left").select("id", "z", "starts", "lists").mapInArrow(cut, shape)
+    return named_again(out, "id", names).withColumnRenamed("id", key)
