@@ -6,9 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but these six bytes, which is also what ``bytes.split()`` cuts at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,8 +21,17 @@ GAP = r"[\x20\x09-\x0D]+"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 _own: list[str] = []
-#: Folders named by ``work_folder`` so far, in order.
-made: list[str] = []
+_noted: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders that ``work_folder`` names within, here and not in other threads, for who removes them afterwards."""
+    before = _noted.set([])
+    try:
+        yield _noted.get()
+    finally:
+        _noted.reset(before)
 
 
 def words(text: Column) -> Column:
@@ -41,8 +54,53 @@ def work_folder(spark: SparkSession) -> str:
             _own.append(tempfile.mkdtemp(prefix="waybill-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         named = f"file://{_own[0]}"
-    made.append(f"{named.rstrip('/')}/corpus-{uuid.uuid4().hex}")
-    return made[-1]
+    folder = f"{named.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    if _noted.get() is not None:
+        _noted.get().append(folder)
+    return folder
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def long_keys(rows: DataFrame, key: str, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with whole numbers for its keys, in their order, and ``(number, name)`` to tell them by; None where keys
+    are whole numbers already."""
+    if isinstance(rows.schema[key].dataType, T.IntegralType):
+        return rows.withColumn(key, F.col(key).cast("long")), None
+    names = (rows.select(F.col(key).alias("name")).where("name IS NOT NULL").distinct().repartitionByRange("name")
+             .sortWithinPartitions("name").withColumn("number", F.monotonically_increasing_id()))
+    names = stage(names, folder, "names")
+    numbered = rows.join(names, F.col(key) == F.col("name"), "left").withColumn(key, F.col("number"))
+    return numbered.select(*rows.columns), names
+
+
+def named(rows: DataFrame, key: str, names: DataFrame | None) -> DataFrame:
+    """``rows`` with the keys that ``long_keys`` had numbered, in their first column."""
+    if names is None:
+        return rows
+    others = [c for c in rows.columns if c != key]
+    return rows.join(names, F.col(key) == F.col("number"), "left").select(F.col("name").alias(key), *others)
+
+
+def least_hashes(rows: DataFrame, u: str, size: int) -> float:
+    """The largest threshold of ``u``, numbers in (0, 1) without order, that at most ``size`` rows are at or below.
+
+    Told from a histogram whose steps are two in a hundred at any height, so as many counts are collected whatever the
+    rows; the threshold falls short of the exact one by a step at most. 1 if all rows are below.
+    """
+    step = F.floor(-F.log2(F.col(u)) * 32).cast("int")  # u lies in (2 ** (-(step + 1) / 32), 2 ** (-step / 32)]
+    seen, most = 0, 0.0
+    for k, n in sorted(((r["step"], r["n"]) for r in rows.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        if seen + n > size:
+            return most
+        seen, most = seen + n, 2.0 ** (-k / 32)
+    return 1.0
 
 
 def bounded(spark: SparkSession) -> None:

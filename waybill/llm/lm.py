@@ -10,7 +10,7 @@ all chunks bring and answers each chunk in the order it asked. However common an
 told apart by 64 bits of hash.
 
 Defined cases: a null, empty or wordless text is its end token alone; rows without id are scored but not learned from;
-repeated rows are rows of their own; without training documents every token has the uniform probability; an empty table
+repeated rows are rows of their own; ids may be texts; without training documents every token has the uniform probability; an empty table
 gives no rows.
 """
 
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import LOWER, bounded, remainder, stage, work_folder
+from waybill.llm.common import LOWER, bounded, long_keys, named, remainder, stage, work_folder
 
 #: Text of a chunk, tokens per range of hashes, and ranges at most.
 CHUNK, RANGE, MOST_RANGES = 8 << 20, 2_000_000, 1 << 14
@@ -60,6 +60,18 @@ def packed(values: np.ndarray) -> bytes:
     return struct.pack("<IB", len(data), values.dtype.itemsize) + data
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where they fit, else in 64."""
+    return counts.astype(np.uint32 if int(counts.max(initial=0)) < 1 << 32 else np.uint64)
+
+
+def added(places: np.ndarray, counts: np.ndarray, which: np.ndarray, size: int) -> np.ndarray:
+    """Sums of some counts by place, exact in 64 bits."""
+    out = np.zeros(size, np.int64)
+    np.add.at(out, places[which], counts[which].astype(np.int64))
+    return out
+
+
 def unpacked(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     """The integers packed at a place, and the place behind them."""
     size, width = struct.unpack_from("<IB", data, at)
@@ -99,8 +111,8 @@ class Chunk:
         return [np.unique(x, return_inverse=True, return_counts=True) for x in (self.tokens, self.grams)]
 
 
-def chunks(docs: DataFrame, role: Column, text: str, key: str) -> DataFrame:
-    """``(chunk, role, tokens, data)``: documents of one role each, coded about ``CHUNK`` bytes at a time."""
+def chunks(docs: DataFrame) -> DataFrame:
+    """``(chunk, role, tokens, data)`` of ``(id, t, r)``: documents of one role each, coded about ``CHUNK`` bytes at a time."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -126,8 +138,7 @@ def chunks(docs: DataFrame, role: Column, text: str, key: str) -> DataFrame:
             pa.array([number], pa.int64()), pa.array([r], pa.int32()), pa.array([sum(map(len, texts))], pa.int64()),
             pa.array([Chunk.pack(ids, texts)], pa.binary())], ["chunk", "role", "tokens", "data"])
 
-    return (docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), role.alias("r"))
-            .mapInArrow(run, "chunk long, role int, tokens long, data binary"))
+    return docs.select("id", "t", "r").mapInArrow(run, "chunk long, role int, tokens long, data binary")
 
 
 def counts(coded: DataFrame, ranges: int) -> DataFrame:
@@ -145,7 +156,7 @@ def counts(coded: DataFrame, ranges: int) -> DataFrame:
                 for found, _, many in Chunk(data).types():
                     cuts = np.searchsorted((found >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(found)),
                                            np.arange(ranges + 1))
-                    parts.append([packed(np.diff(found[a:b], prepend=np.uint64(0))) + packed(many[a:b].astype(np.uint32))
+                    parts.append([packed(np.diff(found[a:b], prepend=np.uint64(0))) + packed(narrow(many[a:b]))
                                   for a, b in zip(cuts, cuts[1:])])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(range(ranges), pa.int32()), pa.array([chunk] * ranges, pa.int64()),
@@ -171,16 +182,15 @@ def counts(coded: DataFrame, ranges: int) -> DataFrame:
         for k in (0, 2):
             sizes = np.array([len(x[k]) for x in lists])
             asked = np.concatenate([np.cumsum(x[k], dtype=np.uint64) for x in lists])
-            many = np.concatenate([x[k + 1] for x in lists]).astype(np.float64)
+            many = np.concatenate([x[k + 1] for x in lists])
             of = np.repeat(role, sizes)
             types, inverse = np.unique(asked, return_inverse=True)
-            seen = np.bincount(inverse, np.where(of != SCORED, many, 0), len(types)).astype(np.uint32)
-            gone = np.bincount(inverse, np.where(of == DELETED, many, 0), len(types)).astype(np.uint32)
+            seen, gone = added(inverse, many, of != SCORED, len(types)), added(inverse, many, of == DELETED, len(types))
             if not k:
-                sums = [int(seen.sum(dtype=np.int64)), int(gone.sum(dtype=np.int64)), int((seen > 0).sum())]
+                sums = [int(seen.sum()), int(gone.sum()), int((seen > 0).sum())]
             ends = np.cumsum(sizes)
             for j, (a, b) in enumerate(zip(ends - sizes, ends)):
-                out[j].append(packed(seen[inverse[a:b]]) + packed(gone[inverse[a:b]]))
+                out[j].append(packed(narrow(seen[inverse[a:b]])) + packed(narrow(gone[inverse[a:b]])))
         for j, (chunk, _, _) in enumerate(held):
             total = sums if not j else [None] * 3
             yield pa.RecordBatch.from_arrays([
@@ -267,7 +277,8 @@ def score(docs: DataFrame, learnable: Column, deleted: Column, text: str = "text
     bounded(spark)
     role = F.when(F.coalesce(learnable & F.col(key).isNotNull(), F.lit(False)), F.when(deleted, DELETED).otherwise(COUNTED)
                   ).otherwise(SCORED)
-    coded = stage(chunks(docs, role, text, key), folder, "chunks")
+    texts, names = long_keys(docs.select(F.col(key).alias("id"), F.col(text).alias("t"), role.alias("r")), "id", folder)
+    coded = stage(chunks(texts), folder, "chunks")
     tokens = coded.agg(F.sum("tokens")).first()[0] or 0
     ranges = 1 << min(max((tokens // RANGE).bit_length(), 3), MOST_RANGES.bit_length() - 1)
     answered = stage(counts(coded, ranges), folder, "answers")
@@ -293,9 +304,8 @@ def score(docs: DataFrame, learnable: Column, deleted: Column, text: str = "text
                     pa.array(chunk.ids, pa.int64(), mask=chunk.nulls), pa.array(chunk.lens), pa.array(known), pa.array(base),
                     pa.array(own)], ["id", "n_tokens", "n_known", "base_score", "score"])
 
-    return (joined.select("data", "answers").mapInArrow(run, shape)
-            .select(F.col("id").alias(key), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                    "base_score", "score"))
+    return named(joined.select("data", "answers").mapInArrow(run, shape), "id", names).select(
+        F.col("id").alias(key), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def report(docs: DataFrame, of: int = 10, fold: int = 0, deleted: int = 1) -> DataFrame:

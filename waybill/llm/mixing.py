@@ -10,7 +10,8 @@ target by less than one document.
 All randomness comes from hashes of the rows, so reruns agree, whatever the partitions.
 
 Defined cases: a null text has size 0; a document of size 0 carries no words, and its last copy falls by itself; the null
-source is a source, last in order; repeated rows are rows of their own; an empty table gives no rows.
+source is a source, last in order; repeated rows are rows of their own, spread over blocks by their number among their
+equals; an empty table gives no rows; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import bounded, count_words, stage, work_folder
+from waybill.llm.common import bounded, count_words, free, stage, work_folder
 
 #: Documents of a block at the leaves, and residuals of a block further up.
 LEAF, FAN = 4096, 64
@@ -125,6 +126,27 @@ def _settled(rows: DataFrame, level: int, last: bool) -> DataFrame:
     return rows.repartition("place", "block").sortWithinPartitions(*order).mapInArrow(run, rows.schema)
 
 
+def _told_apart(sized: DataFrame, folder: str) -> DataFrame:
+    """Rows whose seed tells them apart from their equals.
+
+    Rows that are equal in key and text are numbered, and the number goes into their seed: without it all of them would
+    meet in one block and toss the same coin. They are numbered within the input partition they come from, the counts of
+    the partitions before being added, so however many they are, no task sees them all. Which of them has which number
+    does not matter, as they are equal.
+    """
+    again = sized.groupBy("seed", "source", "size").count().where("count > 1").select(F.col("seed").alias("s")).distinct()
+    again = stage(again, folder, "again")
+    equal = sized.join(again, F.col("seed") == F.col("s"), "left_semi").withColumn("part", F.shiftright("row", 33))
+    counts = equal.groupBy("seed", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("seed").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("seed", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("seed", "part").orderBy("row")
+    numbered = (equal.withColumn("twin", F.row_number().over(inside)).join(offsets, ["seed", "part"])
+                .withColumn("twin", F.col("twin") + F.col("offset")))
+    salted = numbered.withColumn("seed", F.when(F.col("twin") > 1, F.xxhash64("seed", "twin")).otherwise(F.col("seed")))
+    return stage(sized.join(again, F.col("seed") == F.col("s"), "left_anti").unionByName(salted.select(sized.columns)), folder, "apart")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, text: str = "text", source: str = "source",
         key: str = "doc_id", row: Column | None = None) -> DataFrame:
     """``(row, key, size, source_size, target, copies)`` of every document; ``row`` numbers the rows, if nothing is given.
@@ -137,6 +159,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, tex
     sized = stage(docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(key).alias("id"),
                               F.col(source).cast("string").alias("source"), count_words(F.col(text)).alias("size"),
                               F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("seed")), folder, "sized")
+    sized = _told_apart(sized, folder)
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = stage(targets(sizes.drop("n"), weights, cap).join(
         sizes.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), folder, "plan")
@@ -168,14 +191,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, tex
 def copied(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
     folder = work_folder(docs.sparkSession)
-    name = "row"
-    while name in docs.columns:
-        name += "_"
+    name = free(docs, "row")
     numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()), folder, "numbered")
+    times = free(numbered, "copies")
     taken = mix(numbered, row=F.col(name), **options).where("copies > 0").select(
-        F.col("row").alias(name), F.sequence(F.lit(1), "copies").alias(f"{name}s"))
+        F.col("row").alias(name), F.sequence(F.lit(1), "copies").alias(times))
     # Merged at any size: how much is shuffled follows the input, and never rests on the copies fitting one machine.
-    return (numbered.join(taken.hint("merge"), name).withColumn(name, F.explode(f"{name}s"))
+    return (numbered.join(taken.hint("merge"), name).withColumn(name, F.explode(times))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import stage, unit, words, work_folder
+from waybill.llm.common import least_hashes, stage, unit, words, work_folder
 
 #: Labelled rows the list is learned from, at most: those of least hash. Quantiles for cut points, conditions per rule, rules.
 SAMPLE, CUTS, CONDITIONS, RULES = 20_000, 48, 4, 24
@@ -168,11 +168,14 @@ def as_text(rules: list) -> list[str]:
 
 
 def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id") -> list:
-    """Learn the list from labelled rows of ``counts``, at most ``SAMPLE`` of them, those of least hash."""
+    """Learn the list from labelled rows of ``counts``, at most ``SAMPLE`` of them, those of least hash.
+
+    Rows that are equal in id, label and counts share a hash: they are taken or left together.
+    """
     good = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.avg(label).alias("good"))
     rows = (stats.join(good, F.col(key) == F.col("k")).where(~base_failed())
-            .select(*[feature(n).alias(n) for n in FEATURES], "good", unit(F.col(key), F.lit(4)).alias("u"))
-            .orderBy("u", *FEATURES, "good").limit(SAMPLE).collect())
+            .select(*[feature(n).alias(n) for n in FEATURES], "good", unit(F.col(key).cast("string"), *map(F.col, COUNTS), F.lit(4)).alias("u")))
+    rows = sorted(rows.where(F.col("u") <= least_hashes(rows, "u", SAMPLE)).collect(), key=lambda r: (r.u, *r[:-1]))
     x = np.array([[r[n] for n in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))
     bad = np.array([r.good <= 0.5 for r in rows], bool)
     return learn(x, bad, np.array([int(r.u * 1e9) % 3 == 0 for r in rows], bool))

@@ -8,6 +8,8 @@ order of all bytes follows within its range alone, and the shards are equal stre
 The law is ``bytes``: a shard holds its equal share of all bytes to within one record. Only DataFrame functions run;
 the driver sees the sampled keys, whose expected number is a parameter, and one sum per range.
 
+Shards are cut by bytes, so equal texts may stand on both sides of a cut, each of them in one shard.
+
 Defined cases: a null text has no bytes, so size 8 and the checksum of nothing; repeated rows and ids are records of
 their own; fewer records than shards leave shards empty; an empty table gives no rows.
 """
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import stage, unit, work_folder
+from waybill.llm.common import free, stage, unit, work_folder
 
 #: Ranges per shard, sampled keys per range (on average, at most), and how far over its mean a range may be.
 RANGES, SAMPLES, OVERFULL = 16, 32, 2
@@ -107,19 +109,18 @@ def assign(docs: DataFrame, shards: int = 24, ranges: int = RANGES, text: str =
 
 
 def write(docs: DataFrame, path: str, shards: int = 24, parts: int = 4, **options) -> None:
-    """Write the records into one folder per shard (``shard=k``), each shard by several tasks."""
+    """Write the records into one folder per shard (``shard=k``), each shard by several tasks.
+
+    A column of the records that is called ``shard`` or ``slot`` keeps its name; the new one gets an underscore more.
+    """
     folder = work_folder(docs.sparkSession)
-    names = {}
-    for want in ("row", "slot"):
-        names[want] = want
-        while names[want] in docs.columns:
-            names[want] += "_"
-    numbered = stage(docs.withColumn(names["row"], F.monotonically_increasing_id()), folder, "numbered")
-    dealt = assign(numbered, shards, row=F.col(names["row"]), **options).select(
-        F.col("row").alias(names["row"]), "shard", F.col("slot").alias(names["slot"]))
-    (numbered.join(dealt, names["row"]).drop(names["row"])
-     .repartition(shards * parts, "shard", F.pmod(F.col(names["slot"]), F.lit(parts)))
-     .write.partitionBy("shard").parquet(path))
+    row, shard, slot = (free(docs, want) for want in ("row", "shard", "slot"))
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), folder, "numbered")
+    dealt = assign(numbered, shards, row=F.col(f"`{row}`"), **options).select(
+        F.col("row").alias(row), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    (numbered.join(dealt, row).drop(row)
+     .repartition(shards * parts, shard, F.pmod(F.col(slot), F.lit(parts)))
+     .write.partitionBy(shard).parquet(path))
 
 
 def report(docs: DataFrame, shards: int = 24) -> DataFrame:

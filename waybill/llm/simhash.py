@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import LOWER, bounded, stage, work_folder
+from waybill.llm.common import LOWER, bounded, free, stage, work_folder
 from waybill.llm.components import components
 
 #: Rows of one side of a comparison; larger buckets are cut into blocks that meet pair by pair, each pair a task's group.
@@ -265,9 +265,7 @@ def keep_one(docs: DataFrame, width: int = 4, radius: int = 4, text: str = "text
     number them anew.
     """
     folder = work_folder(docs.sparkSession)
-    name = "row"
-    while name in docs.columns:
-        name += "_"
+    name = free(docs, "row")
     numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()), folder, "numbered")
     sigs = stage(fingerprints(numbered, width, text, name), folder, "sigs")
     member = stage(groups(sigs, radius, folder), folder, "member")

@@ -5,7 +5,8 @@ keys and lengths, words per block, wide values) and a fixed-size trailer. Files
 renamed when whole, so a lost or repeated task leaves one whole file.
 
 Defined cases: a null or empty text is the end id alone; repeated keys and rows are documents of their own, next to each
-other; a null key sorts first; an empty table writes no file.
+other; a null key sorts first; an empty table writes no file. Files hold whole numbers for keys; ``round_trip`` takes texts
+too, and numbers them in order.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm import simple8b
-from waybill.llm.common import bounded, stage, work_folder
+from waybill.llm.common import bounded, long_keys, named, stage, work_folder
 
 MAGIC = b"WAYTOK01"
 #: Documents, ids, blocks, words, wide values.
@@ -395,5 +396,6 @@ def read(files: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write the ids of all documents to files in the shared folder and report what the files hold."""
     folder = work_folder(docs.sparkSession)
+    docs, names = long_keys(docs.select("doc_id", "text"), "doc_id", folder)
     files = stage(write(docs, f"{folder}/ids", tokenizer, end_id), folder, "files")
-    return read(files, f"{folder}/ids")
+    return named(read(files, f"{folder}/ids"), "doc_id", names)
