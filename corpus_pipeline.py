@@ -6,13 +6,11 @@ Parquet and read again as the next one's ``docs``. All but the last return the c
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import common, decontaminate, mixing, simhash, tokens, toxicity
-from waybill.llm.common import drop, stage, work_folder
+from waybill.llm import decontaminate, mixing, simhash, tokens, toxicity
+from waybill.llm.common import drop, noted, stage, work_folder
 
 #: Trained models and random rounding have no SQL; tests hold the pipeline against a plain version.
 ORACLE_SQL = None
@@ -47,34 +45,21 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return tokens.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
-_left: list[str] = []
-
-
-def _tidy(work: Callable) -> Callable:
-    """A stage that first removes what the stage before it has staged: its result is written when the next one begins."""
-
-    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _left:
-            drop(spark, _left.pop())
-        before = len(common.made)
-        out = work(spark, docs, sf_dir)
-        _left.extend(common.made[before:])
-        return out
-
-    return step
-
-
 STAGES = [
-    ("toxicity", _tidy(reject_toxic)),
-    ("simhash_near_dedup", _tidy(drop_near_duplicates)),
-    ("benchmark_decontamination", _tidy(drop_contaminated)),
-    ("mix_sources", _tidy(mix)),
-    ("token_id_output", _tidy(write_tokens)),
+    ("toxicity", reject_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("mix_sources", mix),
+    ("token_id_output", write_tokens),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written and read again; what a stage has staged goes once its result is written."""
     folder, docs = work_folder(spark), _table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), folder, name)
+        with noted() as made:
+            docs = stage(step(spark, docs, sf_dir), folder, name)
+        for used in made:
+            drop(spark, used)
     return docs
