@@ -20,7 +20,7 @@ from waybill.operators.rollups import settlement_headers
 from waybill.schemas import TABLES, WAITING
 from waybill.sources import fulfilment, marketplace
 from waybill.sources.feeds import FEEDS, Feed
-from waybill.sources.landing import SEQ, read_lines, read_report, rejected
+from waybill.sources.landing import SEQ, read_lines, read_report, rejected, without_repeated_pages
 from waybill.sources.pulls import PULL, WHOLE, with_pulls
 from waybill.streaming import state
 from waybill.streaming.windows import lookback_window
@@ -79,15 +79,17 @@ class Loader:
     def load(
         self, feed: Feed, landing: str, as_of: datetime, start: datetime | None = None, end: datetime | None = None,
         *, enabled: bool = True, page_per_file: bool = False, delete_missing: bool = False, newer_by: str | None = None,
-        only: Mapping[str, Sequence[str]] | None = None,
+        only: Mapping[str, Sequence[str]] | None = None, once: bool = False,
     ) -> Outcome:
         """Load a feed and its children from the landing folder.
 
         ``only`` keeps rows of the feed that have one of the given values in a column: some skus, one bank account, one
-        nominal code. Children whose parents it leaves out are orphans.
+        nominal code. Children whose parents it leaves out are orphans. ``once`` parses a page that landed several times,
+        as whole histories do, one time.
         """
         path = f"{landing.rstrip('/')}/{feed.folder}"
         lines = read_lines(self.spark, path, page_per_file=page_per_file, enabled=enabled)
+        lines = without_repeated_pages(lines) if once else lines
         return self.load_lines(
             feed, lines, as_of, start, end, delete_missing=delete_missing, newer_by=newer_by, only=only)
 
@@ -294,8 +296,11 @@ class Loader:
 
         def work(run: str) -> tuple[list[Change], list[Stats]]:
             report = read_report(self.spark, f"{landing.rstrip('/')}/marketplace/settlements", enabled=enabled)
-            rules = [quality.required("settlement_id"), quality.required("amount", "decimal")]
-            lines, bad = self._checked(run, "settlement_lines", marketplace.settlement_lines(report), rules)
+            rules = [quality.required("settlement_id"), quality.required("amount", "decimal"), marketplace.OF_ITS_REPORT]
+            found = marketplace.settlement_lines(report)
+            found = quality.beside(found, quality.Reference(
+                marketplace.report_headers(found), ("report",), {"report_settlement_id": "settlement_id"}))
+            lines, bad = self._checked(run, "settlement_lines", found, rules)
             # A settlement lands again and again while its range is asked for: its newest report counts, alone.
             lines = picks.latest_batch(lines, ["settlement_id"], [F.col(f"{SEQ}._landed"), F.col("report")])
             headers = settlement_headers(lines, SEQ).drop("line_count")

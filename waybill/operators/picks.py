@@ -10,6 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Rows of a key beyond which they are numbered in ranges, and the ranges of such a key.
+MANY, RANGES = 100_000, 64
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -43,7 +47,8 @@ def fold_lines(df: DataFrame, keys: Sequence[str], add: Sequence[str], last: Seq
 
 
 def number_repeats(
-    df: DataFrame, keys: Sequence[str], spread_by: str, number: str = "line_number", spread: int = 64
+    df: DataFrame, keys: Sequence[str], spread_by: str, number: str = "line_number", spread: int = 64,
+    many: int = MANY,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, ... in the order of their other columns.
 
@@ -51,19 +56,52 @@ def number_repeats(
     window sees one row per distinct value and not one per line, and the numbering repeats exactly on a reload.
     ``spread_by`` names a column that differs between equal rows (such as their place in the file) and is no value
     itself; it divides the equal rows of one value into ``spread`` counts, so that no task writes all of them.
+
+    A key of very many values is numbered in two steps: its values are cut into ranges by sampled quantiles of the first
+    other column, numbered within a range, and the counts of the ranges before are added (see ``_range_of``).
     """
     values = [c for c in df.columns if c != spread_by]
     others = [c for c in values if c not in keys]
     part = F.pmod(F.xxhash64(spread_by), F.lit(spread)).alias("_part")
-    counts = df.groupBy(*values, part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(*others, "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offset = counts.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counts = _range_of(df.groupBy(*values, part).agg(F.count(F.lit(1)).alias("_n")), keys, others[0] if others else None, many)
+    within = Window.partitionBy(*keys, "_range")
+    before = within.orderBy(*others, "_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_all"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    past = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),
+                       F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_past")).filter("_past > 0")
+    here = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        here = here & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    offset = (counts.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(past, here, "left")
+              .withColumn("_from", F.col("_in") + F.coalesce("_past", F.lit(0))))
     numbered = offset.repartition(*values, "_part").withColumn(
         number, F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + F.col("_n")))
     )
     return numbered.select(*values, number)
 
 
+def _range_of(counts: DataFrame, keys: Sequence[str], first: str | None, many: int) -> DataFrame:
+    """``counts`` with ``_range``: 0 but for keys of more than ``many`` rows, whose rows are cut into ranges of ``first``.
+
+    The cuts are approximate quantiles, at most ``RANGES`` a key; a value of ``first`` lies in one range, and ranges follow
+    the order of values, NULL being the first. Only columns that are numbers or times are cut.
+    """
+    kind = None if first is None else counts.schema[first].dataType
+    if not isinstance(kind, (T.NumericType, T.TimestampType, T.DateType)):
+        return counts.withColumn("_range", F.lit(0))
+    shares = [k / RANGES for k in range(1, RANGES)]
+    names = [f"_h{i}" for i in range(len(keys))]
+    hot = (counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_many"), F.percentile_approx(first, shares, 1000).alias("_cuts"))
+           .filter(F.col("_many") > many).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_cuts"))
+    same = F.lit(True)
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(first)))
+    return counts.join(hot, same, "left").withColumn(
+        "_range", F.when(F.col("_cuts").isNull() | F.col(first).isNull(), 0).otherwise(below)).drop("_cuts", *names)
+
+
 def last_match(array: Column, keep) -> Column:
     """Last element of an array that satisfies ``keep``; NULL when none does."""
     return F.try_element_at(F.filter(array, keep), F.lit(-1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +35,10 @@ def not_negative(column: str, nullable: bool = False) -> Rule:
 
 
 def table_rules(table: Table) -> list[Rule]:
-    """Rules that follow from a table's declaration: its required columns are there, its counts are not negative."""
+    """Rules that follow from a table's declaration: its required columns are there, its counts are not negative, and
+    columns that may be missing are reported where they are."""
     rules = [required(c, table.columns[c]) for c in table.required]
+    rules += [required(c, table.columns[c], "warning") for c in table.wanted]
     counted = [c for c in table.columns if c in ("qty", "orders_count")]
     return rules + [not_negative(c, nullable=c not in table.required) for c in counted]
 
@@ -74,6 +76,28 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+@dataclass(frozen=True)
+class Reference:
+    """What a record says about a second frame: ``on`` are its columns there, ``take`` further columns its rules need."""
+
+    frame: DataFrame
+    on: tuple[str, ...]
+    take: Mapping[str, str]
+
+
+def beside(df: DataFrame, reference: Reference) -> DataFrame:
+    """The records with the columns a rule needs of the frame they refer to; NULL where that has no such row.
+
+    The second frame holds a key once; it is joined once, whatever the number of rules over it.
+    """
+    keys = [F.col(c).alias(f"_at{i}") for i, c in enumerate(reference.on)]
+    other = reference.frame.select(*keys, *[F.col(c).alias(name) for name, c in reference.take.items()])
+    same = F.lit(True)
+    for i, c in enumerate(reference.on):
+        same = same & F.col(c).eqNullSafe(F.col(f"_at{i}"))
+    return df.join(other, same, "left").drop(*[f"_at{i}" for i in range(len(reference.on))])
+
+
 def refuse_broken(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Raise ``InvalidBatch`` if any record breaks an error rule, else return the frame unchanged."""
     broken = rule_counts(df, rules).filter("severity = 'error' AND broken > 0").collect()

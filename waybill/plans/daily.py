@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions import percent
@@ -95,6 +95,31 @@ def revenue_by_day(orders: DataFrame, as_of: Column, days: int = 7) -> DataFrame
     ).orderBy("date")
 
 
+def revenue_change(orders: DataFrame, as_of: Column, days: int = 7, periods: int = 8) -> DataFrame:
+    """Revenue of the last ``periods`` periods of ``days``, each against the one before.
+
+    Periods end at ``as_of``; ``period`` 0 is the newest. A period without orders is there with no revenue. ``change`` is
+    the share gained or lost, NULL where the period before has no revenue.
+    """
+    length = F.make_dt_interval(F.lit(days))
+    since = F.unix_micros(as_of) - F.unix_micros("created_at") - 1  # a period holds its first moment, and the newest its last
+    ago = F.greatest(F.lit(0), F.floor(since / F.lit(days * 86_400_000_000))).cast("int")
+    sums = (orders.filter(F.col("created_at") <= as_of).groupBy(ago.alias("period"))
+            .agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("orders")).filter(F.col("period") <= periods))
+    calendar = orders.sparkSession.range(periods + 1).select(F.col("id").cast("int").alias("period"))
+    filled = calendar.join(sums, "period", "left").select(
+        "period", (as_of - F.expr(f"make_dt_interval(period * {days})") - length).alias("period_start"),
+        F.coalesce("orders", F.lit(0)).alias("orders"), F.coalesce("total", F.lit(0)).cast("double").alias("revenue"))
+    before = F.lead("revenue").over(Window.orderBy("period"))  # one row per period
+    return (filled.withColumn("before", before).filter(F.col("period") < periods)
+            .withColumn("change", (F.col("revenue") - F.col("before")) / F.nullif("before", F.lit(0.0))))
+
+
+def revenue_drops(orders: DataFrame, as_of: Column, days: int = 7, periods: int = 8, drop_percent: float = 20.0) -> DataFrame:
+    """The periods whose revenue fell by more than ``drop_percent`` against the one before."""
+    return revenue_change(orders, as_of, days, periods).filter(F.col("change") * -100 > drop_percent)
+
+
 def system_stats(orders: DataFrame, inventory: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
     """One row: all orders, those of the last 24 hours, products, customers, the newest order time, pending orders."""
     order_totals = orders.agg(

@@ -19,7 +19,7 @@ RECEIVED_ITEMS = (
 class Table:
     """A keyed table.
 
-    ``frozen`` columns are written on insert and kept on a later match; ``required`` columns may not be NULL;
+    ``frozen`` columns are written on insert and kept on a later match; ``required`` columns may not be NULL, ``wanted`` ones may but are reported;
     ``defaults`` are SQL values of columns a record lacks; ``parent`` names the table and column a child hangs on.
     """
 
@@ -28,6 +28,7 @@ class Table:
     key: tuple[str, ...]
     frozen: tuple[str, ...] = ("source", "created_at_api", "created_at")
     required: tuple[str, ...] = ()
+    wanted: tuple[str, ...] = ()
     defaults: dict[str, str] = field(default_factory=dict)
     parent: tuple[str, str] | None = None
 
@@ -125,6 +126,7 @@ _ALL = [
         _columns("order_id sku qty:int price" + _STAMP, price=MONEY),
         ("order_id", "sku"),
         required=("order_id", "qty"),
+        wanted=("sku",),
         parent=("shopify_orders", "order_id"),
     ),
     Table(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,6 +35,23 @@ def start(app: str = "waybill", master: str | None = None, **extra: str) -> Spar
     return builder.getOrCreate()
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for frames on the way: where the cluster names its shared folder, or a temporary one in local mode."""
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+    return f"{shared_folder(spark, tempfile.gettempdir() if local else None)}/waybill-{uuid.uuid4().hex}"
+
+
+def staging(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
+    """Writes a frame under a name into a new folder and reads it back."""
+    folder = work_folder(spark)
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return stage
+
+
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -223,8 +223,11 @@ def read_feed(
     rows = feed.in_range(feed.rows(feed.records(lines), as_of), start, end)
     for column, value in (only or {}).items():
         rows = rows.filter(F.col(column) == value)
-    if limit is None:
-        return rows
+    return rows if limit is None else first_rows(feed, rows, limit)
+
+
+def first_rows(feed: Feed, rows: DataFrame, limit: int) -> DataFrame:
+    """The first rows of a feed by key, then by arrival; every input partition sends so many at most."""
     arrival = [c for c in (SEQ,) if c in rows.columns]
     return rows.orderBy(*TABLES[feed.table].key, *arrival).limit(limit)
 
@@ -233,7 +236,11 @@ def read_changes(
     spark: SparkSession, landing: str, start: Column | None = None, end: Column | None = None, *, enabled: bool = True
 ) -> DataFrame:
     """The accounting change feed of a range. Nothing is loaded from it; it tells what changed."""
-    lines = read_lines(spark, f"{landing.rstrip('/')}/accounting/changes", enabled=enabled)
+    return changes_of(read_lines(spark, f"{landing.rstrip('/')}/accounting/changes", enabled=enabled), start, end)
+
+
+def changes_of(lines: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Records of the accounting change feed in a range of their change time."""
     records = object_records(lines, p.CHANGE, "changes")
     stamped = records.withColumns({
         "dated_on": parse_date(F.col("dated_on")),

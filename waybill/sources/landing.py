@@ -168,6 +168,18 @@ def array_records(lines: DataFrame, record: str) -> DataFrame:
     return records_of(pages(lines, record, "[]"))
 
 
+def without_repeated_pages(lines: DataFrame) -> DataFrame:
+    """Lines without those whose text landed before, told by a 256-bit hash; the earliest stays.
+
+    Hashes and places are reduced in each input partition; texts are only shuffled if the places kept do not fit a
+    broadcast.
+    """
+    origin = [c for c in ORIGIN if c in lines.columns]
+    place = F.struct(*origin)
+    first = lines.groupBy(F.sha2("value", 256).alias("_text")).agg(F.min(place).alias("_first")).select("_first")
+    return lines.join(first, place == F.col("_first"), "left_semi")
+
+
 def unreadable(lines: DataFrame) -> DataFrame:
     """Pages that are no JSON at all, for the quarantine."""
     return lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull()).select("_file", "value")

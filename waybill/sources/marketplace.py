@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import blank_to_null, clamp_zero, coerce_int, money, parse_date, text_or_blank
 from waybill.operators.picks import first_element
+from waybill.operators.quality import Rule
 from waybill.sources.landing import SEQ
 
 SOURCE = "amazon"
@@ -92,6 +93,15 @@ def inventory(df: DataFrame, as_of: Column) -> DataFrame:
     return rows.filter("sku IS NOT NULL AND on_hand IS NOT NULL AND reserved IS NOT NULL AND inbound IS NOT NULL")
 
 
+#: A report speaks of one settlement, that of its first line.
+OF_ITS_REPORT = Rule("settlement of another report", "report_settlement_id IS NOT NULL AND settlement_id <> report_settlement_id")
+
+
+def report_headers(lines: DataFrame) -> DataFrame:
+    """``(report, settlement_id)`` of the first line of every report that names a settlement."""
+    return lines.filter("settlement_id IS NOT NULL").groupBy("report").agg(F.min_by("settlement_id", SEQ).alias("settlement_id"))
+
+
 def settlement_lines(df: DataFrame) -> DataFrame:
     """Report lines, trimmed; each keeps its own settlement id, period and currency for the header."""
 

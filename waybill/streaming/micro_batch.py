@@ -41,11 +41,11 @@ def done(loader: Loader, feed: Feed, batch_id: int) -> bool:
 
 def stream_feed(
     loader: Loader, feed: Feed, landing: str, checkpoint: str, *, available_now: bool = True,
-    files_per_batch: int | None = None, clock: Callable[[], datetime] | None = None,
+    files_per_batch: int | None = None, clock: Callable[[], datetime] | None = None, once_within: str | None = None,
 ) -> StreamingQuery:
     """Load a feed as its files land; with ``available_now`` stop once the landed files are loaded.
 
-    With a loader that lets rows wait, rows of another feed that waited for those of a batch are loaded after it.
+    A page whose text came before, within ``once_within`` of landing time, is left out. With a loader that lets rows wait, rows of another feed that waited for those of a batch are loaded after it.
     """
     now = clock or (lambda: datetime.now(UTC))
     hanging = [f for f in FEEDS.values() if (TABLES[f.table].parent or ("",))[0] == feed.table]
@@ -58,6 +58,8 @@ def stream_feed(
                 loader.load_waiting(other, now())
 
     lines = stream_lines(loader.spark, f"{landing.rstrip('/')}/{feed.folder}", files_per_batch)
+    if once_within:
+        lines = without_repeats(lines.withColumn("_text", F.sha2("value", 256)), ["_text"], "_landed", once_within).drop("_text")
     writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
