@@ -139,6 +139,16 @@ def test_an_unfinished_pull_waits_for_its_last_page(warehouse, landing, as_of):
     assert quantities(warehouse) == {"S": 6} and warehouse.read("landed_files").count() == 4
 
 
+def test_unreadable_quantities_are_counted(spark, warehouse, landing, as_of):
+    page = pull_page(None, p.stock("S", 3, 0, 0, "C1"), p.stock("BAD", "many", 0, 0, "X"), p.stock("", "many", 0, 0, "X"))
+    landing("marketplace/inventory", page)
+    assert Loader(warehouse).load(FEEDS["marketplace_inventory"], landing.root, as_of).tables[0].quarantined == 1
+    (bad,) = spark.read.json(f"{warehouse.root}/_quarantine").collect()
+    assert bad["errors"] == ["invalid on_hand"] and '"sellerSku":"BAD"' in bad["record"] and quantities(warehouse) == {"S": 3}
+    with pytest.raises(InvalidBatch, match="1 records with unreadable values"):
+        Loader(warehouse, "refuse").load(FEEDS["marketplace_inventory"], landing.root, as_of)
+
+
 def test_numbers_of_pulls_against_a_loop(spark):
     import random
     rnd = random.Random(4)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,10 +81,13 @@ def _time(text: str) -> datetime:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="waybill")
     commands = parser.add_subparsers(dest="command", required=True)
-    load = commands.add_parser("load", help="load a feed, or what changed in it since its last load")
+    load = commands.add_parser("load", help="load the files of a feed that landed since its last load")
     load.add_argument("feed", choices=[*FEEDS, *SPECIAL])
     load.add_argument("--landing", required=True)
-    load.add_argument("--full", action="store_true", help="the whole landing folder, not only what is new")
+    load.add_argument("--full", action="store_true", help="the whole landing folder, not only new files")
+    load.add_argument("--changed", action="store_true", help="of all files, the rows changed since the last load")
+    load.add_argument("--wait-hours", type=float, default=None,
+                      help="let rows wait so long for the rows of other feeds they hang on, instead of dropping them")
     load.add_argument("--only", action="append", default=[], metavar="COLUMN=VALUE",
                       help="keep rows with this value in a column; several values of one column may be given")
     load.add_argument("--refuse", action="store_true", help="fail on a bad row instead of setting it aside")
@@ -104,9 +107,13 @@ def main(argv: list[str] | None = None) -> None:
         known = questions(warehouse.snapshot(), F.lit(now), F.lit(args.since), args.days)
         if args.question not in known:
             parser.error(f"unknown question; one of {', '.join(known)}")
-        known[args.question]().show(args.rows, truncate=False)
+        answer = known[args.question]()
+        answer.show(args.rows, truncate=False)
+        if answer.limit(args.rows + 1).count() > args.rows:
+            print(f"only the first {args.rows} rows; --rows shows more")
         return
-    loader = Loader(warehouse, "refuse" if args.refuse else "quarantine")
+    wait = None if args.wait_hours is None else timedelta(hours=args.wait_hours)
+    loader = Loader(warehouse, "refuse" if args.refuse else "quarantine", wait)
     if args.feed == "marketplace_settlements":
         outcome = loader.load_settlements(args.landing, now)
     elif args.feed == "warehouse_order_status":
@@ -115,7 +122,7 @@ def main(argv: list[str] | None = None) -> None:
         only: dict[str, list[str]] = {}
         for column, _, value in (part.partition("=") for part in args.only):
             only.setdefault(column, []).append(value)
-        load_feed = loader.load if args.full else loader.load_new
+        load_feed = loader.load if args.full else loader.load_new if args.changed else loader.load_landed
         outcome = load_feed(FEEDS[args.feed], args.landing, now, only=only)
     for table in outcome.tables:
         print(table)

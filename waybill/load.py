@@ -183,6 +183,15 @@ class Loader:
             rejected(pages).select(F.array("reason").alias("errors"), F.col("value").alias("record"), "_file").write.mode(
                 "overwrite").json(f"{self.warehouse.root}/_quarantine/run={run}/feed={feed.name}_pages")
             log.warning("%s: %d unreadable pages or records quarantined", feed.name, count)
+        if feed.lost is not None:
+            lost = self.warehouse.stage(run, f"{feed.name}_lost", feed.lost(feed.records_of(pages)))
+            count += lost.rows
+            if lost.rows:
+                if self.mode == "refuse":
+                    raise quality.InvalidBatch(f"{lost.rows} records with unreadable values")
+                lost.frame.select(F.array("reason").alias("errors"), F.col("value").alias("record")).write.mode(
+                    "overwrite").json(f"{self.warehouse.root}/_quarantine/run={run}/feed={feed.name}_lost")
+                log.warning("%s: %d records with unreadable values quarantined", feed.name, lost.rows)
         return pages, count
 
     def _listed(self, run: str, feed: Feed, pages: DataFrame) -> Change:

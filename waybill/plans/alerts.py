@@ -130,13 +130,13 @@ def order_alerts(
             "fulfillment_delays", "fulfillment",
             F.when(n("waiting_n") > limit["critical_delays"], "critical").otherwise("high"),
             delay, limit["max_fulfillment_hours"], n("waiting_n"), n("waiting_n") > 0,
-            "{n} Orders with Fulfillment Delays",
-            "Found {n} orders pending fulfillment for over {threshold} hours. Average delay: {metric} hours.",
+            "{n} orders wait to be shipped",
+            "Not shipped after {threshold} hours: {n} orders, which have waited {metric} hours in the mean.",
         ),
         _candidate(
             "slow_completion", "fulfillment", "medium", slow_hours, limit["max_completion_hours"], n("slow_n"),
-            n("slow_n") > 0, "{n} Orders Completed Slowly",
-            "{n} orders took over {threshold} hours. Average: {metric} hours.",
+            n("slow_n") > 0, "{n} orders were shipped late",
+            "It took {metric} hours in the mean to ship {n} orders; {threshold} are allowed.",
         ),
         _candidate(
             "delivery_exceptions", "delivery", "high", share("bad_n", "now_n"), limit["delivery_exception_rate"],
@@ -145,7 +145,7 @@ def order_alerts(
         ),
         _candidate(
             "missing_tracking", "delivery", "medium", n("untracked_n"), 0, n("untracked_n"), n("untracked_n") > 0,
-            "{n} Fulfilled Orders without Tracking", "Found {n} fulfilled orders without a tracking number.",
+            "{n} shipped orders cannot be followed", "{n} orders were shipped and have no tracking number.",
         ),
         _candidate(
             "revenue_drop", "financial", "high", drop, limit["revenue_drop_percentage"], n("now_n"),
@@ -190,12 +190,12 @@ def stock_alerts(inventory: DataFrame, thresholds: Mapping[str, float] | None =
     return _unfold(m, [
         _candidate(
             "low_inventory", "inventory", "medium", F.col("low_min"), low, F.col("low_n"), F.col("low_n") > 0,
-            "{n} Items with Low Stock",
-            "Found {n} inventory items with quantities at or below {threshold} units. Minimum quantity: {metric}.",
+            "{n} skus run low",
+            "The scarcest of {n} skus has {metric} units left; the mark is {threshold}.",
         ),
         _candidate(
             "out_of_stock", "inventory", "high", F.col("out_n"), 0, F.col("out_n"), F.col("out_n") > 0,
-            "{n} Items out of Stock", "Found {n} inventory items without stock.",
+            "{n} skus are sold out", "Nothing is left of {n} skus.",
         ),
     ])
 

@@ -33,7 +33,7 @@ class Feed:
     ``at`` is the path of the record array in an object page; ``"[]"`` means bare arrays only, ``"*"`` bare arrays or an
     ``items`` envelope. ``changed`` is the row column the range of a load applies to, and the newest-wins order.
     ``children`` are feeds over the same records. ``fold`` combines rows of one key where the newest does not replace
-    the others. ``more`` are the paths, one of which holds a token in a page that others of the same pull follow.
+    the others. ``more`` are the paths, one of which holds a token in a page that others of the same pull follow. ``lost`` gives ``(reason, value)`` of records that ``rows`` leaves out as unreadable.
     """
 
     name: str
@@ -49,6 +49,7 @@ class Feed:
     children: tuple[Feed, ...] = ()
     fold: Callable[[DataFrame], DataFrame] | None = None
     more: tuple[str, ...] = ()
+    lost: Callable[[DataFrame], DataFrame] | None = None
 
     def pages(self, lines: DataFrame) -> DataFrame:
         """Everything landed lines hold, records and what is none, from one parse (see ``landing.pages``)."""
@@ -152,7 +153,8 @@ _ALL = [
     ),
     Feed(
         "marketplace_inventory", "marketplace/inventory", p.MARKET_INVENTORY, "payload.inventorySummaries",
-        "inventory", _market_inventory, more=("payload.nextToken", "pagination.nextToken", "payload.pagination.nextToken"),
+        "inventory", _market_inventory, lost=marketplace.unreadable_stock,
+        more=("payload.nextToken", "pagination.nextToken", "payload.pagination.nextToken"),
     ),
     Feed(
         "warehouse_inventory", "warehouse/inventory", p.WAREHOUSE_INVENTORY, "*", "shipbob_inventory",

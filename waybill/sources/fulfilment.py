@@ -14,6 +14,7 @@ from waybill.sources.landing import SEQ
 
 SOURCE = "shipbob"
 # Payload quantity to table column.
+# The source's names of the stock columns, over all centers and at one center.
 STOCK = {
     "quantity_on_hand": "total_on_hand_quantity",
     "quantity_available": "total_sellable_quantity",

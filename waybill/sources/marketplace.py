@@ -65,6 +65,21 @@ def order_items(df: DataFrame) -> DataFrame:
 
 def inventory(df: DataFrame, as_of: Column) -> DataFrame:
     """Stock summaries per sku and center; a summary without a sku or with an unreadable quantity is dropped."""
+    rows = _stock(df, as_of)
+    return rows.filter("sku IS NOT NULL AND on_hand IS NOT NULL AND reserved IS NOT NULL AND inbound IS NOT NULL")
+
+
+def unreadable_stock(df: DataFrame) -> DataFrame:
+    """``(reason, value)`` of summaries that name a sku and a quantity that is no number; ``inventory`` leaves them out."""
+    of = ("on_hand", "reserved", "inbound")
+    rows = _stock(df, F.lit(None).cast("timestamp"), F.to_json(F.struct(*[c for c in df.columns if c not in _seq(df)])))
+    lost = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in of]))
+    return rows.filter((F.size(lost) > 0) & F.col("sku").isNotNull()).select(
+        F.concat(F.lit("invalid "), F.array_join(lost, ", ")).alias("reason"), "value")
+
+
+def _stock(df: DataFrame, as_of: Column, value: Column | None = None) -> DataFrame:
+    """Stock summaries per sku and center; a quantity that cannot be read is NULL."""
     reserved_raw = F.col("inventoryDetails.reservedQuantity")
     reserved = F.when(
         F.ltrim(reserved_raw).startswith("{"), F.get_json_object(reserved_raw, "$.totalReservedQuantity")
@@ -78,7 +93,7 @@ def inventory(df: DataFrame, as_of: Column) -> DataFrame:
     def detail(raw: Column) -> Column:
         return F.when(detailed, quantity(raw)).otherwise(F.lit(0))
 
-    rows = df.select(
+    return df.select(
         blank_to_null(F.col("sellerSku")).alias("sku"),
         blank_to_null(F.col("asin")).alias("asin"),
         blank_to_null(F.col("fnSku")).alias("fnsku"),
@@ -88,9 +103,9 @@ def inventory(df: DataFrame, as_of: Column) -> DataFrame:
         detail(reserved).alias("reserved"),
         detail(F.col("inventoryDetails.inboundWorkingQuantity")).alias("inbound"),
         as_of.alias("updated_at"),
+        *([] if value is None else [value.alias("value")]),
         *_seq(df),
     )
-    return rows.filter("sku IS NOT NULL AND on_hand IS NOT NULL AND reserved IS NOT NULL AND inbound IS NOT NULL")
 
 
 #: A report speaks of one settlement, that of its first line.
