@@ -63,6 +63,25 @@ def test_blocks_of_the_benchmark_join_up(spark, monkeypatch):
     check(spark, *corpus(7, docs=20))
 
 
+def test_long_items_are_cut_without_loss(spark, monkeypatch):
+    rng = random.Random(3)
+    words = [rng.choice("abcdé") + str(rng.randrange(40)) for _ in range(400)]
+    for width, most in ((10, 1), (10, 50), (10, 333), (1, 7), (10, 10**6)):
+        found = list(dc.pieces(" ".join(words), width, most))
+        windows = [tuple(w[i:i + width]) for w in (p.split() for p, _ in found) for i in range(len(w) - width + 1)]
+        assert windows == [tuple(words[i:i + width]) for i in range(len(words) - width + 1)]
+        assert all(n <= max(most, 0) + 1 or len(p.split()) == width for p, n in found)
+    assert [p for p, _ in dc.pieces("One, two", 10, 1)] == ["one two"] and not list(dc.pieces(None, 10, 1))
+    bench = [(1, " ".join(words)), (2, " ".join(words[100:130])), (3, "zeta")]
+    docs = [(k, " ".join(["x", *words[k * 7:k * 7 + 9 + k % 4], "y"])) for k in range(50)]
+    monkeypatch.setattr(dc, "PATTERN_BYTES", 4000)  # the first item alone is four blocks
+    searched = list(dc.searches(spark.createDataFrame(bench, "item_id long, text string"), 10))
+    assert len(searched) > 2 and all(sum(map(len, s.patterns)) <= 2 * dc.PATTERN_BYTES for s in searched)
+    check(spark, docs, bench)
+    df, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    assert {r.doc_id for r in dc.clean(df, tests).collect()} == {r[0] for r in brute(docs, bench) if not r[-1]}
+
+
 def test_odd_rows(spark):
     long = "x " * 200_000 + "one two three four five six seven eight nine ten eleven"
     bench = [(1, "One two three four five six seven eight nine ten"), (1, "zeta"), (None, "beta gamma"), (2, None), (3, "!!"),

@@ -6,8 +6,8 @@ zero, the bucket of patterns that end their common prefix in that block is looke
 then the pattern itself. All stretches of a batch are scanned in step, a vector of window ends at a time.
 
 Defined cases: null, empty and wordless texts have no words and no hits; an item without words has no window; an item
-without id marks words but is not listed; items that repeat an id count once; repeated documents are rows of their own;
-empty tables give no rows or no hits.
+without id marks words but is not listed; items that repeat an id count once; an item of any length is cut into pieces
+that share no window and lose none; repeated documents are rows of their own; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -138,17 +138,32 @@ class Search:
                 {i for _, p in found[d] for i in self.items[p]})
 
 
+def pieces(text: str | None, width: int, most: int) -> Iterator[tuple[str, int]]:
+    """Stretches of an item, each of at most ``most`` bytes or of one window, and their bytes.
+
+    Neighbours overlap by ``width - 1`` words, so every window of the item lies in exactly one of them.
+    """
+    words, at = normal(text), 0
+    while at < len(words):
+        end, size = at, 0
+        while end < len(words) and (end - at < width or size + len(words[end]) < most):
+            size += len(words[end]) + 1
+            end += 1
+        yield b" ".join(words[at:end]).decode(), size
+        at = end if end == len(words) else end - width + 1
+
+
 def searches(benchmark: DataFrame, width: int, text: str = "text", key: str = "item_id") -> Iterator[Search]:
-    """One search per block of items; a block's patterns take at most ``PATTERN_BYTES``, or are those of one item."""
+    """One search per block of items or pieces of items; its patterns take at most ``PATTERN_BYTES``, or are one window."""
     block, size = [], 0
     rows = benchmark.select(F.col(key).cast("string"), F.col(text))
-    for item, words in rows.toLocalIterator():
-        more = width * len((words or "").encode())
-        if block and size + more > PATTERN_BYTES:
-            yield Search(block, width)
-            block, size = [], 0
-        block.append((item, words))
-        size += more
+    for item, whole in rows.toLocalIterator():
+        for piece, n in pieces(whole, width, PATTERN_BYTES // width):
+            if block and size + width * n > PATTERN_BYTES:
+                yield Search(block, width)
+                block, size = [], 0
+            block.append((item, piece))
+            size += width * n
     yield Search(block, width)
 
 
@@ -163,11 +178,12 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "te
     kind = docs.schema[key].dataType.simpleString()
     current = docs.select(F.col(key).alias("id"), F.col(text).alias("t"), F.lit(0).cast("long").alias("n"),
                           F.array().cast("array<long>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    folder, shape = None, f"id {kind}, t string, n long, spans array<long>, items array<string>"
+    folder, shared, shape = None, None, f"id {kind}, t string, n long, spans array<long>, items array<string>"
     for turn, search in enumerate(searches(benchmark, width)):
         if turn:
             folder = folder or work_folder(spark)
             current = stage(current, folder, f"block{turn}")
+            shared.destroy()  # what it found is written
         shared = spark.sparkContext.broadcast(search)
 
         def run(batches, shared=shared):
@@ -198,10 +214,19 @@ UNITED = f"if(size(spans) = 0, cast(array() AS array<struct<a: bigint, b: bigint
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text") -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with all their columns."""
-    bounded(docs.sparkSession)
-    for search in searches(benchmark, width):
-        shared = docs.sparkSession.sparkContext.broadcast(search)  # at most PATTERN_BYTES of patterns
+    """The documents in which no window of the benchmark occurs, with all their columns.
+
+    Of a benchmark of several blocks, each is searched for in what the blocks before it left, written in between.
+    """
+    spark = docs.sparkSession
+    bounded(spark)
+    folder, shared = None, None
+    for turn, search in enumerate(searches(benchmark, width)):
+        if turn:
+            folder = folder or work_folder(spark)
+            docs = stage(docs, folder, f"left{turn}")
+            shared.destroy()  # what it found is written
+        shared = spark.sparkContext.broadcast(search)  # at most PATTERN_BYTES of patterns
 
         @F.pandas_udf(T.BooleanType())
         def free(texts, shared=shared):
