@@ -103,6 +103,26 @@ def least_hashes(rows: DataFrame, u: str, size: int) -> float:
     return 1.0
 
 
+def least_hashes_by(rows: DataFrame, label: str, u: str, size: int) -> dict:
+    """For each label the largest threshold of ``u`` that at most its share of ``size`` rows, equal for all, lie at or
+    below; told as in ``least_hashes``, from one count per label and step."""
+    step = F.floor(-F.log2(u) * 32).cast("int")
+    counts: dict = {}
+    for r in rows.groupBy(label, step.alias("step")).agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r[0], {})[r["step"]] = r["n"]
+    share, most = max(size // max(len(counts), 1), 8), {}
+    for name, steps in counts.items():
+        seen, most[name] = 0, 0.0
+        for k in sorted(steps, reverse=True):
+            seen += steps[k]
+            if seen > share:
+                break
+            most[name] = 2.0 ** (-k / 32)
+        else:
+            most[name] = 1.0
+    return most
+
+
 def bounded(spark: SparkSession) -> None:
     """Let Python tasks see a few megabytes of text at a time, however long the texts are.
 

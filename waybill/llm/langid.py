@@ -6,17 +6,17 @@ of the sample kept out makes the probabilities calibrated.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is every text when nothing could be
 learned; rows without id are neither held out nor learned from; rows without language are not learned from; repeated rows
-enter the sample once; an empty table gives no rows.
+enter the sample once; of languages equally probable the first by name wins; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import bounded, remainder, unit
+from waybill.llm.common import bounded, least_hashes_by, remainder, unit
 
 #: Hashed n-grams (a power of two), and lengths of n-grams.
 BITS, ORDERS = 16, (1, 2, 3)
@@ -147,17 +147,13 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def sample(rows: DataFrame, label: str, size: int, columns: list[str]) -> DataFrame:
     """At most ``size`` distinct rows shared equally by the labels: those of least hash ``u`` of each label.
 
-    Only labels and hashes are shuffled, and each task sends no more of a label than its share; texts are picked by the
-    largest hash of each label's share.
+    Only labels and hashes are shuffled, and no label's rows meet in one task: hashes are counted by steps of their height,
+    and rows picked by the step that ends each label's share.
     """
-    seen = rows.select(label, "u").distinct()
-    labels = rows.select(label).distinct().count()
-    share = max(size // max(labels, 1), 8)
-    least = (seen.withColumn("k", F.row_number().over(Window.partitionBy(label).orderBy("u"))).where(F.col("k") <= share)
-             .groupBy(label).agg(F.max("u").alias("most")).collect())  # one row per label
+    least = least_hashes_by(rows.select(label, "u").distinct(), label, "u", size)
     if not least:
         return rows.where("false").select(label, "u", *columns)
-    most = F.create_map(*[F.lit(v) for r in least for v in (r[0], r.most)])
+    most = F.create_map(*[F.lit(v) for pair in least.items() for v in pair])
     return rows.where(F.col("u") <= F.element_at(most, F.col(label))).select(label, "u", *columns)
 
 
