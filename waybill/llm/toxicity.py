@@ -10,20 +10,23 @@ how often words occur that mark toxic rows of the sample, and then the flag, whi
 
 Defined cases: null, empty and wordless texts have no words and are judged by the biases alone; several labels of an id
 count by their mean (a tie is toxic); labels without a document are passed over; with no labels, or labels of one kind,
-nothing is toxic; repeated rows are judged alike and enter the sample once; an empty table gives no rows.
+nothing is toxic; rows that share an id share its label, and the sample is one of rows, not of ids; repeated rows are judged
+alike and enter the sample once; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.llm.common import bounded, unit
+from waybill.llm.common import bounded, stage, unit, work_folder
 from waybill.llm.langid import Leader, sample
 
 #: Labelled rows the models are fitted on (at most), folds, rounds, and the penalties.
@@ -82,7 +85,11 @@ class Link:
     rows; weights are learned from the stretch of each row that tells most, as it is the one that is judged.
     """
 
-    def __init__(self, rows: list[list[np.ndarray]], before: np.ndarray, labels: np.ndarray, dims: int):
+    def __init__(self, words: np.ndarray, before: np.ndarray, bias: float):
+        self.words, self.before, self.bias = words, before, bias
+
+    @classmethod
+    def fitted(cls, rows: list[list[np.ndarray]], before: np.ndarray, labels: np.ndarray, dims: int) -> Link:
         labels = np.asarray(labels, bool)
         whole = [np.unique(np.concatenate([*r, np.empty(0, np.int64)])) for r in rows]
         seen = [np.bincount(np.concatenate([r for r, y in zip(whole, labels) if y == k] + [np.empty(0, np.int64)]),
@@ -92,13 +99,13 @@ class Link:
         value = np.maximum(ratio - chance, 0)
         leader = Leader(dims + before.shape[1], 2, ALPHA, L1, L2)
         places = dims + np.arange(before.shape[1])
-        told = [max(self._told(r, value), key=lambda w: value[w].sum()) for r in rows]
+        told = [max(cls._told(r, value), key=lambda w: value[w].sum()) for r in rows]
         for _ in range(ROUNDS):
             for words, p, y in zip(told, before, labels):
                 leader.learn(np.concatenate([words, places]), np.concatenate([value[words], p]), int(y))
         w = leader.weights(np.arange(len(leader.z)))
         w = w[:, 1] - w[:, 0]
-        self.words, self.before, self.bias = w[:dims] * value, w[dims:-1], w[-1]
+        return cls(w[:dims] * value, w[dims:-1], w[-1])
 
     @staticmethod
     def _told(halves: list[np.ndarray], value: np.ndarray) -> list[np.ndarray]:
@@ -112,32 +119,71 @@ class Link:
         return float(sigmoid(most + np.dot(self.before, before) + self.bias))
 
 
+class Sample:
+    """Rows to learn from, given by the hashes of each half stretch, or by one array if they are no longer than that."""
+
+    def __init__(self, rows: list, folds: np.ndarray):
+        rows = [[r] if isinstance(r, np.ndarray) else r for r in rows]
+        self.names = np.unique(np.concatenate([h for r in rows for h in r] + [np.empty(0, np.uint64)]).astype(np.uint64))
+        self.rows = [[np.searchsorted(self.names, h.astype(np.uint64)) for h in r] for r in rows]
+        self.folds = folds
+
+    def fold(self, before: np.ndarray, labels: np.ndarray, fold: int) -> tuple:
+        """One link fitted on all rows but a fold's: its weights other than 0 with their places, those of the links before,
+        its bias, and the probabilities of the rows kept out. Fold ``FOLDS`` holds no rows."""
+        fit, rest = np.flatnonzero(self.folds != fold), np.flatnonzero(self.folds == fold)
+        link = Link.fitted([self.rows[i] for i in fit], before[fit], labels[fit], len(self.names))
+        at = np.flatnonzero(link.words)
+        return at, link.words[at], link.before, link.bias, [link.probability(self.rows[i], before[i]) for i in rest]
+
+
+Fits = Callable[[np.ndarray, np.ndarray], list[tuple]]
+
+
+def in_tasks(spark: SparkSession, given: Sample) -> Fits:
+    """Fit a link on all folds at once, a task each; the bounded sample is broadcast once, and weights come back."""
+    shared = spark.sparkContext.broadcast(given)
+
+    def fits(before: np.ndarray, labels: np.ndarray) -> list[tuple]:
+        def run(batches):
+            for batch in batches:
+                folds = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                    [pickle.dumps(shared.value.fold(before, labels, f)) for f in folds], pa.binary())], ["fold", "found"])
+
+        found = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInArrow(run, "fold long, found binary").collect()
+        return [pickle.loads(r.found) for r in sorted(found)]
+
+    return fits
+
+
 class Chain:
     """The links in order, and the probability of the last category from which a text is rejected.
 
-    A row is given by the hashes of each half stretch, or by one array if it is no longer than that. Of the sample's words
+    Links are fitted one after the other, the folds of each side by side where ``fits`` says how. Of the sample's words
     only those with a weight are kept.
     """
 
-    def __init__(self, rows: list, labels: np.ndarray, folds: np.ndarray, weights: np.ndarray):
-        rows = [[r] if isinstance(r, np.ndarray) else r for r in rows]
-        names = np.unique(np.concatenate([h for r in rows for h in r] + [np.empty(0, np.uint64)]).astype(np.uint64))
-        rows = [[np.searchsorted(names, h.astype(np.uint64)) for h in r] for r in rows]
-        self.links, before = [], np.zeros((len(rows), 0))
+    def __init__(self, rows: list | Sample, labels: np.ndarray, folds: np.ndarray, weights: np.ndarray, fits: Fits | None = None):
+        given = rows if isinstance(rows, Sample) else Sample(rows, folds)
+        fits = fits or (lambda *link: [given.fold(*link, f) for f in range(FOLDS + 1)])
+        found, before = [], np.zeros((len(folds), 0))
         for k in range(labels.shape[1]):
             y = labels[:, k]
-            out = np.zeros(len(rows))
-            for f in range(FOLDS):
-                fit, rest = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
-                link = Link([rows[i] for i in fit], before[fit], y[fit], len(names))
-                out[rest] = [link.probability(rows[i], before[i]) for i in rest]
-            self.links.append(Link(rows, before, y, len(names)))
+            out = np.zeros(len(folds))
+            *kept_out, whole = fits(before, y)
+            for f, link in enumerate(kept_out):
+                out[folds == f] = link[-1]
+            found.append(whole)
             before = np.column_stack([before, out])
         self.threshold = cut(out, y, weights)
-        kept = np.flatnonzero(np.any([link.words != 0 for link in self.links], 0))
-        for link in self.links:
-            link.words = link.words[kept]
-        self.places = {name: k for k, name in enumerate(names[kept].tolist())}
+        kept = np.unique(np.concatenate([at for at, *_ in found]))
+        self.links = []
+        for at, w, earlier, bias, _ in found:
+            words = np.zeros(len(kept))
+            words[np.searchsorted(kept, at)] = w
+            self.links.append(Link(words, earlier, bias))
+        self.places = {name: k for k, name in enumerate(given.names[kept].tolist())}
         self.known: dict[bytes, tuple[int, ...]] = {}
 
     def _places(self, word: bytes) -> tuple[int, ...]:
@@ -192,28 +238,40 @@ def degrees(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id") -> Chain | None:
-    """Fit the chain on at most ``SAMPLE`` labelled documents, shared equally by the two labels; None without both."""
-    bounded(docs.sparkSession)
+    """Fit the chain on at most ``SAMPLE`` labelled rows, shared equally by the two labels; None without both.
+
+    The sample is drawn by hashes of id and text, so an id that stands on many rows counts as often; what comes to the
+    driver are hashes of the sample's words. Texts are not shuffled.
+    """
+    spark = docs.sparkSession
+    bounded(spark)
     votes = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k"))
              .agg((F.avg(F.col(label).cast("double")) >= 0.5).alias("y")))
-    known = docs.select(F.col(key).alias("k")).distinct().join(votes, "k").withColumn("u", unit(F.col("k"), F.lit(9)))
+    u = unit(F.col(key).cast("string"), F.col(text), F.lit(9))
+    hashes = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), u.alias("u")).distinct()
+    known = stage(hashes.join(votes, "k").select("y", "u"), work_folder(spark), "labelled")
     sizes = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     if len(sizes) < 2:
         return None
-    chosen = {r.k: (r.y, r.u) for r in sample(known, "y", SAMPLE, ["k"]).collect()}
-    picked = (docs.where(F.col(key).isin(list(chosen))).select(F.col(key).alias("k"), F.col(text).alias("t"))
-              .mapInArrow(_packed, f"k {docs.schema[key].dataType.simpleString()}, w binary").distinct().collect())
-    picked.sort(key=lambda r: (chosen[r.k][1], bytes(r.w)))
-    words = [bytes(r.w).split() for r in picked]
-    toxic = np.array([chosen[r.k][0] for r in picked], bool)
+    chosen = {r.u: r.y for r in sample(known, "y", SAMPLE, []).collect()}
+    picked = (docs.where(u.isin(list(chosen))).select(u.alias("u"), F.col(text).alias("t"))
+              .mapInArrow(_packed, "u double, halves array<binary>, codes binary, counts binary").dropDuplicates(["u"]).collect())
+    picked.sort(key=lambda r: r.u)
+    toxic = np.array([chosen[r.u] for r in picked], bool)
     weights = np.array([sizes[bool(y)] / (toxic == y).sum() for y in toxic])
-    return Chain([features(w) for w in words], degrees([counted(w) for w in words], toxic), np.arange(len(words)) % FOLDS, weights)
+    counts = [(np.frombuffer(r.codes, "<u8"), np.frombuffer(r.counts, "<i8")) for r in picked]
+    given = Sample([[np.frombuffer(h, "<u8") for h in r.halves] for r in picked], np.arange(len(picked)) % FOLDS)
+    return Chain(given, degrees(counts, toxic), given.folds, weights, in_tasks(spark, given))
 
 
 def _packed(batches):
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-            [b" ".join(word_list(t)) for t in batch.column(1).to_pylist()], pa.binary())], ["k", "w"])
+        rows = [word_list(t) for t in batch.column(1).to_pylist()]
+        told = [counted(w) for w in rows]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([[h.tobytes() for h in features(w)] for w in rows], pa.list_(pa.binary())),
+            pa.array([c.astype("<u8").tobytes() for c, _ in told], pa.binary()),
+            pa.array([n.astype("<i8").tobytes() for _, n in told], pa.binary())], ["u", "halves", "codes", "counts"])
 
 
 def probabilities(chain: Chain | None, docs: DataFrame) -> Column:
