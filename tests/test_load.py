@@ -247,6 +247,56 @@ def test_settlement_lines_of_equal_content_are_all_kept(loader, warehouse, landi
     assert warehouse.read("settlement_lines").count() == 7
 
 
+def test_settlements_of_a_range(loader, warehouse, landing, as_of):
+    import os
+
+    other = [["ST-2024-07", *row[1:]] for row in p.SETTLEMENT_ROWS[:2]]
+    root = landing("marketplace/settlements", name="r1.tsv", text=p.report(p.SETTLEMENT_ROWS))
+    landing("marketplace/settlements", name="r2.tsv", text=p.report(other))
+    day = datetime(2024, 3, 30, tzinfo=UTC).timestamp()  # yesterday of as_of; the range starts 14 days before its midnight
+    first = day - 14 * 86_400
+    for r1, r2, want in ((first - 1, day + 86_400, []), (first, day + 86_400, ["ST-2024-06"]),
+                         (first - 0.5, day + 86_399.5, ["ST-2024-06", "ST-2024-07"])):
+        for name, at in (("r1.tsv", r1), ("r2.tsv", r2)):
+            os.utime(f"{root}/marketplace/settlements/{name}", (at, at))
+        loader.load_recent_settlements(root, as_of)
+        assert sorted(rows(warehouse, "settlements", "settlement_id")) == want
+    assert rows(warehouse, "sync_state", "domain")["marketplace_settlements"]["status"] == "success"
+
+
+def test_accounting_default_ranges(loader, warehouse, landing, as_of):
+    dates = ["2024-01-20", "2024-01-31", "2024-03-31", "2024-04-01"]  # 60 days before the midnight of as_of: 2024-01-31
+    page = {"invoices": [{**p.INVOICES["invoices"][0], "url": f"x/invoices/{i}", "dated_on": d} for i, d in enumerate(dates)]}
+    root = landing("accounting/invoices", page)
+    landing("accounting/users", p.USERS)
+    loader.load_accounting("invoices", root, as_of)
+    assert set(rows(warehouse, "freeagent_invoices", "invoice_id")) == {"1", "2"}
+    loader.load_accounting("invoices", root, as_of, datetime(2024, 4, 1, tzinfo=UTC))
+    assert set(rows(warehouse, "freeagent_invoices", "invoice_id")) == {"1", "2", "3"}
+    loader.load_accounting("invoices", root, as_of, full=True)
+    assert len(rows(warehouse, "freeagent_invoices", "invoice_id")) == 4
+    loader.load_accounting("users", root, as_of, view="staff")
+    assert set(rows(warehouse, "freeagent_users", "user_id")) == {"1"}
+    loader.load_accounting("users", root, as_of)
+    assert set(rows(warehouse, "freeagent_users", "user_id")) == {"1", "2"}
+    for kind, how in (("invoices", {"view": "staff"}), ("users", {"start": as_of}), ("users", {"view": "nobody"})):
+        with pytest.raises(ValueError):
+            loader.load_accounting(kind, root, as_of, **how)
+
+
+def test_late_shipping_reads_shipments_of_some_days(spark):
+    from waybill.plans.daily import with_fulfilled_at
+
+    orders = spark.sql("SELECT 'a' order_id, timestamp'2024-03-30 00:00:00' created_at UNION ALL"
+                       " SELECT 'b', timestamp'2024-01-01 00:00:00' UNION ALL SELECT 'c', timestamp'2024-03-29 00:00:00'")
+    shipped = spark.sql("SELECT 'a' reference_id, timestamp'2024-03-31 00:00:00' shipped_date UNION ALL"
+                        " SELECT 'b', timestamp'2024-02-01 00:00:00'")
+    at = F.lit("2024-03-31 12:00:00").cast("timestamp")
+    found = {r["order_id"]: r["fulfilled_at"] for r in with_fulfilled_at(orders, shipped, at, 7, older=True).collect()}
+    assert found == {"a": datetime(2024, 3, 31), "b": None, "c": None}
+    assert {r["order_id"] for r in with_fulfilled_at(orders, shipped, at, 7).collect()} == {"a", "c"}
+
+
 def test_order_status_updates_only(loader, warehouse, landing, as_of):
     root = landing("store/orders", p.STORE_ORDERS)
     landing("warehouse/orders", p.WAREHOUSE_ORDERS)

@@ -28,16 +28,18 @@ SPECIAL = ("marketplace_settlements", "warehouse_order_status")
 Read = Callable[[str], DataFrame]
 
 
-def store_orders(read: Read, as_of: Column | None = None, days: int = 7) -> DataFrame:
-    """Store orders under the names the daily questions use, with the time they were shipped; all, or of some days."""
+def store_orders(read: Read, as_of: Column | None = None, days: int = 7, older: bool = False) -> DataFrame:
+    """Store orders under the names the daily questions use, with the time they were shipped; all, or of some days.
+    ``older`` adds the orders before those days, without that time."""
     orders = read("shopify_orders").withColumns({
         "created_at": F.col("purchase_date"), "updated_at": F.col("updated_at_shopify")})
-    return daily.with_fulfilled_at(orders, read("shipbob_orders"), as_of, days)
+    return daily.with_fulfilled_at(orders, read("shipbob_orders"), as_of, days, older=older)
 
 
-def all_alerts(read: Read, as_of: Column) -> DataFrame:
+def all_alerts(read: Read, as_of: Column, late_days: int = 14) -> DataFrame:
+    """All alerts; late shipping is judged on the orders of the last ``late_days``, so only their shipments are joined."""
     return alerts.all_alerts(
-        as_of, orders=store_orders(read), inventory=read("shipbob_inventory"),
+        as_of, orders=store_orders(read, as_of, late_days, older=True), inventory=read("shipbob_inventory"),
         feeds=health.feed_health(read("sync_state"), as_of), runs=read("job_executions"))
 
 
@@ -86,6 +88,9 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--landing", required=True)
     load.add_argument("--full", action="store_true", help="the whole landing folder, not only new files")
     load.add_argument("--changed", action="store_true", help="of all files, the rows changed since the last load")
+    load.add_argument("--recent", action="store_true",
+                      help="of accounting feeds and settlements, the last days only, as the feed has them")
+    load.add_argument("--view", default=None, help="of accounting_users: staff, advisors, active_staff, active_advisors")
     load.add_argument("--wait-hours", type=float, default=None,
                       help="let rows wait so long for the rows of other feeds they hang on, instead of dropping them")
     load.add_argument("--only", action="append", default=[], metavar="COLUMN=VALUE",
@@ -114,14 +119,24 @@ def main(argv: list[str] | None = None) -> None:
         return
     wait = None if args.wait_hours is None else timedelta(hours=args.wait_hours)
     loader = Loader(warehouse, "refuse" if args.refuse else "quarantine", wait)
+    group, _, kind = args.feed.partition("_")
+    if args.recent and group != "accounting" and args.feed != "marketplace_settlements":
+        parser.error("--recent is for accounting feeds and marketplace_settlements")
+    if args.view and args.feed != "accounting_users":
+        parser.error("--view is for accounting_users")
     if args.feed == "marketplace_settlements":
-        outcome = loader.load_settlements(args.landing, now)
+        outcome = (loader.load_recent_settlements if args.recent else loader.load_settlements)(args.landing, now)
     elif args.feed == "warehouse_order_status":
         outcome = loader.load_status_since_last(args.landing, now)
     else:
         only: dict[str, list[str]] = {}
         for column, _, value in (part.partition("=") for part in args.only):
             only.setdefault(column, []).append(value)
+        if args.recent or args.view:
+            outcome = loader.load_accounting(kind, args.landing, now, full=not args.recent, view=args.view, only=only)
+            for table in outcome.tables:
+                print(table)
+            return
         load_feed = loader.load if args.full else loader.load_new if args.changed else loader.load_landed
         outcome = load_feed(FEEDS[args.feed], args.landing, now, only=only)
     for table in outcome.tables:

@@ -6,7 +6,7 @@ import json
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import UTC, datetime, timedelta
 from functools import reduce
 
@@ -18,12 +18,12 @@ from waybill.operators.merge import repeated_keys
 from waybill.operators.reshape import flat_tracking
 from waybill.operators.rollups import settlement_headers
 from waybill.schemas import TABLES, WAITING
-from waybill.sources import fulfilment, marketplace
+from waybill.sources import accounting, fulfilment, marketplace
 from waybill.sources.feeds import FEEDS, Feed
 from waybill.sources.landing import SEQ, read_lines, read_report, rejected, without_repeated_pages
 from waybill.sources.pulls import PULL, WHOLE, with_pulls
 from waybill.streaming import state
-from waybill.streaming.windows import lookback_window
+from waybill.streaming.windows import accounting_window, lookback_window, settlement_window
 from waybill.warehouse import Change, Conflict, Warehouse
 
 log = logging.getLogger(__name__)
@@ -300,11 +300,40 @@ class Loader:
         return missing, links.drop_orphans(rows, staged.frame, column)
 
     # --- special loads ---------------------------------------------------------------------------------------------
-    def load_settlements(self, landing: str, as_of: datetime, *, enabled: bool = True) -> Outcome:
-        """Load settlement reports: a header per settlement and its numbered lines, together."""
+    def load_accounting(
+        self, kind: str, landing: str, now: datetime, start: datetime | None = None, end: datetime | None = None, *,
+        full: bool = False, view: str | None = None, **how,
+    ) -> Outcome:
+        """Load one kind of accounting record in a range: as given, or the last days of its feed up to midnight; all of
+        it if ``full``, or if the kind has no date. ``view`` takes only some users (see ``accounting.users_in_view``)."""
+        feed = FEEDS[f"accounting_{kind}"]
+        if feed.changed is not None:
+            start, end = accounting_window(now, start, end, full=full, days=feed.lookback_hours // 24)
+        elif start is not None or end is not None:
+            raise ValueError(f"{feed.name} has no dates to take a range of")
+        if view is not None:
+            if kind != "users":
+                raise ValueError(f"{feed.name} has no views")
+            feed = replace(feed, rows=lambda df, as_of: FEEDS[feed.name].rows(accounting.users_in_view(df, view), as_of))
+        return self.load(feed, landing, now, start, end, **how)
+
+    def load_recent_settlements(self, landing: str, now: datetime, days: int = 14, **how) -> Outcome:
+        """Load the settlement reports that landed from ``days`` before yesterday to the end of yesterday."""
+        start, end = settlement_window(now, days)
+        return self.load_settlements(landing, now, start, end, **how)
+
+    def load_settlements(
+        self, landing: str, as_of: datetime, start: datetime | None = None, end: datetime | None = None, *,
+        enabled: bool = True,
+    ) -> Outcome:
+        """Load settlement reports: a header per settlement and its numbered lines, together.
+
+        A range opens only the files that landed in it, both of its seconds included.
+        """
 
         def work(run: str) -> tuple[list[Change], list[Stats]]:
-            report = read_report(self.spark, f"{landing.rstrip('/')}/marketplace/settlements", enabled=enabled)
+            report = read_report(
+                self.spark, f"{landing.rstrip('/')}/marketplace/settlements", enabled=enabled, start=start, end=end)
             rules = [quality.required("settlement_id"), quality.required("amount", "decimal"), marketplace.OF_ITS_REPORT]
             found = marketplace.settlement_lines(report)
             found = quality.beside(found, quality.Reference(

@@ -28,16 +28,18 @@ def _is(status: Sequence[str]) -> Column:
 
 
 def with_fulfilled_at(
-    orders: DataFrame, warehouse_orders: DataFrame, as_of: Column | None = None, days: int = 7
+    orders: DataFrame, warehouse_orders: DataFrame, as_of: Column | None = None, days: int = 7, *, older: bool = False
 ) -> DataFrame:
     """Orders with the first shipping time of the warehouse orders that refer to them.
 
-    With ``as_of``, only orders of the last ``days``, and only their shipments are aggregated.
+    With ``as_of``, only orders of the last ``days``, and only their shipments are aggregated; ``older`` keeps older orders
+    too, without a shipping time.
     """
     if as_of is not None:
-        orders = _recent(orders, as_of, days)
+        recent = _recent(orders, as_of, days)
         warehouse_orders = warehouse_orders.join(
-            orders.select(F.col("order_id").alias("reference_id")), "reference_id", "left_semi")
+            recent.select(F.col("order_id").alias("reference_id")), "reference_id", "left_semi")
+        orders = orders if older else recent
     shipped = warehouse_orders.groupBy(F.col("reference_id").alias("order_id")).agg(
         F.min("shipped_date").alias("fulfilled_at")
     )

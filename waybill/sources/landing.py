@@ -8,7 +8,7 @@ A record that is no object costs itself, not its page, and a page of the wrong s
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -190,21 +190,29 @@ def broken(lines: DataFrame, at: str) -> DataFrame:
     return rejected(pages(lines, "struct<`_`: string>", at))
 
 
-def read_report(spark: SparkSession, path: str, *, enabled: bool = True) -> DataFrame:
+def read_report(
+    spark: SparkSession, path: str, *, enabled: bool = True, start: datetime | None = None, end: datetime | None = None,
+) -> DataFrame:
     """Lines of tab-separated reports, all text, by header name; a column no report has is NULL.
 
-    Files of one read must share one header: a differing file fails the read rather than shift its columns.
+    Files of one read must share one header: a differing file fails the read rather than shift its columns. ``start`` and
+    ``end`` are seconds, both included, between which a file landed; others are left out by their listing, not opened.
     """
     if enabled:
+        # The listing takes files strictly between its bounds.
+        bounds = {"modifiedAfter": start and start - timedelta(seconds=1), "modifiedBefore": end and end + timedelta(seconds=1)}
+        ranged = {k: at.astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%S") for k, at in bounds.items() if at}
         try:
             raw = (
-                spark.read.option("recursiveFileLookup", True)
+                spark.read.options(**ranged, **({"timeZone": "UTC"} if ranged else {})).option("recursiveFileLookup", True)
                 .csv(path, sep="\t", header=True, inferSchema=False, enforceSchema=False)
             )
         except AnalysisException as error:
-            if not _no_path(error):
-                raise
+            if not _no_path(error) and not (ranged and error.getCondition() == "UNABLE_TO_INFER_SCHEMA"):
+                raise  # no file in the range is no error
         else:
+            if start:
+                raw = raw.filter(F.col("_metadata.file_modification_time") >= F.lit(start))
             fields = [
                 (F.col(f"`{h}`") if h in raw.columns else F.lit(None).cast("string")).alias(h)
                 for h in SETTLEMENT_HEADERS
