@@ -1,5 +1,7 @@
 """Language identification: features and fit against plain versions, held-out accuracy, calibration, odd rows."""
 
+import math
+import random
 import zlib
 
 import numpy as np
@@ -87,3 +89,91 @@ def test_odd_rows(spark):
     assert langid.report(spark.createDataFrame([], shape)).collect() == []
     alone = langid.report(spark.createDataFrame([(1, "abc", None, 1, "t", 2)], shape)).collect()
     assert [tuple(r)[2:] for r in alone] == [("und", 0.0)]
+
+
+def plain_grams(text):
+    codes, out = [ord(c) for c in (text or "").lower()], {}
+    for n in langid.ORDERS:
+        for i in range(len(codes) - n + 1):
+            h = n * 0x9E3779B1 & 0xFFFFFFFF
+            for c in codes[i:i + n]:
+                h = (h ^ c) * 0x85EBCA6B & 0xFFFFFFFF
+                h ^= h >> 15
+            out[h >> 32 - langid.BITS] = out.get(h >> 32 - langid.BITS, 0) + 1
+    return out
+
+
+def shares(scores):
+    e = {c: math.exp(s - max(scores.values())) for c, s in scores.items()}
+    return {c: x / sum(e.values()) for c, x in e.items()}
+
+
+def plain_model(rows):
+    """Scores of a text and the temperature, learned weight by weight from (u, lang, text)."""
+    rows = sorted(rows)
+    found = [plain_grams(t) for *_, t in rows]
+    langs, seen = sorted({lang for _, lang, _ in rows}), {}
+    for counts in found:
+        for g in counts:
+            seen[g] = seen.get(g, 0) + 1
+
+    def vector(counts):
+        x = {g: (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + seen.get(g, 0))) + 1) for g, n in counts.items()}
+        length = max(math.sqrt(sum(v * v for v in x.values())), 1e-12)
+        return {**{g: v / length for g, v in x.items()}, None: 1.0}  # None: the bias
+
+    z, n = {}, {}
+
+    def weight(g, c):
+        at, rate = z.get((g, c), 0.0), (langid.BETA + math.sqrt(n.get((g, c), 0.0))) / langid.ALPHA
+        if g is None:
+            return -at / rate
+        return 0.0 if abs(at) <= langid.L1 else -(at - math.copysign(langid.L1, at)) / (rate + langid.L2)
+
+    def scores(x):
+        return {c: sum(v * weight(g, c) for g, v in x.items()) for c in langs}
+
+    vectors = [vector(counts) for counts in found]
+    held_out = [k for k in range(len(rows)) if k % langid.CALIBRATE == langid.CALIBRATE - 1]
+    for _ in range(langid.ROUNDS):
+        for k in sorted(set(range(len(rows))) - set(held_out)):
+            w = {(g, c): weight(g, c) for g in vectors[k] for c in langs}
+            p = shares({c: sum(v * w[g, c] for g, v in vectors[k].items()) for c in langs})
+            for (g, c), at in w.items():
+                d, old = vectors[k][g] * (p[c] - (c == rows[k][1])), n.get((g, c), 0.0)
+                z[g, c] = z.get((g, c), 0.0) + d - (math.sqrt(old + d * d) - math.sqrt(old)) / langid.ALPHA * at
+                n[g, c] = old + d * d
+    told = [(scores(vectors[k]), rows[k][1]) for k in held_out]
+
+    def loss(heat):
+        return -sum(math.log(max(shares({c: v / heat for c, v in s.items()})[y], 1e-300)) for s, y in told)
+
+    heats = [math.exp(math.log(0.02) + k * (math.log(20) - math.log(0.02)) / 4000) for k in range(4001)]
+    return lambda text: scores(vector(plain_grams(text))), min(heats, key=loss)
+
+
+def test_predictions_equal_plain_training(spark):
+    rng = random.Random(5)
+    words = {"en": ["the", "cat", "sat", "mat", "hat"], "de": ["der", "hund", "und", "katze", "hat"], "fr": ["le", "chat", "et", "la", "mat"]}
+    rows = []
+    for i in range(150):
+        lang = rng.choice(sorted(words))
+        other = rng.choice(sorted(words))  # some words of another language, so that not all is plain
+        rows.append((i, " ".join(rng.choice(words[lang if rng.random() < 0.7 else other]) for _ in range(rng.randint(1, 8))), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    u = langid.unit(langid.F.col("doc_id").cast("string"), langid.F.col("text"), langid.F.lit(3))
+    learned = [(r.u, r.lang, r.text) for r in docs.withColumn("u", u).collect() if not held(r.doc_id)]
+    scores, heat = plain_model(learned)
+    for r in langid.report(docs).collect():
+        want = shares({c: v / heat for c, v in scores(rows[r.doc_id][1]).items()})
+        best = max(sorted(want), key=want.get)
+        assert r.score == pytest.approx(want[best], abs=0.01)
+        assert r.lang_pred == best or want[r.lang_pred] == pytest.approx(want[best], abs=1e-4)
+
+
+def test_sample_is_shared_and_bounded(spark):
+    rows = spark.range(6000).selectExpr("if(id % 100 = 0, 'few', if(id % 3 = 0, 'some', 'most')) AS lang", "id").withColumn(
+        "u", langid.unit(langid.F.col("id")))
+    got = {r.lang: r["count"] for r in langid.sample(rows.unionAll(rows), "lang", 900, ["id"]).distinct().groupBy("lang").count().collect()}
+    assert got["few"] == 60 and all(270 <= got[x] <= 300 for x in ("some", "most"))
+    assert langid.sample(rows.limit(0), "lang", 900, ["id"]).collect() == []

@@ -1,5 +1,7 @@
 """Classifier chain: held-out accuracy on given labels, out-of-fold features, odd rows."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -99,3 +101,98 @@ def test_degrees_reach_the_verdict():
     assert seen[-1] >= chain.threshold > chain.probabilities("calm")[-1]
     chain.links[-1].before = np.zeros(2)
     assert chain.probabilities("vile nasty")[-1] < seen[-1]
+
+
+def plain_halves(text):
+    words = toxicity.word_list(text)
+    return [{x for w in words[i:i + toxicity.HALF] for x in [w, *(w[:n] + b"*" for n in (4, 5, 6) if len(w) > n)]}
+            for i in range(0, len(words), toxicity.HALF)]
+
+
+def plain_most(halves, value):
+    """The valued words of the stretch of two neighbouring halves that tells most."""
+    told = [{w for w in h if value.get(w, 0)} for h in halves] or [set()]
+    return max((set().union(*told[i:i + 2]) for i in range(max(len(told) - 1, 1))), key=lambda s: sum(value[w] for w in s))
+
+
+def plain_link(rows, before, labels):
+    """Probability of (halves, earlier probabilities), learned weight by weight."""
+    kinds = [[set().union(*r) for r, y in zip(rows, labels) if bool(y) == kind] for kind in (False, True)]
+    value = {}
+    for w in set().union(*kinds[0], *kinds[1]):
+        no, yes = (sum(w in r for r in rs) + 0.5 for rs in kinds)
+        ratio = math.log(yes / (len(kinds[1]) + 1)) - math.log(no / (len(kinds[0]) + 1))
+        value[w] = max(ratio - toxicity.CHANCE * math.sqrt(1 / no + 1 / yes), 0)
+    z, n = {}, {}
+
+    def weight(g, c):
+        at, rate = z.get((g, c), 0.0), (1 + math.sqrt(n.get((g, c), 0.0))) / toxicity.ALPHA
+        if g == "bias":
+            return -at / rate
+        return 0.0 if abs(at) <= toxicity.L1 else -(at - math.copysign(toxicity.L1, at)) / (rate + toxicity.L2)
+
+    for _ in range(toxicity.ROUNDS):
+        for r, earlier, y in zip(rows, before, labels):
+            x = {**{w: value[w] for w in plain_most(r, value)}, **dict(enumerate(earlier)), "bias": 1.0}
+            w = {(g, c): weight(g, c) for g in x for c in (0, 1)}
+            s = [sum(x[g] * w[g, c] for g in x) for c in (0, 1)]
+            p1 = 1 / (1 + math.exp(s[0] - s[1]))
+            for (g, c), at in w.items():
+                d, old = x[g] * ((p1 if c else 1 - p1) - (c == int(y))), n.get((g, c), 0.0)
+                z[g, c] = z.get((g, c), 0.0) + d - (math.sqrt(old + d * d) - math.sqrt(old)) / toxicity.ALPHA * at
+                n[g, c] = old + d * d
+    told = {w: (weight(w, 1) - weight(w, 0)) * v for w, v in value.items()}
+    rest = [weight(k, 1) - weight(k, 0) for k in range(len(before[0]))]
+    bias = weight("bias", 1) - weight("bias", 0)
+    return lambda halves, earlier: 1 / (1 + math.exp(-(
+        sum(told[w] for w in plain_most(halves, told)) + sum(a * b for a, b in zip(rest, earlier)) + bias)))
+
+
+def test_chain_equals_plain_training(spark):
+    rows, labels = rows_of(160)
+    rows = [(i, t if i % 10 else " ".join(rows[(i + k) % 160][1] for k in (0, 1, 2, 3, 5, 6, 7))) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    u = toxicity.unit(toxicity.F.col("doc_id").cast("string"), toxicity.F.col("text"), toxicity.F.lit(9))
+    order = [r.doc_id for r in docs.withColumn("u", u).orderBy("u").collect()]
+    marks, texts = dict(labels), dict(rows)
+    toxic = [marks[i] for i in order]
+    words = [toxicity.word_list(texts[i]) for i in order]
+    share = [{w: sum(w in r for r, y in zip(words, toxic) if y == kind) for w in set().union(*words)} for kind in (0, 1)]
+    markers = {w for w in share[1] if share[1][w] >= max(3, toxicity.MARKER_SHARE * sum(toxic))
+               and share[1][w] / sum(toxic) >= toxicity.MARKER_RATE * share[0][w] / (160 - sum(toxic))}
+    marked = [sum(w in markers for w in r) for r in words]
+    degrees = [[y and m >= toxicity.REPEATED for y, m in zip(toxic, marked)],
+               [y and m >= toxicity.DENSE * len(r) for y, m, r in zip(toxic, marked, words)], toxic]
+    halves = [plain_halves(texts[i]) for i in order]
+    before, links = [[] for _ in order], []
+    for y in degrees:
+        links.append(plain_link(halves, before, y))
+        out = {}
+        for f in range(toxicity.FOLDS):
+            fit = [k for k in range(160) if k % toxicity.FOLDS != f]
+            link = plain_link([halves[k] for k in fit], [before[k] for k in fit], [y[k] for k in fit])
+            out.update({k: link(halves[k], before[k]) for k in range(160) if k % toxicity.FOLDS == f})
+        before = [[*b, out[k]] for k, b in enumerate(before)]
+    last = sorted((b[-1], y) for b, y in zip(before, toxic))
+    odds = [math.log(p / (1 - p)) for p, _ in last]
+    edges = [odds[0] - 1, *odds, odds[-1] + 1]
+    errors = [sum(bool(y) for _, y in last[:k]) + sum(not y for _, y in last[k:]) for k in range(161)]
+    k = max((k for k in range(161) if errors[k] == min(errors)), key=lambda k: edges[k + 1] - edges[k])
+    threshold = 1 / (1 + math.exp(-(edges[k] + edges[k + 1]) / 2))
+    for r in toxicity.report(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect():
+        seen = []
+        for link in links:
+            seen.append(link(plain_halves(texts[r.doc_id]), seen))
+        assert [r.p_repeated, r.p_dense, r.score] == pytest.approx(seen, abs=1e-6)
+        assert r.toxic == (seen[-1] >= threshold)
+
+
+def test_an_id_of_many_rows_is_bounded(spark, monkeypatch):
+    rows, labels = rows_of(100)
+    many = rows + [(0, f"nasty vile w{i}") for i in range(2000)]
+    sizes, chain = [], toxicity.Chain
+    monkeypatch.setattr(toxicity, "SAMPLE", 400)
+    monkeypatch.setattr(toxicity, "Chain", lambda given, *rest: sizes.append(len(given.rows)) or chain(given, *rest))
+    fitted = toxicity.fit(spark.createDataFrame(many + many, "doc_id long, text string"),
+                          spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert 200 < sizes[0] <= 400 and fitted.probabilities("nasty vile")[-1] >= fitted.threshold
