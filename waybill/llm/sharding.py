@@ -6,7 +6,9 @@ turn out overfull are sampled again and subdivided. With the bytes before each r
 order of all bytes follows within its range alone, and the shards are equal stretches of that order.
 
 The law is ``bytes``: a shard holds its equal share of all bytes to within one record. Only DataFrame functions run;
-the driver sees the sampled keys, whose expected number is a parameter, and one sum per range.
+ranges grow in number with the records, a record finds its own down a tree of splitters held in small tables, and the
+driver sees sums over all and counts of splitters alone. The sample of one turn is sorted in one task: ``SAMPLES`` keys
+for each of at most ``MOST_RANGES`` ranges.
 
 Shards are cut by bytes, so equal texts may stand on both sides of a cut, each of them in one shard.
 
@@ -21,69 +23,83 @@ from pyspark.sql import functions as F
 
 from waybill.llm.common import free, stage, unit, work_folder
 
-#: Ranges per shard, sampled keys per range (on average, at most), and how far over its mean a range may be.
-RANGES, SAMPLES, OVERFULL = 16, 32, 2
+#: Ranges per shard at least, records per range beyond that, and the most ranges, which bounds the sample. Past that bound
+#: ranges hold more records, whose sort spills.
+RANGES, RANGE_ROWS, MOST_RANGES = 16, 1_000_000, 1 << 16
+#: Sampled keys per range (on average, at most), and how far over its mean a range may be.
+SAMPLES, OVERFULL = 32, 2
 ROUNDS = 12
 KEY = ("h1", "h2", "row")
+#: Children of a node of the tree that finds a key's range.
+FANOUT = 64
 
 
-def _sample(rows: DataFrame, rate: Column, turn: int) -> list[tuple]:
-    """Sampled keys in order, each with the bytes it stands for; a record is drawn with chance ``1 - exp(-rate * size)``."""
-    chance = 1 - F.exp(-rate * F.col("size"))
-    drawn = rows.where(unit(*KEY, F.lit(turn)) < chance).select("range", *KEY, (F.col("size") / chance).alias("weight"))
-    return sorted(tuple(r) for r in drawn.collect())
+def _sample(rows: DataFrame, rate: float, turn: int) -> DataFrame:
+    """Sampled keys, each with the bytes it stands for; a record is drawn with chance ``1 - exp(-rate * size)``."""
+    chance = 1 - F.exp(-F.lit(rate) * F.col("size"))
+    return (rows.where(unit(*KEY, F.lit(turn)) < chance)
+            .select("range", "pieces", *KEY, (F.col("size") / chance).alias("weight")))
 
 
-def _quantiles(sample: list[tuple], pieces: int) -> list[tuple]:
-    """Keys that cut the sample into pieces of equal bytes; a key that fills a piece gets a range of its own."""
-    total, past, out = sum(s[-1] for s in sample), 0.0, set()
-    for k, (*key, weight) in enumerate(sample):
-        if weight * pieces >= total:
-            out.add(tuple(key))
-        marks = int(past * pieces / total) < int((past + weight) * pieces / total)
-        if marks and k + 1 < len(sample):
-            out.add(tuple(sample[k + 1][:-1]))
-        past += weight
-    return sorted(out)
+def _quantiles(sample: DataFrame) -> DataFrame:
+    """Keys that cut each range's sample into ``pieces`` of equal bytes; a key that fills a piece gets a range of its own."""
+    ordered, whole = Window.partitionBy("range").orderBy(*KEY), Window.partitionBy("range")
+    past = F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    marked = (sample.withColumn("past", past).withColumn("total", F.max("past").over(whole))
+              .withColumn("mark", F.floor(F.col("past") * F.col("pieces") / F.col("total"))))
+    crossed = F.lag("mark", 1, 0).over(ordered) > F.lag("mark", 2, 0).over(ordered)
+    fills = F.col("weight") * F.col("pieces") >= F.col("total")
+    return marked.withColumn("cut", crossed | fills).where("cut").select(*KEY).distinct()
 
 
-def _range_of(splitters: list[tuple]) -> Column:
-    """How many splitters are at or below the key, as a balanced tree of comparisons."""
-    a, b, c = KEY
+def _with_range(rows: DataFrame, splitters: DataFrame, folder: str) -> DataFrame:
+    """``rows`` with the number of splitters at or below their key as ``range``, found down a tree of splitters.
 
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        x, y, z = (f"{v}L" if v > -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)" for v in splitters[mid])
-        below = f"{a} < {x} OR ({a} = {x} AND ({b} < {y} OR ({b} = {y} AND {c} < {z})))"
-        return f"if({below}, {tree(lo, mid)}, {tree(mid + 1, hi)})"
-
-    return F.expr(tree(0, len(splitters)))
-
-
-def split(rows: DataFrame, ranges: int, samples: int = SAMPLES) -> tuple[list[tuple], DataFrame]:
-    """Splitters that leave no range of several rows more than ``OVERFULL`` times its share, and bytes and rows per range."""
-    total = rows.agg(F.sum("size")).first()[0] or 1
-    share, dealt = total / ranges, rows.withColumn("range", F.lit(0))
-    first = _sample(dealt, F.lit(samples / share), 0)
-    splitters = _quantiles([s[1:] for s in first], ranges)
+    A level of the tree is a small table of nodes with up to ``FANOUT - 1`` keys each, met by an equi-join on the node;
+    as nodes stand for like numbers of bytes none is hot, should a level ever be too large to be broadcast.
+    """
+    count, levels = splitters.count(), 0
+    while FANOUT ** levels <= count:
+        levels += 1
+    numbered = splitters.withColumn("at", F.row_number().over(Window.orderBy(*KEY)))  # at most a few for each range
+    steps = F.array(*[F.struct(F.lit(k).alias("level"), F.lit(FANOUT ** (levels - 1 - k)).cast("long").alias("step"))
+                      for k in range(levels)])
+    if levels:
+        entry = F.floor(F.col("at") / F.col("step"))
+        tree = stage(numbered.select(*KEY, "at", F.inline(steps))
+                     .where((F.col("at") % F.col("step") == 0) & (entry % FANOUT != 0))
+                     .groupBy("level", F.floor(entry / FANOUT).alias("node"))
+                     .agg(F.array_sort(F.collect_list(F.struct(*KEY))).alias("keys")), folder, "tree")
+    found, key = rows.withColumn("range", F.lit(0).cast("long")), F.struct(*KEY)
+    for k in range(levels):
+        nodes = tree.where(F.col("level") == k).select(F.col("node").alias("range"), "keys")
+        below = F.size(F.filter(F.coalesce("keys", F.array()), lambda cut: cut <= key))
+        found = found.join(nodes, "range", "left").select(*rows.columns, (F.col("range") * FANOUT + below).alias("range"))
+    return found
+
+
+def split(rows: DataFrame, ranges: int, samples: int = SAMPLES) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their range, none of several rows over ``OVERFULL`` times its share; bytes and rows per range."""
+    folder = work_folder(rows.sparkSession)
+    share = (rows.agg(F.sum("size")).first()[0] or 1) / ranges
+    whole = rows.withColumn("range", F.lit(0)).withColumn("pieces", F.lit(ranges))
+    splitters = stage(_quantiles(_sample(whole, samples / share, 0)), folder, "splitters-0")
     for turn in range(1, ROUNDS + 1):
-        dealt = rows.withColumn("range", _range_of(splitters))
-        sums = dealt.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-        over = {r.range: r.bytes for r in sums.collect() if r.rows > 1 and r.bytes > OVERFULL * share}  # a row per range
-        if not over or turn == ROUNDS:
+        dealt = _with_range(rows, splitters, f"{folder}/{turn}")
+        sums = stage(dealt.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), folder, f"sums-{turn}")
+        over = (sums.where((F.col("rows") > 1) & (F.col("bytes") > OVERFULL * share))  # a row is not divided
+                .select("range", (F.floor(F.col("bytes") / share) + 1).alias("pieces")))
+        if turn == ROUNDS or over.isEmpty():
             break
-        listed = F.col("range").isin(list(over))
-        drawn = _sample(dealt.where(listed), F.lit(samples * 2 ** turn / share), turn)
-        more = [q for r, b in over.items() for q in _quantiles([s[1:] for s in drawn if s[0] == r], int(b / share) + 1)]
-        if not {*more} - {*splitters}:
+        drawn = _sample(dealt.join(over, "range"), samples * 2 ** turn / share, turn)
+        more = stage(splitters.union(_quantiles(drawn)).distinct(), folder, f"splitters-{turn}")
+        if more.count() == splitters.count():
             break
-        splitters = sorted({*splitters, *more})
-    return splitters, sums
+        splitters = more
+    return dealt, sums
 
 
-def assign(docs: DataFrame, shards: int = 24, ranges: int = RANGES, text: str = "text", key: str = "doc_id",
+def assign(docs: DataFrame, shards: int = 24, range_rows: int = RANGE_ROWS, text: str = "text", key: str = "doc_id",
            row: Column | None = None) -> DataFrame:
     """``(row, key, size, text_crc32, shard, slot)`` of every record; ``row`` numbers the rows, if nothing is given."""
     folder = work_folder(docs.sparkSession)
@@ -92,14 +108,14 @@ def assign(docs: DataFrame, shards: int = 24, ranges: int = RANGES, text: str =
                              (F.octet_length(body) + 8).cast("long").alias("size"),
                              F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("h1"),
                              F.xxhash64(F.col(key).cast("string")).alias("h2")), folder, "keyed")
-    splitters, sums = split(rows, shards * ranges)
+    dealt, sums = split(rows, max(shards * RANGES, min(MOST_RANGES, rows.count() // range_rows)))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     starts = sums.select("range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
                          F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
                          F.sum("bytes").over(Window.partitionBy()).alias("total"))
     inside = Window.partitionBy("range").orderBy(*KEY)
     middle = 2 * (F.col("bytes_before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))) - F.col("size")
-    placed = stage(rows.withColumn("range", _range_of(splitters)).join(starts, "range")
+    placed = stage(dealt.join(starts, "range")
                    .withColumn("at", F.col("rows_before") + F.row_number().over(inside) - 1)
                    .withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle * shards / (2 * F.col("total")))).cast("int"))
                    .select("row", "id", "size", "text_crc32", "shard", "at"), folder, "placed")
