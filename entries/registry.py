@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("merging", "scalars", "records", "quality", "incremental", "business", "alerting", "landed", "changes")
+MODULES = ("merging", "scalars", "records", "quality", "incremental", "business", "alerting", "landed", "changes", "whole_rows")
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
