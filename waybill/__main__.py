@@ -13,6 +13,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.change_warehouse import ChangeWarehouse
 from waybill.load import Loader
 from waybill.operators.links import order_links, with_stock
 from waybill.operators.rollups import table_counts
@@ -103,10 +104,11 @@ def main(argv: list[str] | None = None) -> None:
     ask.add_argument("--rows", type=int, default=100)
     for command in (load, ask):
         command.add_argument("--warehouse", required=True)
+        command.add_argument("--as-changes", action="store_true", help="the warehouse keeps its tables as their changes")
         command.add_argument("--as-of", type=_time, default=None)
     args = parser.parse_args(argv)
 
-    warehouse = Warehouse(start(), args.warehouse)
+    warehouse = (ChangeWarehouse if args.as_changes else Warehouse)(start(), args.warehouse)
     now = args.as_of or datetime.now(UTC)
     if args.command == "ask":
         known = questions(warehouse.snapshot(), F.lit(now), F.lit(args.since), args.days)

@@ -17,16 +17,17 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.operators.changes import GONE, PATCH, ROW, resolved
 from waybill.schemas import Table
 
 _META = "_kind string, _set array<string>, _part string, _run string"
-_RUNS = "run string, at timestamp, folded array<string>"
+RUNS = "run string, at timestamp, folded array<string>"
 
 
 @dataclass(frozen=True)
@@ -61,38 +62,53 @@ class ChangeTable:
     def publish(self, run: str, at: datetime | None = None, folded: Sequence[str] = ()) -> None:
         """Make all that a run has written visible, in every table below the root."""
         row = [(run, at or datetime.now(UTC), [f"{self.table.name}/{p}" for p in folded])]
-        self.spark.createDataFrame(row, _RUNS).coalesce(1).write.mode("append").json(self.published)
+        self.spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").json(self.published)
 
-    def runs(self) -> DataFrame:
+    def published_now(self) -> DataFrame:
+        """What has been published by now; the files are listed once, so later ones are not in it."""
+        return self._or_nothing(self.published, RUNS, "json")
+
+    def runs(self, published: DataFrame | None = None) -> DataFrame:
         """Published runs; one published twice counts at its first time."""
-        rows = self._or_nothing(self.published, _RUNS, "json")
+        rows = self.published_now() if published is None else published
         return rows.groupBy("run").agg(F.min("at").alias("at"), F.min_by("folded", "at").alias("folded"))
 
     # --- reading ---------------------------------------------------------------------------------------------------
-    def _visible(self) -> DataFrame:
+    def _visible(self, published: DataFrame | None = None) -> DataFrame:
         """Changes of published runs with their time, without those a later compaction of their part has folded."""
         stored = self._or_nothing(self.path, f"{self.table.ddl}, {_META}", "parquet")
-        runs = self.runs()
+        runs = self.runs(published)
         floors = (runs.select(F.explode("folded").alias("of"), "at").filter(F.col("of").startswith(f"{self.table.name}/"))
                   .groupBy(F.substring("of", len(self.table.name) + 2, 1 << 20).alias("_floor_of")).agg(F.max("at").alias("_floor")))
         dated = stored.join(runs.select(F.col("run").alias("_of"), F.col("at").alias("_at")), F.col("_run") == F.col("_of")).drop("_of")
         return (dated.join(floors, F.col("_part") == F.col("_floor_of"), "left")
                 .filter(F.col("_floor").isNull() | (F.col("_at") >= F.col("_floor"))).drop("_floor", "_floor_of"))
 
-    def read(self) -> DataFrame:
-        """The rows of the table. Filters on the clustering expression do not prune parts; ``read_parts`` does."""
-        return resolved(self._visible(), self.table.key, self.table.columns, self.table.frozen, defaults=self.table.defaults)
+    def read(self, published: DataFrame | None = None) -> DataFrame:
+        """The rows of the table, as of ``published_now`` of some moment if that is given. Filters on the clustering
+        expression do not prune parts; ``read_parts`` does."""
+        return resolved(self._visible(published), self.table.key, self.table.columns, self.table.frozen, defaults=self.table.defaults)
 
     def read_parts(self, parts: Sequence[str]) -> DataFrame:
         """The rows of some parts, reading their folders only: a key is in one part."""
         return resolved(self._visible().filter(F.col("_part").isin(list(parts))), self.table.key, self.table.columns,
                         self.table.frozen, defaults=self.table.defaults)
 
-    def _known(self) -> DataFrame:
-        """Key and part of every row there is, from the key columns alone."""
+    def matched(self) -> Column:
+        return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.table.key])
+
+    def of_keys(self, batch: DataFrame, column: str, carried: Column | None = None) -> DataFrame:
+        """Key and one column (``_part`` too) of the rows whose keys a batch has, from these columns alone.
+
+        Changes meet the keys of the batch before they are resolved: a batch that Spark broadcasts leaves the table
+        unshuffled but for its own keys.
+        """
         keys = {k: self.table.columns[k] for k in self.table.key}
-        return resolved(self._visible().select(*keys, "_part", "_kind", F.array(F.lit("_part")).alias("_set"), "_at", "_run"),
-                        self.table.key, {**keys, "_part": "string"})
+        wanted = batch.select(*[F.col(k).cast(t).alias(f"_{k}") for k, t in keys.items()])
+        carried = F.col("_set") if carried is None else carried
+        stored = self._visible().select(*keys, column, "_kind", carried.alias("_set"), "_at", "_run")
+        return resolved(stored.join(wanted, self.matched(), "left_semi"), self.table.key,
+                        {**keys, column: self.table.columns.get(column, "string")})
 
     # --- writing ---------------------------------------------------------------------------------------------------
     def _append(self, run: str, batch: DataFrame, kind: str, only_known: bool) -> Written:
@@ -102,11 +118,9 @@ class ChangeTable:
             raise ValueError(f"{self.table.name}: a batch needs {', '.join(lost)}")
         types = self.table.columns
         rows = batch.select(*[F.col(c).cast(types[c]).alias(c) if c in carried else F.lit(None).cast(t).alias(c) for c, t in types.items()])
-        known = self._known().select(*[F.col(k).alias(f"_{k}") for k in self.table.key], F.col("_part").alias("_old"))
-        match = F.lit(True)
-        for k in self.table.key:
-            match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        joined = rows.join(known, match, "inner" if only_known else "left")
+        known = self.of_keys(rows, "_part", F.array(F.lit("_part")))
+        known = known.select(*[F.col(k).alias(f"_{k}") for k in self.table.key], F.col("_part").alias("_old"))
+        joined = rows.join(known, self.matched(), "inner" if only_known else "left")
         seen = Observation(f"{run} {self.table.name}")
         parts = F.coalesce("_old", F.expr(f"cast({self.cluster} as string)"), F.lit("none"))
         out = joined.withColumns({"_kind": F.lit(kind), "_set": F.array(*map(F.lit, carried)).cast("array<string>"), "_part": parts,
@@ -140,11 +154,8 @@ class ChangeTable:
         seen = self._visible().filter(F.col("_part").isin(list(parts)) & (F.col("_at") <= F.lit(begun)))
         place = seen.groupBy(*self.table.key).agg(F.first("_part").alias("_part"))
         rows = resolved(seen, self.table.key, self.table.columns, self.table.frozen, defaults=self.table.defaults)
-        match = F.lit(True)
         place = place.select(*[F.col(k).alias(f"_{k}") for k in self.table.key], "_part")
-        for k in self.table.key:
-            match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        (rows.join(place, match).drop(*[f"_{k}" for k in self.table.key])
+        (rows.join(place, self.matched()).drop(*[f"_{k}" for k in self.table.key])
          .withColumns({"_kind": F.lit(ROW), "_set": F.array(*map(F.lit, self.table.columns)), "_run": F.lit(run)})
          .repartition("_part").write.mode("append").partitionBy("_part", "_run").parquet(self.path))
         self.publish(run, begun, parts)
