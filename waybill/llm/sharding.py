@@ -7,7 +7,7 @@ order of all bytes follows within its range alone, and the shards are equal stre
 
 The law is ``bytes``: a shard holds its equal share of all bytes to within one record. Only DataFrame functions run;
 ranges grow in number with the records, a record finds its own down a tree of splitters held in small tables, and the
-driver sees sums over all and counts of splitters alone. The sample of one turn is sorted in one task: ``SAMPLES`` keys
+driver sees sums over all, counts of splitters and the few of the root alone. The sample of one turn is sorted in one task: ``SAMPLES`` keys
 for each of at most ``MOST_RANGES`` ranges.
 
 Shards are cut by bytes, so equal texts may stand on both sides of a cut, each of them in one shard.
@@ -55,8 +55,8 @@ def _quantiles(sample: DataFrame) -> DataFrame:
 def _with_range(rows: DataFrame, splitters: DataFrame, folder: str) -> DataFrame:
     """``rows`` with the number of splitters at or below their key as ``range``, found down a tree of splitters.
 
-    A level of the tree is a small table of nodes with up to ``FANOUT - 1`` keys each, met by an equi-join on the node;
-    as nodes stand for like numbers of bytes none is hot, should a level ever be too large to be broadcast.
+    A level of the tree is a small table of nodes with up to ``FANOUT - 1`` keys each, met by an equi-join on the node
+    (the root, one node, is given to the expression itself); as nodes stand for like numbers of bytes none is hot, should a level ever be too large to be broadcast.
     """
     count, levels = splitters.count(), 0
     while FANOUT ** levels <= count:
@@ -70,11 +70,15 @@ def _with_range(rows: DataFrame, splitters: DataFrame, folder: str) -> DataFrame
                      .where((F.col("at") % F.col("step") == 0) & (entry % FANOUT != 0))
                      .groupBy("level", F.floor(entry / FANOUT).alias("node"))
                      .agg(F.array_sort(F.collect_list(F.struct(*KEY))).alias("keys")), folder, "tree")
-    found, key = rows.withColumn("range", F.lit(0).cast("long")), F.struct(*KEY)
-    for k in range(levels):
+    if not levels:
+        return rows.withColumn("range", F.lit(0).cast("long"))
+    key, root = F.struct(*KEY), tree.where("level = 0").first()["keys"]  # fewer than FANOUT
+    below = lambda keys: F.size(F.filter(keys, lambda cut: cut <= key)).cast("long")
+    found = rows.withColumn("range", below(F.array(*[F.struct(*[F.lit(k[c]).cast("long").alias(c) for c in KEY]) for k in root])))
+    for k in range(1, levels):
         nodes = tree.where(F.col("level") == k).select(F.col("node").alias("range"), "keys")
-        below = F.size(F.filter(F.coalesce("keys", F.array()), lambda cut: cut <= key))
-        found = found.join(nodes, "range", "left").select(*rows.columns, (F.col("range") * FANOUT + below).alias("range"))
+        found = found.join(nodes, "range", "left").select(
+            *rows.columns, (F.col("range") * FANOUT + below(F.coalesce("keys", F.array()))).alias("range"))
     return found
 
 
