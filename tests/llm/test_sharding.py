@@ -1,5 +1,6 @@
 """Sharding by sampled splitters: equal bytes, gapless slots, kept groups, split hot keys."""
 
+import bisect
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,3 +68,15 @@ def test_only_dataframe_functions(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
     plan = sharding.report(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_ranges_of_a_deep_tree(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "FANOUT", 3)
+    rng = np.random.default_rng(4)
+    keys = [tuple(int(v) for v in rng.integers(-3, 4, 3)) for _ in range(300)]
+    rows = spark.createDataFrame([(*k, 1) for k in keys], "h1 long, h2 long, row long, size long")
+    for count in (0, 1, 2, 3, 8, 9, 40):
+        cuts = sorted(set(keys[:count]))
+        splitters = spark.createDataFrame(cuts, "h1 long, h2 long, row long")
+        got = sharding._with_range(rows, splitters, f"file://{tmp_path}/{count}").collect()
+        assert sorted((r.h1, r.h2, r.row, r.range) for r in got) == sorted((*k, bisect.bisect_right(cuts, k)) for k in keys)
