@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import payloads as p
+from tests.test_landing import test_rows_wait_for_what_they_hang_on  # noqa: F401
 from tests.test_load import (  # noqa: F401  collected here with this module's warehouse
     counts, loader, rows, test_a_long_gap_and_a_failure_lose_nothing, test_bad_rows_go_to_quarantine,
     test_full_refresh_may_drop_vanished_keys, test_newer_copy_of_a_record_wins, test_order_status_updates_only,
