@@ -91,6 +91,22 @@ def test_marketplace_inventory(spark, landing):
     assert (found["LAMP-L"]["quantity_on_hand"], found["LAMP-L"]["quantity_reserved"]) == (0, 9)
 
 
+def test_stock_quantities_are_parsed_once(spark):
+    detail = "inventoryDetails struct<fulfillableQuantity: string, reservedQuantity: string, inboundWorkingQuantity: string>"
+    df = spark.createDataFrame(
+        [("a", "5", None), ("b", "x", None), ("c", "5", ("-3", '{"totalReservedQuantity": 7}', None)), ("d", "5", ("1", "many", "2")),
+         ("e", None, ("99999999999", "1", "1")), (" ", "1", None)],
+        f"sellerSku string, totalQuantity string, {detail}")
+    none = {"asin": "string", "fnSku": "string", "fulfillmentCenterDetails": "array<struct<fulfillmentCenterCode: string>>"}
+    df = df.withColumns({c: F.lit(None).cast(kind) for c, kind in none.items()})
+    stock = marketplace.inventory(df, F.lit(None).cast("timestamp"))
+    assert sorted((r["sku"], r["on_hand"], r["reserved"], r["inbound"]) for r in stock.collect()) == [("a", 5, 0, 0), ("c", 0, 7, 0)]
+    assert sorted(r["reason"] for r in marketplace.unreadable_stock(df).collect()) == [
+        "invalid on_hand", "invalid on_hand", "invalid reserved"]
+    plan = stock._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") == 1
+
+
 def test_settlement_report(spark, landing):
     root = landing("marketplace/settlements", name="r1.tsv", text=p.report(p.SETTLEMENT_ROWS))
     lines = marketplace.settlement_lines(read_report(spark, f"{root}/marketplace/settlements")).collect()

@@ -13,6 +13,8 @@ from waybill.sources.landing import SEQ
 SOURCE = "amazon"
 # The order states a load asks for.
 ORDER_STATES = ("Pending", "Unshipped", "PartiallyShipped", "Shipped", "Canceled", "Unfulfillable")
+#: Quantities of a stock summary.
+QUANTITIES = ("on_hand", "reserved", "inbound")
 
 
 def _seq(df: DataFrame) -> list[str]:
@@ -66,14 +68,13 @@ def order_items(df: DataFrame) -> DataFrame:
 def inventory(df: DataFrame, as_of: Column) -> DataFrame:
     """Stock summaries per sku and center; a summary without a sku or with an unreadable quantity is dropped."""
     rows = _stock(df, as_of)
-    return rows.filter("sku IS NOT NULL AND on_hand IS NOT NULL AND reserved IS NOT NULL AND inbound IS NOT NULL")
+    return rows.dropna(subset=["sku", *QUANTITIES])
 
 
 def unreadable_stock(df: DataFrame) -> DataFrame:
     """``(reason, value)`` of summaries that name a sku and a quantity that is no number; ``inventory`` leaves them out."""
-    of = ("on_hand", "reserved", "inbound")
     rows = _stock(df, F.lit(None).cast("timestamp"), F.to_json(F.struct(*[c for c in df.columns if c not in _seq(df)])))
-    lost = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in of]))
+    lost = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in QUANTITIES]))
     return rows.filter((F.size(lost) > 0) & F.col("sku").isNotNull()).select(
         F.concat(F.lit("invalid "), F.array_join(lost, ", ")).alias("reason"), "value")
 
@@ -85,27 +86,24 @@ def _stock(df: DataFrame, as_of: Column, value: Column | None = None) -> DataFra
         F.ltrim(reserved_raw).startswith("{"), F.get_json_object(reserved_raw, "$.totalReservedQuantity")
     ).otherwise(reserved_raw)
     detailed = F.col("inventoryDetails").isNotNull()
-
-    def quantity(raw: Column) -> Column:
-        number = F.when(raw.isNull(), F.lit(0)).otherwise(coerce_int(raw))
-        return clamp_zero(number).try_cast("int")
-
-    def detail(raw: Column) -> Column:
-        return F.when(detailed, quantity(raw)).otherwise(F.lit(0))
-
-    return df.select(
+    texts = F.array(
+        F.when(detailed, F.col("inventoryDetails.fulfillableQuantity")).otherwise(F.col("totalQuantity")),
+        F.when(detailed, reserved), F.when(detailed, F.col("inventoryDetails.inboundWorkingQuantity")))
+    numbers = F.transform(texts, lambda raw: F.when(raw.isNull(), F.lit(0)).otherwise(coerce_int(raw)))
+    # A filter on the quantities would repeat all their parsing; on an exploded column it reads what was parsed once.
+    once = df.select(
         blank_to_null(F.col("sellerSku")).alias("sku"),
         blank_to_null(F.col("asin")).alias("asin"),
         blank_to_null(F.col("fnSku")).alias("fnsku"),
         F.nullif(first_element(F.col("fulfillmentCenterDetails"))["fulfillmentCenterCode"], F.lit("")).alias("fc"),
-        F.when(detailed, quantity(F.col("inventoryDetails.fulfillableQuantity")))
-        .otherwise(quantity(F.col("totalQuantity"))).alias("on_hand"),
-        detail(reserved).alias("reserved"),
-        detail(F.col("inventoryDetails.inboundWorkingQuantity")).alias("inbound"),
-        as_of.alias("updated_at"),
         *([] if value is None else [value.alias("value")]),
         *_seq(df),
+        F.explode_outer(F.array(numbers)).alias("_numbers"),
     )
+    quantities = [clamp_zero(F.col("_numbers")[k]).try_cast("int").alias(name) for k, name in enumerate(QUANTITIES)]
+    return once.select(
+        "sku", "asin", "fnsku", "fc", *quantities, as_of.alias("updated_at"),
+        *([] if value is None else ["value"]), *_seq(df))
 
 
 #: A report speaks of one settlement, that of its first line.
