@@ -89,6 +89,28 @@ def test_picks(spark):
     assert got == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), ("a", 1, 4), ("a", 1, 5), ("a", 2, 6), ("b", 1, 1)]
 
 
+def test_repeats_are_numbered_alike_with_and_without_ranges(spark):
+    data = [(k, v, i) for i, (k, v) in enumerate([("hot", i % 90) for i in range(400)] + [("one", 7)] * 300 + [(None, None)] * 200
+            + [("few", 3), ("few", None), ("few", 3), (None, 1)])]
+    df = spark.createDataFrame(data, "k string, v int, place int")
+    want = []
+    for key in {k for k, _, _ in data}:
+        own = sorted((v for k, v, _ in data if k == key), key=lambda v: (v is not None, v or 0))
+        want += [(key, v, n) for n, v in enumerate(own, 1)]
+    for many in (1, 50, 250, 100_000):
+        got = picks.number_repeats(df, ["k"], "place", many=many)
+        assert got.schema["line_number"].dataType.simpleString() == "bigint"
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)), many
+
+
+def test_keys_of_few_rows_are_numbered_after_one_shuffle(spark):
+    df = spark.range(2000).selectExpr("id % 100 k", "cast(id % 7 as int) v", "id place")
+    out = picks.number_repeats(df, ["k"], "place")
+    assert len(out.collect()) == 2000
+    final = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and final.count("Window ") == 1
+
+
 def test_picks_shrink_partitions_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, "x")], "k string, at int, v string")
     plan = picks.latest_per_key(df, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,8 @@
 """Picking one row per key, folding repeated lines and numbering true repeats.
 
 A single key may own a large share of all rows, so every step shrinks each input partition to one row per key (or per
-key and value) before the shuffle; none of them gathers a key's rows in one task.
+key and value) before the shuffle; none of them gathers the rows of such a key in one task. Keys of few rows need no such
+step where their rows are wanted one by one.
 """
 
 from __future__ import annotations
@@ -52,13 +53,36 @@ def number_repeats(
 ) -> DataFrame:
     """Number the rows of each key 1, 2, ... in the order of their other columns.
 
-    Rows equal in every column are interchangeable, so they are counted first and told apart only at the end: the
-    window sees one row per distinct value and not one per line, and the numbering repeats exactly on a reload.
-    ``spread_by`` names a column that differs between equal rows (such as their place in the file) and is no value
-    itself; it divides the equal rows of one value into ``spread`` counts, so that no task writes all of them.
+    Rows equal in every column are interchangeable, so the numbering repeats exactly on a reload. ``spread_by`` names a
+    column that differs between equal rows (such as their place in the file) and is no value itself.
 
-    A key of very many values is numbered in two steps: its values are cut into ranges by sampled quantiles of the first
-    other column, numbered within a range, and the counts of the ranges before are added (see ``_range_of``).
+    A key of up to about ``many`` rows is numbered where it lies after one shuffle by key; others in ranges (see
+    ``_numbered_in_ranges``). Both ways number alike, so it is enough to tell the keys of many rows by a part of the
+    places, whose rows alone are read as far as their keys; places that do not differ cost time, not rows.
+    """
+    step = max(1, min(spread, many // 1000))
+    place = F.pmod(F.xxhash64(spread_by), F.lit(step))
+    hot = (df.filter(place == 0).groupBy(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
+           .agg(F.count(F.lit(1)).alias("_many")).filter(F.col("_many") > many // step).drop("_many"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_h{i}"))
+    hot = F.broadcast(hot)  # at most one key in ``many`` rows
+    values = [c for c in df.columns if c != spread_by]
+    within = Window.partitionBy(*keys).orderBy(*([c for c in values if c not in keys] or keys))
+    few = df.join(hot, same, "left_anti").select(*values, F.row_number().over(within).cast("bigint").alias(number))
+    return few.unionByName(_numbered_in_ranges(df.join(hot, same, "left_semi"), keys, spread_by, number, spread, many))
+
+
+def _numbered_in_ranges(
+    df: DataFrame, keys: Sequence[str], spread_by: str, number: str, spread: int, many: int,
+) -> DataFrame:
+    """``number_repeats`` of keys of very many rows.
+
+    Equal rows are counted first and told apart only at the end: the window sees one row per distinct value and not one
+    per line. The equal rows of one value are divided by ``spread_by`` into ``spread`` counts, so that no task writes all
+    of them. A key of very many values is numbered in two steps: its values are cut into ranges by sampled quantiles of
+    the first other column, numbered within a range, and the counts of the ranges before are added (see ``_range_of``).
     """
     values = [c for c in df.columns if c != spread_by]
     others = [c for c in values if c not in keys]
