@@ -64,6 +64,19 @@ def test_lines_and_signs_within_pieces(plain, text):
     assert ids.tolist() == want[0] + want[1]
 
 
+def test_pieces_go_to_the_tokenizer_in_stretches(plain, monkeypatch):
+    words = [w * (k % 5 + 1) for k in range(40) for w in (f"w{k}", f"Ж{k}é", "🙂", "ß,")]
+    text = " ".join(words)
+    for call in (1, 16, 100, 1 << 16):
+        monkeypatch.setattr(tokens, "CALL", call)
+        encoder = tokens.Encoder(PATH, 2)
+        found, lens = encoder._behind_blank(pa.array(words, pa.string()))
+        want = [plain.encode(" " + w, add_special_tokens=False).ids for w in words]
+        assert np.concatenate(found).tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
+        assert encoder.encode(pa.array([text]))[0].tolist() == plain.encode(text, add_special_tokens=False).ids + [2]
+        assert encoder._behind_blank(pa.array([], pa.string()))[1].tolist() == []
+
+
 END = "<|endoftext|>"
 NAMED = [f"foo {END} bar{END}", END, f"a b  {END}  c", f"a\n {END}{END}.", f"same {END}", f"same {END}", f" {END} ", "<|endoftext |>",
          "foo bar", f"wörd,{END}!", f"{END[:-1]} {END[1:]}", f"\x1c {END}"]

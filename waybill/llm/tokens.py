@@ -56,6 +56,11 @@ class Places(dict):
         return k
 
 
+def strings(column: pa.Array) -> list[str]:
+    """A column of texts as a list, made as a whole: ``to_pylist`` makes an object per element on the way."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids of texts by a tokenizer file with byte-level pieces, encoding each piece between blanks once.
 
@@ -82,18 +87,17 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _behind_blank(self, pieces: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    def _behind_blank(self, pieces: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of pieces that follow a blank, many to a call, and how many each has, told by their bytes."""
-        groups, size = [], CALL
-        for p in pieces:
-            if size >= CALL:
-                groups.append([])
-                size = 0
-            groups[-1].append(p)
-            size += len(p) + 1
-        found, lens = self._whole([" " + " ".join(g) for g in groups]), []
-        for group, ids in zip(groups, found):
-            ends = np.cumsum([len(p.encode()) + 1 for p in group])
+        import pyarrow.compute as pc
+
+        sizes = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        calls = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // CALL, prepend=-1))
+        bounds = np.r_[calls, len(pieces)]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), " ")
+        found, lens = self._whole([" " + t for t in strings(texts)]), []
+        for a, b, ids in zip(bounds, bounds[1:], found):
+            ends = np.cumsum(sizes[a:b])
             lens.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1, prepend=0))
         return found, np.concatenate([*lens, np.empty(0, np.int64)])
 
@@ -115,7 +119,7 @@ class Encoder:
         lines = [[known[some[0]], *(x for line in some[1:] for x in (known[HEAD + "\n"], known[HEAD + line]))] for some in lines]
         pieces = pa.array(new, pa.string())
         signed = found(pieces, SIGNED)
-        words = pc.utf8_rtrim(pieces.take(pa.array(signed)), TAIL).to_pylist()
+        words = strings(pc.utf8_rtrim(pieces.take(pa.array(signed)), TAIL))
         word = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         signs = np.fromiter((known[HEAD + new[k][len(w):]] for k, w in zip(signed.tolist(), words)), np.int64, len(words))
         pieces = pa.array(new, pa.string())
@@ -127,8 +131,8 @@ class Encoder:
         plain, heads = np.flatnonzero(whole & ~head & ~odd), np.flatnonzero(whole & head)
         self._room(known.next)
         self.odd[first:] = odd & whole & ~head
-        ids, lens = self._behind_blank(pieces.take(pa.array(plain)).to_pylist())
-        others = self._whole(pc.utf8_slice_codeunits(pieces.take(pa.array(heads)), 1).to_pylist())
+        ids, lens = self._behind_blank(pieces.take(pa.array(plain)))
+        others = self._whole(strings(pc.utf8_slice_codeunits(pieces.take(pa.array(heads)), 1)))
         self._put(first + np.r_[plain, heads], np.r_[lens, np.array([len(x) for x in others], np.int64)], [*ids, *others])
         self._made_of(first + signed, np.stack([word, signs], 1).reshape(-1), np.full(len(signed), 2))
         self._made_of(first + lined, np.array([x for line in lines for x in line], np.int64), np.array([len(x) for x in lines], np.int64))
@@ -207,10 +211,10 @@ class Encoder:
         wanted = np.zeros(len(distinct), bool)
         wanted[index[inner]] = True
         at = np.zeros(len(distinct), np.int64)
-        names = distinct.filter(pa.array(wanted)).to_pylist()
+        names = strings(distinct.filter(pa.array(wanted)))
         at[wanted] = np.fromiter(map(place, names), np.int64, len(names))
         order[own] = at[index]
-        first = distinct.take(pa.array(index[heads])).to_pylist()
+        first = strings(distinct.take(pa.array(index[heads])))
         starts = ends - lens - 1
         order[starts] = np.fromiter((place(HEAD + h) for h in first), np.int64, len(first))
         for k in np.flatnonzero(whole).tolist():
